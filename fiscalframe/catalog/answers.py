@@ -10,7 +10,7 @@ from fiscalframe.fixtures.slips import line_slips, order_slips
 from fiscalframe.fixtures.tables import table
 from fiscalframe.operators.quality import compare_extractors, run_summary
 from fiscalframe.operators.requests import SYSTEM_PROMPT, USER_PROMPT, build_requests
-from fiscalframe.operators.responses import allow_duplicate_keys, array_text, first_good_attempt, items_from_response, strip_fences
+from fiscalframe.operators.responses import allow_duplicate_keys, array_text, first_good_attempt, item_value, items_from_response, strip_fences
 from fiscalframe.plans.receipts import parse_receipts
 from fiscalframe.plans.responses import recover_receipts
 from fiscalframe.schema import conform, unite
@@ -31,7 +31,7 @@ def _receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _attempt_items(first: DataFrame) -> DataFrame:
     allow_duplicate_keys(first.sparkSession)
     items = first.select("filename", F.posexplode(items_from_response(F.col("response"))).alias("line_no", "item"))
-    return items.select("filename", "line_no", *[f"item.{c}" for c in (*_SHOWN, "store_name", "date", "subtotal")])
+    return items.select("filename", "line_no", *[item_value(F.col("item"), c).alias(c) for c in (*_SHOWN, "store_name", "date", "subtotal")])
 
 
 def _strict(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,7 +127,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sale_date_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "receipts-by-date")
-    write_by_sale_date(parse_receipts(_orders(spark, sf_dir)), path)
+    write_by_sale_date(parse_receipts(_orders(spark, sf_dir)), path, by_month=True)
     by_date = spark.read.parquet(path).groupBy("sale_date").agg(
         F.count("*").alias("n_rows"), F.sum("line_total").cast("decimal(28,2)").cast("double").alias("sales")
     )
@@ -338,7 +338,7 @@ FROM lineitem""",
     "csv_roundtrip": f"WITH {_WIDE} SELECT {', '.join(COLUMNS)} FROM wide",
     "sale_date_parquet": f"""
 WITH {_WIDE}
-SELECT CAST(strptime(date, '%d.%m.%Y') AS DATE) AS sale_date, count(*) AS n_rows,
+SELECT CAST(date_trunc('month', strptime(date, '%d.%m.%Y')) AS DATE) AS sale_date, count(*) AS n_rows,
        CAST(sum(CAST(line_total AS DECIMAL(18,2))) AS DOUBLE) AS sales
 FROM wide GROUP BY 1""",
     "incremental_items": f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,9 @@ MISSING_NAMES = ("", "null", "N/A")
 MAX_ATTEMPTS = 2
 NO_RESULT = "AI extraction failed"
 
+# Columns other than the name, the numbers and money.
+TEXTS = tuple(c for c in COLUMNS if c not in ("item_name", *NUMBERS, *TEXT_MONEY))
+
 # Closes the wrapper array in which a response is parsed, see _strict_items.
 _END = "end of response"
 
@@ -69,66 +74,81 @@ def _is_whole(parsed: Column) -> Column:
     return F.coalesce((mark == _END) & F.try_variant_get(parsed, "$[2]", "variant").isNull(), F.lit(False))
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
-
-
-def _text(item: Column, field: str) -> Column:
+def _text(value: Column) -> Column:
     """A JSON value as the text it has in the output; null and absent give NULL."""
-    text = F.try_variant_get(item, f"$.{field}", "string")
-    is_bool = text.isin("true", "false") & (_kind(F.try_variant_get(item, f"$.{field}", "variant")) == "BOOLEAN")
+    text = F.try_variant_get(value, "$", "string")
+    is_bool = text.isin("true", "false") & (F.schema_of_variant(value) == "BOOLEAN")
     return F.when(is_bool, F.initcap(text)).otherwise(text)
 
 
-def _number(item: Column, field: str) -> Column:
+def _number(value: Column) -> Column:
     """Number of a JSON number, numeric string or boolean, else NULL."""
-    kind = _kind(F.try_variant_get(item, f"$.{field}", "variant"))
-    text = F.try_variant_get(item, f"$.{field}", "string")
-    as_number = (
-        F.when(kind == "BOOLEAN", (text == "true").cast("double"))
-        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.lit(None).cast("double"))
-    )
-    return as_number.otherwise(read_double(strip(text)))
 
+    def read(s: Column) -> Column:
+        container = s["kind"].startswith("ARRAY") | s["kind"].startswith("OBJECT")
+        return (
+            F.when(s["kind"] == "BOOLEAN", (s["text"] == "true").cast("double"))
+            .when(~container, read_double(strip(s["text"])))
+        )
+
+    return let(_kind_and_text(value), read)
 
-def _money(item: Column, field: str) -> Column:
+
+def _money(value: Column) -> Column:
     """Money field as text: zero, false and empty containers stay as they are."""
 
     def fmt(s: Column) -> Column:
-        plain = s["kind"] == "STRING"
         falsy = (read_double(s["text"]) == 0) | s["text"].isin("false", "[]", "{}")
         return (
-            F.when(plain, money_text(s["text"]))
+            F.when(s["kind"] == "STRING", money_text(s["text"]))
             .when(falsy, F.when(s["text"] == "false", F.lit("False")).otherwise(s["text"]))
             .when(s["kind"] == "BOOLEAN", F.lit("1.00"))
             .otherwise(money_text(s["text"]))
         )
 
-    raw = F.try_variant_get(item, f"$.{field}", "variant")
-    text = F.try_variant_get(item, f"$.{field}", "string")
-    return F.when(text.isNotNull(), let(F.struct(_kind(raw).alias("kind"), text.alias("text")), fmt))
+    return let(_kind_and_text(value), fmt)
 
 
-def _name(item: Column) -> Column:
-    """``item_name`` if it is a JSON string, else NULL."""
-    kind = _kind(F.try_variant_get(item, "$.item_name", "variant"))
-    return F.when(kind == "STRING", F.try_variant_get(item, "$.item_name", "string"))
+def _kind_and_text(value: Column) -> Column:
+    return F.struct(
+        F.schema_of_variant(value).alias("kind"), F.try_variant_get(value, "$", "string").alias("text")
+    )
 
 
 def _read_item(item: Column) -> Column:
-    def field(name: str) -> Column:
-        if name == "item_name":
-            return _name(item)
-        if name in NUMBERS:
-            return _number(item, name)
-        return _money(item, name) if name in TEXT_MONEY else _text(item, name)
+    """One JSON object as a struct: name, three numbers, other texts, other money.
 
-    return F.struct(
-        *[field(c).alias(c) for c in COLUMNS],
-        F.array().cast("array<string>").alias("repair"),
-        F.lit(False).alias("suspicious_quantity"),
-        F.lit(False).alias("high_price"),
-    )
+    ``texts`` and ``money`` follow the order of TEXTS and TEXT_MONEY.
+    """
+
+    def read(fields: Column) -> Column:
+        def each(names: Sequence[str], how: Callable[[Column], Column]) -> Column:
+            return F.transform(F.array(*map(F.lit, names)), lambda n: how(F.try_element_at(fields, n)))
+
+        def as_struct(numbers: Column) -> Column:
+            name = F.try_element_at(fields, F.lit("item_name"))
+            return F.struct(
+                F.when(F.schema_of_variant(name) == "STRING", F.try_variant_get(name, "$", "string")).alias("item_name"),
+                *[numbers[i].alias(n) for i, n in enumerate(NUMBERS)],
+                each(TEXTS, _text).alias("texts"),
+                each(TEXT_MONEY, _money).alias("money"),
+                F.array().cast("array<string>").alias("repair"),
+                F.lit(False).alias("suspicious_quantity"),
+                F.lit(False).alias("high_price"),
+            )
+
+        return let(each(NUMBERS, _number), as_struct)
+
+    return let(F.try_variant_get(item, "$", "map<string,variant>"), read)
+
+
+def item_value(item: Column, column: str) -> Column:
+    """One of the 30 columns out of an item struct."""
+    if column in TEXTS:
+        return item["texts"][TEXTS.index(column)]
+    if column in TEXT_MONEY:
+        return item["money"][TEXT_MONEY.index(column)]
+    return item[column]
 
 
 def is_complete(item: Column) -> Column:
@@ -144,44 +164,48 @@ def validate_items(items: Column) -> Column:
 
     def validated(item: Column) -> Column:
         def merge(fixed: Column) -> Column:
-            renewed = {n: fixed[n] for n in NUMBERS} | {
-                "item_name": clean_item_name(item["item_name"], quote_runs=True),
-                "repair": F.concat(item["repair"], fixed["repair"]),
-                "suspicious_quantity": fixed["suspicious_quantity"],
-                "high_price": fixed["high_price"],
-            }
-            kept = (*COLUMNS, "repair", "suspicious_quantity", "high_price")
-            return F.struct(*[renewed.get(c, item[c]).alias(c) for c in kept])
+            return F.struct(
+                clean_item_name(item["item_name"], quote_runs=True).alias("item_name"),
+                *[fixed[n].alias(n) for n in NUMBERS],
+                item["texts"].alias("texts"),
+                item["money"].alias("money"),
+                F.concat(item["repair"], fixed["repair"]).alias("repair"),
+                fixed["suspicious_quantity"].alias("suspicious_quantity"),
+                fixed["high_price"].alias("high_price"),
+            )
 
         return let(repair(*[item[n] for n in NUMBERS]), merge)
 
     return F.transform(F.filter(items, is_complete), validated)
 
 
-def _strict_items(parsed: Column) -> Column:
-    objects = F.try_variant_get(parsed, "$[0]", "array<variant>")
-    return validate_items(F.transform(objects, _read_item))
+def _salvaged_objects(array: Column) -> Column:
+    """Every brace-free object that names an item and parses on its own."""
+    chunks = F.regexp_extract_all(array, F.lit(ITEM_OBJECT), F.lit(0))
+    return F.filter(F.transform(chunks, F.try_parse_json), lambda v: v.isNotNull())
 
 
-def _salvaged_items(array: Column) -> Column:
-    """Every brace-free object that names an item and parses on its own.
+def items_from_response(response: Column) -> Column:
+    """ARRAY of validated items of one response; NULL if it holds no array.
 
+    A response that is not valid JSON as a whole is salvaged object by object.
     Salvaged items go through validation twice, and it is not idempotent.
     """
-    chunks = F.regexp_extract_all(array, F.lit(ITEM_OBJECT), F.lit(0))
-    objects = F.filter(F.transform(chunks, F.try_parse_json), lambda v: v.isNotNull())
-    twice = validate_items(validate_items(F.transform(objects, _read_item)))
-    return F.filter(twice, is_complete)
 
+    def recover(array: Column) -> Column:
+        return let(_parsed(array), lambda parsed: let(F.struct(_is_whole(parsed).alias("whole"), parsed.alias("v")), read(array)))
 
-def items_from_response(response: Column) -> Column:
-    """ARRAY of validated items of one response; NULL if it holds no array."""
+    def read(array: Column) -> Callable[[Column], Column]:
+        def items(p: Column) -> Column:
+            whole = F.try_variant_get(p["v"], "$[0]", "array<variant>")
+            objects = F.when(p["whole"], whole).otherwise(_salvaged_objects(array))
+            once = validate_items(F.transform(objects, _read_item))
+            return let(
+                once,
+                lambda o: F.when(p["whole"], o).otherwise(F.filter(validate_items(o), is_complete)),
+            )
 
-    def recover(array: Column) -> Column:
-        return let(
-            _parsed(array),
-            lambda p: F.when(_is_whole(p), _strict_items(p)).otherwise(_salvaged_items(array)),
-        )
+        return items
 
     return let(array_text(response), recover)
 
@@ -211,14 +235,15 @@ def explode_responses(receipts: DataFrame, chosen: DataFrame) -> DataFrame:
     )
     failed = F.col("line_no").isNull()
     fallback = {"filename": F.col("source_filename"), **{p: F.lit("0.00") for p in PAYMENTS}}
-    columns = [
-        F.when(failed, fallback[c]).otherwise(F.col("_item")[c]).alias(c) if c in fallback else F.col("_item")[c].alias(c)
-        for c in COLUMNS
-    ]
+
+    def output(column: str) -> Column:
+        value = item_value(F.col("_item"), column)
+        return F.when(failed, fallback[column]).otherwise(value) if column in fallback else value
+
     return rows.select(
         "source_filename",
         "line_no",
-        *columns,
+        *[output(c).alias(c) for c in COLUMNS],
         "_item.repair",
         "_item.suspicious_quantity",
         "_item.high_price",

@@ -56,11 +56,12 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_by_sale_date(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Typed layer as parquet, one folder per sale date.
+def write_by_sale_date(df: DataFrame, path: str, by_month: bool = False, mode: str = "errorifexists") -> None:
+    """Typed layer as parquet, one folder per sale date, or per month for small tables.
 
-    ``rebalance`` brings a date's rows together and lets adaptive execution
-    split a date that is too large for one task.
+    ``rebalance`` brings the rows of a folder together and lets adaptive
+    execution split a folder that is too large for one task.
     """
-    dated = typed(conform(df)).withColumn("sale_date", F.col("sold_at").cast("date"))
+    day = F.col("sold_at").cast("date")
+    dated = typed(conform(df)).withColumn("sale_date", F.trunc(day, "month") if by_month else day)
     dated.hint("rebalance", "sale_date").write.mode(mode).partitionBy("sale_date").parquet(path)
