@@ -9,28 +9,29 @@ from fiscalframe.functions.text import collapse, strip
 
 # Prefixes printed before an item name, removed in this order.
 ITEM_PREFIXES = (
-    r'^v?ƏDV[:\s]*\d+[:\s]*',
-    r'^"?ƏDV[:\s]*\d+[:\s]*',
-    r'^ƏDV-dən\s+azad\s+',
-    r'^Ticarət\s+əlavəsi[:\s]*\d*\s*',
+    r'v?ƏDV[:\s]*\d+[:\s]*',
+    r'"?ƏDV[:\s]*\d+[:\s]*',
+    r'ƏDV-dən\s+azad\s+',
+    r'Ticarət\s+əlavəsi[:\s]*\d*\s*',
 )
 # Fixed value: lines starting so are tax notes, not items.
 TAX_NOTE = "*ƏDV"
 
 QUOTES = "[\"']"
 
+# Taking the prefixes away one after another is the same as matching them as a
+# chain of optional parts, in one pass.
+NAME_START = "".join(f"(?:{prefix})?" for prefix in ITEM_PREFIXES)
+
 
 def clean_item_name(name: Column, quote_runs: bool = False) -> Column:
     """Drop tax prefixes and edge quotes, collapse spaces; NULL gives ``''``.
 
     One quote goes at each end, or the whole run of them with ``quote_runs``.
     """
-    out = F.coalesce(name, F.lit(""))
-    for prefix in ITEM_PREFIXES:
-        out = F.regexp_replace(out, "(?dU)" + prefix, "")
-    edge = QUOTES + ("+" if quote_runs else "")
-    out = F.regexp_replace(out, f"(?dU)^{edge}|{edge}$", "")
-    return strip(collapse(out))
+    first, last = (f"{QUOTES}*", f"{QUOTES}+") if quote_runs else (f"{QUOTES}?", QUOTES)
+    edges = rf"(?dU)\A{NAME_START}{first}|{last}$"
+    return strip(collapse(F.regexp_replace(F.coalesce(name, F.lit("")), edges, "")))
 
 
 def clean_company_name(name: Column) -> Column:

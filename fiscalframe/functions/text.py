@@ -1,4 +1,4 @@
-"""Whitespace, capture and binding helpers shared by the operators.
+"""White space, capture and binding helpers shared by the operators.
 
 Every pattern runs with ``(?dU)``: ``d`` keeps ``\\n`` the only line end and
 ``U`` makes ``\\s \\w \\d`` follow Unicode, which the Azerbaijani labels need.
@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 # Unicode white space and the four ASCII separators U+001C to U+001F.
 SPACE = r"[\s\x1c-\x1f]"
+INLINE_SPACE = r"[\s\x1c-\x1f&&[^\n]]"
+# The same as a list of characters.
+_CODE_POINTS = (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_SPACES = "".join(map(chr, _CODE_POINTS))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -21,8 +25,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Remove all white space at both ends (``trim`` removes spaces only)."""
-    return F.regexp_replace(text, rf"(?dU)\A{SPACE}+|(?<!{SPACE}){SPACE}++\z", "")
+    """Remove all white space at both ends (plain ``trim`` removes spaces only)."""
+    return F.btrim(text, F.lit(_SPACES))
 
 
 def collapse(text: Column) -> Column:
@@ -30,10 +34,6 @@ def collapse(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?dU){SPACE}+", " ")
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
-
-
 def capture(text: Column, pattern: str, group: int = 1, flags: str = "dU") -> Column:
-    """One group of the first match; NULL when there is none or it is empty."""
-    return blank_to_null(F.regexp_extract(text, f"(?{flags}){pattern}", group))
+    """One group of the first match, ``''`` when there is none."""
+    return F.regexp_extract(text, f"(?{flags}){pattern}", group)

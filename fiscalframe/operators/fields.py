@@ -9,13 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fiscalframe.functions.names import clean_company_name
-from fiscalframe.functions.text import blank_to_null, capture, strip
+from fiscalframe.functions.text import capture, let, strip
 from fiscalframe.schema import PAYMENTS
 
 
 @dataclass(frozen=True)
 class FieldRule:
-    """The first match wins; ``clean`` works on the stripped capture."""
+    """The first match wins; ``clean`` works on the stripped capture.
+
+    ``read`` gives ``''`` both for no match and for an empty capture.
+    """
 
     pattern: str
     group: int = 1
@@ -24,7 +27,10 @@ class FieldRule:
 
     def read(self, text: Column) -> Column:
         value = strip(capture(text, self.pattern, self.group, self.flags))
-        return blank_to_null(self.clean(value) if self.clean else value)
+        return self.clean(value) if self.clean else value
+
+    def read_or_null(self, text: Column) -> Column:
+        return let(self.read(text), lambda v: F.when(v != "", v))
 
 
 # Printed labels (with their OCR spellings) and value shapes.
@@ -66,8 +72,10 @@ FISCAL_ID_ANY_CASE = FieldRule(r"Fiskal\s*[İI]D[:\s]*(\w+)", flags="iudU")
 
 
 def extract_fields(df: DataFrame, text: str, rules: Mapping[str, FieldRule]) -> DataFrame:
-    """Add one column per rule, read from the ``text`` column."""
-    return df.withColumns({name: rule.read(F.col(text)) for name, rule in rules.items()})
+    """Add one column per rule, read from the ``text`` column; NULL where nothing was found."""
+    found = df.withColumns({name: rule.read(F.col(text)) for name, rule in rules.items()})
+    # A step of its own, so that no pattern is run twice for its null test.
+    return found.withColumns({name: F.when(F.col(name) != "", F.col(name)) for name in rules})
 
 
 def payment_or_zero(amount: Column) -> Column:
@@ -85,7 +93,7 @@ def extract_header(df: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumns(
         {
             "store_name": F.col("taxpayer_name"),
-            "fiscal_id": F.coalesce("fiscal_id", FISCAL_ID_ANY_CASE.read(F.col(text))),
+            "fiscal_id": F.coalesce("fiscal_id", FISCAL_ID_ANY_CASE.read_or_null(F.col(text))),
             **{p: F.when(readable, payment_or_zero(F.col(p))) for p in PAYMENTS},
         }
     )

@@ -2,8 +2,9 @@
 
 A line either holds a whole item, or is tried together with the next line
 (names wrap), or is passed over. Read left to right, that is what one regular
-expression with three ordered alternatives does when all its matches are
-taken, so the walk needs no running state and stays linear in the text.
+expression with ordered alternatives does when all its matches are replaced,
+so the walk needs no running state and stays linear in the text. It rewrites
+the block into one line per step, ``name|quantity|price|total``.
 """
 
 from __future__ import annotations
@@ -11,51 +12,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscalframe.functions.names import clean_item_name, is_item_line
-from fiscalframe.functions.text import capture, let, strip
+from fiscalframe.functions.names import NAME_START, QUOTES, TAX_NOTE
+from fiscalframe.functions.text import INLINE_SPACE, capture, let
 
 # The block's first line and the lines that end it.
 ITEM_BLOCK = r"Məhsulun adı\s+Say\s+Qiymət\s+Cəmi\s*\n(.*?)(?=\n-+\s*\nCəmi|\nCəmi\s+\d+\.\d{2})"
 
 NO_ITEMS = "Item parsing failed"
 
-_N = r"[\d.]+"
-_H = r"[^\S\n]+"  # white space inside one line
-_ONE_LINE = rf"[^\n]+?{_H}{_N}{_H}{_N}{_H}{_N}$"
-# Two lines that read as one item once joined by a space: the joint may lie in
-# the name, or before the price, or before the total.
-_TWO_LINES = (
-    rf"[^\n]+\n(?:[^\n]+?{_H})?{_N}{_H}{_N}{_H}{_N}$"
-    rf"|[^\n]+?{_H}{_N}\n{_N}{_H}{_N}$"
-    rf"|[^\n]+?{_H}{_N}{_H}{_N}\n{_N}$"
+# Separates the parts of a step; a code point that never occurs in text.
+_BAR = "\ufdd0"
+
+_H = INLINE_SPACE
+_N = r"([\d.]+)"
+_STEPS = (
+    # name (unit) quantity price total
+    rf"([^\n]+?){_H}*\([^)\n]+\){_H}+{_N}{_H}+{_N}{_H}+{_N}$",
+    # name quantity price total
+    rf"([^\n]+?){_H}+{_N}{_H}+{_N}{_H}+{_N}$",
+    # The same over two lines: torn inside or behind the name, ...
+    rf"([^\n]+)\n(?:([^\n]+?){_H}+)?{_N}{_H}+{_N}{_H}+{_N}$",
+    # ... before the price, ...
+    rf"([^\n]+?){_H}+{_N}\n{_N}{_H}+{_N}$",
+    # ... or before the total.
+    rf"([^\n]+?){_H}+{_N}{_H}+{_N}\n{_N}$",
+    # Anything else.
+    r"[^\n]+$",
 )
-_STEP = rf"(?mdU)^(?:{_ONE_LINE}|{_TWO_LINES}|[^\n]+$)"
-_TAIL = rf"\s+({_N})\s+({_N})\s+({_N})$"
-_WITH_UNIT = rf"^([^\n]+?)[^\S\n]*\([^)\n]+\){_TAIL}"
-_PLAIN = rf"^(.+?){_TAIL}"
+# Which group of which alternative holds what; groups that took no part are empty.
+_AS_PARTS = _BAR.join(("$1$5$9$14$18 $10", "$2$6$11$15$19", "$3$7$12$16$20", "$4$8$13$17$21"))
 
 
 def item_lines(text: Column) -> Column:
-    """Stripped lines of the item block without blank lines and tax notes."""
-    block = F.regexp_extract(text, "(?msdU)" + ITEM_BLOCK, 1)
-    return F.filter(F.transform(F.split(block, "\n"), strip), is_item_line)
+    """The item block with every line stripped, without blank lines and tax notes."""
+    block = capture(text, ITEM_BLOCK, flags="msdU")
+    stripped = F.regexp_replace(block, rf"(?mdU)^{_H}+|(?<!{_H}){_H}++$|{_BAR}", "")
+    note = TAX_NOTE.replace("*", r"\*")
+    return F.regexp_replace(stripped, rf"(?mdU)^(?:{note}[^\n]*)?(?:\n|\z)", "")
 
 
-def _read_step(step: Column) -> Column:
-    joined = F.replace(step, F.lit("\n"), F.lit(" "))
-
-    def number(group: int) -> Column:
-        return F.regexp_extract(joined, "(?dU)" + _PLAIN, group)
-
-    name = F.coalesce(capture(step, _WITH_UNIT), capture(joined, _PLAIN))
-    digits = [number(g) for g in (2, 3, 4)]
-    return F.struct(
-        clean_item_name(strip(name)).alias("item_name"),
-        (digits[0] != "").alias("matched"),
-        digits[0].try_cast("double").alias("quantity"),
-        digits[1].try_cast("double").alias("unit_price"),
-        digits[2].try_cast("double").alias("line_total"),
-    )
+def _clean_names(steps: Column) -> Column:
+    """Item name clean-up for all steps at once: prefixes, edge quotes, spaces."""
+    start = rf"^{NAME_START}{QUOTES}?{_H}*"
+    end = rf"(?<!{_H}){_H}*{QUOTES}?{_H}*(?={_BAR})"
+    return F.regexp_replace(F.regexp_replace(steps, rf"(?mdU){start}|{end}", ""), rf"(?dU){_H}+", " ")
 
 
 def _unreadable(item: Column) -> Column:
@@ -68,15 +68,20 @@ def items_from_lines(lines: Column) -> Column:
     The first number that cannot be read (``1.2.3``) ends the receipt's list;
     items before it stay. Items whose cleaned name is empty are left out.
     """
-    steps = F.regexp_extract_all(F.array_join(lines, "\n"), F.lit(_STEP), F.lit(0))
-    matched = F.filter(F.transform(steps, _read_step), lambda i: i["matched"])
+    steps = F.regexp_replace(lines, f"(?mdU)^(?:{'|'.join(_STEPS)})", _AS_PARTS)
+    parts = F.transform(F.split(_clean_names(steps), "\n"), lambda step: F.split(step, _BAR))
+    matched = F.filter(parts, lambda p: F.size(p) == 4)
+
+    def read(p: Column) -> Column:
+        numbers = [p[i + 1].try_cast("double").alias(n) for i, n in enumerate(("quantity", "unit_price", "line_total"))]
+        return F.struct(p[0].alias("item_name"), *numbers)
 
     def up_to_first_bad(items: Column) -> Column:
         first_bad = F.array_position(F.transform(items, _unreadable), F.lit(True))
         kept = F.when(first_bad > 0, F.slice(items, F.lit(1), F.greatest(first_bad - 1, F.lit(0)).cast("int")))
         return F.filter(kept.otherwise(items), lambda i: i["item_name"] != "")
 
-    return F.transform(let(matched, up_to_first_bad), lambda i: i.dropFields("matched"))
+    return let(F.transform(F.filter(matched, lambda p: p[1] != ""), read), up_to_first_bad)
 
 
 def items_from_text(text: Column) -> Column:

@@ -53,8 +53,8 @@ def array_text(response: Column) -> Column:
     """
 
     def locate(r: Column) -> Column:
-        inner = F.nullif(F.regexp_extract(r, ARRAY, 0), F.lit(""))
-        return F.when(F.startswith(r, F.lit("[")), r).otherwise(inner)
+        widest = let(F.regexp_extract(r, ARRAY, 0), lambda a: F.when(a != "", a))
+        return F.when(F.startswith(r, F.lit("[")), r).otherwise(widest)
 
     return let(strip_fences(response), locate)
 
