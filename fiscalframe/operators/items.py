@@ -12,16 +12,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscalframe.functions.names import NAME_START, QUOTES, TAX_NOTE
-from fiscalframe.functions.text import INLINE_SPACE, capture, let
+from fiscalframe.functions.names import NAME_START, QUOTES, is_item_line
+from fiscalframe.functions.text import INLINE_SPACE, capture, let, strip
 
 # The block's first line and the lines that end it.
 ITEM_BLOCK = r"Məhsulun adı\s+Say\s+Qiymət\s+Cəmi\s*\n(.*?)(?=\n-+\s*\nCəmi|\nCəmi\s+\d+\.\d{2})"
 
 NO_ITEMS = "Item parsing failed"
 
-# Separates the parts of a step; a code point that never occurs in text.
-_BAR = "\ufdd0"
+# Code points that never occur in text: between the parts of a step, and where
+# two lines were joined.
+_BAR, _JOINT = "\ufdd0", "\ufdd1"
 
 _H = INLINE_SPACE
 _N = r"([\d.]+)"
@@ -40,22 +41,21 @@ _STEPS = (
     r"[^\n]+$",
 )
 # Which group of which alternative holds what; groups that took no part are empty.
-_AS_PARTS = _BAR.join(("$1$5$9$14$18 $10", "$2$6$11$15$19", "$3$7$12$16$20", "$4$8$13$17$21"))
+_AS_PARTS = _BAR.join((f"$1$5$9$14$18{_JOINT}$10", "$2$6$11$15$19", "$3$7$12$16$20", "$4$8$13$17$21"))
 
 
 def item_lines(text: Column) -> Column:
-    """The item block with every line stripped, without blank lines and tax notes."""
-    block = capture(text, ITEM_BLOCK, flags="msdU")
-    stripped = F.regexp_replace(block, rf"(?mdU)^{_H}+|(?<!{_H}){_H}++$|{_BAR}", "")
-    note = TAX_NOTE.replace("*", r"\*")
-    return F.regexp_replace(stripped, rf"(?mdU)^(?:{note}[^\n]*)?(?:\n|\z)", "")
+    """Stripped lines of the item block without blank lines and tax notes."""
+    block = F.translate(capture(text, ITEM_BLOCK, flags="msdU"), _BAR + _JOINT, "")
+    return F.filter(F.transform(F.split(block, "\n"), strip), is_item_line)
 
 
-def _clean_names(steps: Column) -> Column:
-    """Item name clean-up for all steps at once: prefixes, edge quotes, spaces."""
-    start = rf"^{NAME_START}{QUOTES}?{_H}*"
-    end = rf"(?<!{_H}){_H}*{QUOTES}?{_H}*(?={_BAR})"
-    return F.regexp_replace(F.regexp_replace(steps, rf"(?mdU){start}|{end}", ""), rf"(?dU){_H}+", " ")
+def _steps(lines: Column) -> Column:
+    """One line per step, with item names cleaned except for white space at their ends."""
+    walked = F.regexp_replace(F.array_join(lines, "\n"), f"(?mdU)^(?:{'|'.join(_STEPS)})", _AS_PARTS)
+    joined = F.translate(F.replace(walked, F.lit(_JOINT + _BAR), F.lit(_BAR)), _JOINT, " ")
+    unprefixed = F.regexp_replace(joined, rf"(?mdU)^{NAME_START}{QUOTES}?|{QUOTES}(?={_BAR})", "")
+    return F.regexp_replace(unprefixed, rf"(?dU){_H}+", " ")
 
 
 def _unreadable(item: Column) -> Column:
@@ -68,20 +68,18 @@ def items_from_lines(lines: Column) -> Column:
     The first number that cannot be read (``1.2.3``) ends the receipt's list;
     items before it stay. Items whose cleaned name is empty are left out.
     """
-    steps = F.regexp_replace(lines, f"(?mdU)^(?:{'|'.join(_STEPS)})", _AS_PARTS)
-    parts = F.transform(F.split(_clean_names(steps), "\n"), lambda step: F.split(step, _BAR))
-    matched = F.filter(parts, lambda p: F.size(p) == 4)
+    parts = F.transform(F.split(_steps(lines), "\n"), lambda step: F.split(step, _BAR))
 
     def read(p: Column) -> Column:
         numbers = [p[i + 1].try_cast("double").alias(n) for i, n in enumerate(("quantity", "unit_price", "line_total"))]
-        return F.struct(p[0].alias("item_name"), *numbers)
+        return F.struct(strip(p[0]).alias("item_name"), *numbers)
 
     def up_to_first_bad(items: Column) -> Column:
         first_bad = F.array_position(F.transform(items, _unreadable), F.lit(True))
         kept = F.when(first_bad > 0, F.slice(items, F.lit(1), F.greatest(first_bad - 1, F.lit(0)).cast("int")))
         return F.filter(kept.otherwise(items), lambda i: i["item_name"] != "")
 
-    return let(F.transform(F.filter(matched, lambda p: p[1] != ""), read), up_to_first_bad)
+    return let(F.transform(F.filter(parts, lambda p: F.get(p, F.lit(1)) != ""), read), up_to_first_bad)
 
 
 def items_from_text(text: Column) -> Column:

@@ -123,7 +123,8 @@ def _read_item(item: Column) -> Column:
 
     def read(fields: Column) -> Column:
         def each(names: Sequence[str], how: Callable[[Column], Column]) -> Column:
-            return F.transform(F.array(*map(F.lit, names)), lambda n: how(F.try_element_at(fields, n)))
+            values = F.transform(F.array(*map(F.lit, names)), lambda n: F.try_element_at(fields, n))
+            return F.transform(values, lambda v: F.when(v.isNotNull(), how(v)))
 
         def as_struct(numbers: Column) -> Column:
             name = F.try_element_at(fields, F.lit("item_name"))
@@ -229,7 +230,9 @@ def explode_responses(receipts: DataFrame, chosen: DataFrame) -> DataFrame:
     ``source_filename`` is the receipt asked about, ``filename`` what the
     model put into its answer.
     """
-    joined = receipts.select("filename").join(chosen, "filename", "left")
+    # The chosen items are already partitioned and sorted by filename; a guess
+    # at their size must not turn this into a broadcast.
+    joined = receipts.select("filename").join(chosen.hint("merge"), "filename", "left")
     rows = joined.select(
         F.col("filename").alias("source_filename"), F.posexplode_outer("items").alias("line_no", "_item")
     )

@@ -26,15 +26,24 @@ def is_image(filename: Column) -> Column:
 
 
 def _present(files: DataFrame) -> DataFrame:
-    # Reduced map-side; the join below reuses this shuffle.
-    return files.select("filename").distinct()
+    """IDs that have a file.
+
+    Distinct before the join: copies are reduced map-side and the join on the
+    same key needs no further shuffle. The merge hint keeps the planner from
+    broadcasting a side whose size it can only guess from compressed files.
+    """
+    named = files.filter(F.col("filename").endswith(IMAGE_ENDING))
+    fiscal_id = F.substr("filename", F.lit(1), F.length("filename") - len(IMAGE_ENDING))
+    return named.select(fiscal_id.alias("fiscal_id")).distinct().hint("merge")
 
 
 def fetch_worklist(ids: DataFrame, files: DataFrame, base: str = DOCUMENT_URL) -> DataFrame:
     """Each ID without a file once, with the address to fetch and the name to store."""
     wanted = ids.select("fiscal_id").distinct()
-    named = wanted.select("fiscal_id", document_url(F.col("fiscal_id"), base).alias("url"), image_name(F.col("fiscal_id")).alias("filename"))
-    return named.join(_present(files), "filename", "left_anti").select("fiscal_id", "url", "filename")
+    key = F.col("fiscal_id")
+    return wanted.join(_present(files), "fiscal_id", "left_anti").select(
+        "fiscal_id", document_url(key, base).alias("url"), image_name(key).alias("filename")
+    )
 
 
 def outcome(present: Column, status_code: Column, error: Column) -> Column:
@@ -48,15 +57,15 @@ def outcome(present: Column, status_code: Column, error: Column) -> Column:
 
 
 def fetch_outcomes(fetch_log: DataFrame, files: DataFrame) -> DataFrame:
-    """The log with ``outcome`` and ``success``; a file already there is a success."""
+    """The log with ``filename``, ``outcome`` and ``success``; a file already there is a success."""
     there = _present(files).withColumn("_there", F.lit(True))
-    log = fetch_log.withColumn("filename", image_name(F.col("fiscal_id")))
     result = outcome(F.coalesce("_there", F.lit(False)), F.col("status_code"), F.col("error"))
-    return (
-        log.join(there, "filename", "left")
-        .withColumn("outcome", result)
-        .withColumn("success", F.col("outcome").isin("present", "downloaded"))
-        .drop("_there")
+    judged = fetch_log.join(there, "fiscal_id", "left").withColumn("outcome", result)
+    return judged.select(
+        *fetch_log.columns,
+        image_name(F.col("fiscal_id")).alias("filename"),
+        "outcome",
+        F.col("outcome").isin("present", "downloaded").alias("success"),
     )
 
 

@@ -16,7 +16,7 @@ def stream_ocr_table(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_ocr_files(spark: SparkSession, path: str) -> DataFrame:
     """New text files, one receipt each."""
-    return text_files(spark.readStream.option("wholetext", True).text(path))
+    return text_files(spark.readStream.text(path, wholetext=True))
 
 
 def parse_new_receipts(ocr_stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

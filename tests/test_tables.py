@@ -1,0 +1,195 @@
+"""Sources, sinks, worklist, quality figures and incremental runs."""
+
+import csv
+from datetime import date
+from pathlib import Path
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from fiscalframe.operators.quality import (
+    compare_extractors,
+    fill_rates,
+    items_per_receipt,
+    math_accuracy,
+    payment_failures,
+    reconcile_receipts,
+    run_summary,
+    suspicious_rate,
+)
+from fiscalframe.operators.worklist import fetch_outcomes, fetch_summary, fetch_worklist
+from fiscalframe.plans.receipts import parse_receipts
+from fiscalframe.schema import COLUMNS, conform
+from fiscalframe.sources.inputs import list_images, read_fiscal_ids, read_ocr_text, spread_small
+from fiscalframe.sources.outputs import read_csv, scratch_path, write_by_sale_date, write_csv
+from fiscalframe.streaming.incremental import parse_new_receipts, stream_ocr_files
+
+SLIP = "Tarix: {d} Vaxt: 10:00:00\nMəhsulun adı Say Qiymət Cəmi\n{n} 1.000 2.10 2.10\nCəmi 2.10\n"
+
+
+@pytest.fixture
+def receipts(spark):
+    rows = [("a.jpeg", SLIP.format(d="01.02.2024", n="Su")), ("b.jpeg", SLIP.format(d="99.02.2024", n="Un")), ("c.jpeg", "")]
+    return parse_receipts(spark.createDataFrame(rows, "filename string, text string"))
+
+
+def test_fiscal_ids(spark, tmp_path):
+    (tmp_path / "ids.txt").write_text("abc \n\t x1\n\n y2", encoding="utf-8")
+    ids = [r["fiscal_id"] for r in read_fiscal_ids(spark, str(tmp_path / "ids.txt")).collect()]
+    assert sorted(ids) == ["", "abc", "x1", "y2"]
+
+
+def test_list_images(spark, tmp_path):
+    for name in ("a.jpeg", "B.JPG", "c d.png", "e+f%20.tiff", "g.txt", "h.jpeg.txt", "jpeg"):
+        (tmp_path / name).write_bytes(b"x")
+    found = sorted(r["filename"] for r in list_images(spark, str(tmp_path)).collect())
+    assert found == ["B.JPG", "a.jpeg", "c d.png", "e+f%20.tiff"]
+
+
+def test_text_files(spark, tmp_path):
+    (tmp_path / "a.jpeg.txt").write_text("line 1\nline 2", encoding="utf-8")
+    (tmp_path / "b c+ə%20.jpeg").write_text("ə", encoding="utf-8")
+    rows = sorted(tuple(r) for r in read_ocr_text(spark, str(tmp_path), "text").collect())
+    assert rows == [("a.jpeg", "line 1\nline 2"), ("b c+ə%20.jpeg", "ə")]
+
+
+def test_csv_is_what_pandas_writes(spark, tmp_path):
+    names = ['quote " inside', "comma, inside", "two\nlines", " edge spaces ", "", None, "ƏDV", '"', "'"]
+    rows = [(f"{i}.jpeg", n, float(i), 2.1, None) for i, n in enumerate(names)]
+    df = conform(spark.createDataFrame(rows, "filename string, item_name string, quantity double, unit_price double, line_total double"))
+    write_csv(df.coalesce(1), str(tmp_path / "out"))
+    (part,) = (tmp_path / "out").glob("part-*.csv")
+    frame = pd.DataFrame([{"filename": r[0], "item_name": r[1], "quantity": r[2], "unit_price": r[3]} for r in rows])
+    assert part.read_bytes().decode() == frame.reindex(columns=list(COLUMNS)).to_csv(index=False)
+    back = {r["filename"]: r["item_name"] for r in read_csv(spark, str(tmp_path / "out")).collect()}
+    assert back == {r[0]: r[1] or None for r in rows}
+
+
+def test_csv_with_two_decimals(spark, tmp_path, receipts):
+    write_csv(receipts.coalesce(1), str(tmp_path / "out"), two_decimals=True)
+    (part,) = (tmp_path / "out").glob("part-*.csv")
+    prices = {r["filename"]: r["unit_price"] for r in csv.DictReader(part.open(encoding="utf-8"))}
+    assert prices == {"a.jpeg": "2.10", "b.jpeg": "2.10", "c.jpeg": ""}
+
+
+def test_parquet_by_sale_date(spark, tmp_path, receipts):
+    write_by_sale_date(receipts, str(tmp_path / "out"))
+    table = spark.read.parquet(str(tmp_path / "out"))
+    assert {(r["filename"], r["sale_date"]) for r in table.collect()} == {
+        ("a.jpeg", date(2024, 2, 1)),
+        ("b.jpeg", None),
+        ("c.jpeg", None),
+    }
+    day = table.filter(F.col("sale_date") == "2024-02-01")
+    assert "PartitionFilters: [isnotnull(sale_date" in day._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scratch_is_in_the_shared_folder(spark):
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_spread_small(spark, tmp_path):
+    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "t"))
+    small = spark.read.parquet(str(tmp_path / "t"))
+    assert spread_small(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
+        assert spread_small(small) is small
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+
+
+def test_worklist(spark):
+    ids = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), ("",)], "fiscal_id string")
+    files = spark.createDataFrame([("a.jpeg",), ("a.jpeg",), ("c.png",)], "filename string")
+    rows = {tuple(r) for r in fetch_worklist(ids, files, "http://x/").collect()}
+    assert rows == {("b", "http://x/b", "b.jpeg"), ("c", "http://x/c", "c.jpeg"), ("", "http://x/", ".jpeg")}
+
+
+def test_outcomes(spark):
+    log = [("a", 404, None), ("b", 200, None), ("b", 500, None), ("c", None, "timeout"), ("d", None, "connection"), ("e", None, "odd"), ("f", None, None)]
+    files = spark.createDataFrame([("a.jpeg",), ("a.jpeg",)], "filename string")
+    out = fetch_outcomes(spark.createDataFrame(log, "fiscal_id string, status_code int, error string"), files)
+    assert sorted((r["fiscal_id"], r["outcome"], r["success"]) for r in out.collect()) == [
+        ("a", "present", True),
+        ("b", "bad_status", False),
+        ("b", "downloaded", True),
+        ("c", "timeout", False),
+        ("d", "connection", False),
+        ("e", "other_error", False),
+        ("f", "other_error", False),
+    ]
+    assert fetch_summary(out).first().asDict() == {"total": 7, "successful": 2, "failed": 5}
+
+
+ITEMS = [
+    # filename, store_name, item_name, q, p, t, subtotal, cash_payment
+    ("a", "S", "x", 2.0, 0.5, 1.0, "3.00", "3.00"),
+    ("a", "S", "y", 60.0, 0.5, 2.0, "3.00", "3.00"),
+    ("b", None, "z", 1.0, 1.19, 1.18, None, "0.00"),
+    ("c", "", None, None, None, None, "0.00", "0.00"),
+    (None, None, None, None, None, None, None, None),
+]
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    schema = "filename string, store_name string, item_name string, quantity double, unit_price double, line_total double, subtotal string, cash_payment string"
+    return conform(spark.createDataFrame(ITEMS, schema))
+
+
+def test_run_summary(spark, items):
+    files = spark.createDataFrame([(f,) for f in "abcd"], "filename string")
+    row = run_summary(items, files).first().asDict()
+    assert row == {
+        "unique_receipts": 4,
+        "item_rows": 5,
+        "rows_with_store_name": 3,
+        "rows_with_address": 0,
+        "rows_with_item": 3,
+        "rows_with_date": 0,
+        "rows_per_receipt": 1.2,
+        "cost": 0.12,
+    }
+
+
+def test_run_summary_of_nothing(spark, items):
+    row = run_summary(items.limit(0), spark.createDataFrame([], "filename string")).first()
+    assert (row["unique_receipts"], row["rows_per_receipt"], row["cost"]) == (0, None, 0.0)
+
+
+def test_rates(items):
+    rates = {r["metric"]: r["value"] for r in fill_rates(items).collect()}
+    assert len(rates) == 30 and rates["item_name"] == 0.6 and rates["date"] == 0.0
+    assert math_accuracy(items).first()[0] == pytest.approx(1 / 3)
+    assert suspicious_rate(items).first()[0] == pytest.approx(1 / 3)
+    assert suspicious_rate(items, above=100).first()[0] == 0.0
+    assert payment_failures(items.filter("filename is not null")).first()[0] == pytest.approx(2 / 3)
+
+
+def test_reconcile(items):
+    rows = {r["filename"]: r for r in reconcile_receipts(items).collect()}
+    assert (rows["a"]["n_items"], float(rows["a"]["gap"])) == (2, 0.0)
+    assert (float(rows["b"]["items_total"]), rows["b"]["gap"]) == (1.18, None)
+    assert rows["c"]["items_total"] is None
+    assert {tuple(r) for r in items_per_receipt(items).collect()} == {(2, 1), (1, 1), (0, 2)}
+
+
+def test_compare(items):
+    other = items.filter("item_name is not null")
+    rows = {r["metric"]: r for r in compare_extractors({"a": items, "b": other}, ["item_name"]).collect()}
+    assert (rows["item_name"]["a"], rows["item_name"]["b"], rows["item_name"]["difference"]) == (0.6, 1.0, 0.4)
+    assert set(rows) == {"item_name", "math_accuracy", "suspicious_rate"}
+
+
+def test_incremental_runs_see_each_file_once(spark, tmp_path):
+    arrivals = tmp_path / "in"
+    arrivals.mkdir()
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    for name, product in (("a.jpeg", "Su"), ("b.jpeg", "Un")):
+        Path(arrivals / f"{name}.txt").write_text(SLIP.format(d="01.02.2024", n=product), encoding="utf-8")
+        parse_new_receipts(stream_ocr_files(spark, str(arrivals)), out, state).awaitTermination()
+    rows = sorted((r["filename"], r["item_name"]) for r in spark.read.parquet(out).collect())
+    assert rows == [("a.jpeg", "Su"), ("b.jpeg", "Un")]
