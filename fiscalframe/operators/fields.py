@@ -15,7 +15,7 @@ from fiscalframe.schema import PAYMENTS
 
 @dataclass(frozen=True)
 class FieldRule:
-    """The first match wins; ``clean`` works on the stripped capture.
+    """The first match wins; ``clean`` works on what the group captured.
 
     ``read`` gives ``''`` both for no match and for an empty capture.
     """
@@ -26,13 +26,17 @@ class FieldRule:
     flags: str = "msdU"
 
     def read(self, text: Column) -> Column:
-        value = strip(capture(text, self.pattern, self.group, self.flags))
+        value = capture(text, self.pattern, self.group, self.flags)
         return self.clean(value) if self.clean else value
 
     def read_or_null(self, text: Column) -> Column:
         return let(self.read(text), lambda v: F.when(v != "", v))
 
 
+def _company(captured: Column) -> Column:
+    return clean_company_name(strip(captured))
+
+
 # Printed labels (with their OCR spellings) and value shapes.
 _REST = r"[:\s]*([^\n]*)"
 _AMOUNT = r"(\d+\.\d{2})"
@@ -41,13 +45,13 @@ _REFUND = r"Geri\s*qaytarılma\s*tarixi[:\s]*(\d{2}\.\d{2}\.\d{4})\s+(\d{2}:\d{2
 _TAXPAYER = r"Vergi\s*ödəyicisinin\s*adı" + _REST
 
 HEADER_RULES: dict[str, FieldRule] = {
-    "taxpayer_name": FieldRule(_TAXPAYER, clean=clean_company_name),
-    "store_address": FieldRule(r"(?:Obyektin\s*ünvanı|fani)" + _REST),
+    "taxpayer_name": FieldRule(_TAXPAYER, clean=_company),
+    "store_address": FieldRule(r"(?:Obyektin\s*ünvanı|fani)" + _REST, clean=strip),
     "store_code": FieldRule(r"(?:Obyektin\s*kodu|ÖV.*?obyektin\s*kodu)[:\s]*([\d\-]+)"),
     "tax_id": FieldRule(r"VÖEN[:\s]*(\d+)"),
     # The last three letters of the class are Cyrillic.
     "receipt_number": FieldRule("Satış\\s*çeki\\s*[№#NоМә]*\\s*(\\d+)"),
-    "cashier_name": FieldRule(r"Kassir[:\s]*((?!Tarix)[^\n\d]*?)(?:\s+Tarix|\n|$)"),
+    "cashier_name": FieldRule(r"Kassir[:\s]*((?!Tarix)[^\n\d]*?)(?:\s+Tarix|\n|$)", clean=strip),
     "date": FieldRule(_SALE, 1),
     "time": FieldRule(_SALE, 2),
     "subtotal": FieldRule(r"Cəmi\s+" + _AMOUNT),
@@ -59,10 +63,10 @@ HEADER_RULES: dict[str, FieldRule] = {
     "advance_payment": FieldRule(r"Avans\s*\([^)]*\)[:\s]*" + _AMOUNT),
     "credit_payment": FieldRule(r"Nisyə[:\s]*" + _AMOUNT),
     "queue_number": FieldRule(r"Növbə\s*ərzində\s*vurulmuş\s*çek\s*sayı[:\s]*(\d+)"),
-    "cash_register_model": FieldRule(r"NKA-nın\s*modeli" + _REST),
-    "cash_register_serial": FieldRule(r"NKA-nın\s*zavod\s*nömrəsi" + _REST),
+    "cash_register_model": FieldRule(r"NKA-nın\s*modeli" + _REST, clean=strip),
+    "cash_register_serial": FieldRule(r"NKA-nın\s*zavod\s*nömrəsi" + _REST, clean=strip),
     "fiscal_id": FieldRule(r"Fiskal\s*[İI]D[:\s]*(\S+)"),
-    "fiscal_registration": FieldRule(r"NMQ-nin\s*qeydiyyat\s*nömrəsi" + _REST),
+    "fiscal_registration": FieldRule(r"NMQ-nin\s*qeydiyyat\s*nömrəsi" + _REST, clean=strip),
     "refund_amount": FieldRule(r"Geri\s*qaytarılan\s*məbləğ[:\s]*" + _AMOUNT),
     "refund_date": FieldRule(_REFUND, 1),
     "refund_time": FieldRule(_REFUND, 2),

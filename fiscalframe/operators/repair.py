@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fiscalframe.functions.numbers import one_decimal, read_double, two_decimal_text, two_decimals
-from fiscalframe.functions.text import let, strip
+from fiscalframe.functions.text import let
 
 # Thresholds of the repair rules and warnings.
 LOST_POINT_FROM = 1000
@@ -99,6 +99,5 @@ def money_text(text: Column) -> Column:
 
     Anything else that is not a number becomes ``0.00``.
     """
-    value = read_double(strip(text))
-    formatted = F.coalesce(two_decimal_text(value), F.lit("0.00"))
+    formatted = F.coalesce(two_decimal_text(read_double(text)), F.lit("0.00"))
     return F.when(text.isNull() | text.isin("", "null"), text).otherwise(formatted)

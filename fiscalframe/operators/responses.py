@@ -74,45 +74,47 @@ def _is_whole(parsed: Column) -> Column:
     return F.coalesce((mark == _END) & F.try_variant_get(parsed, "$[2]", "variant").isNull(), F.lit(False))
 
 
+def _as_text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
+
+def _is_kind(value: Column, kind: str) -> Column:
+    return F.schema_of_variant(value) == kind
+
+
 def _text(value: Column) -> Column:
-    """A JSON value as the text it has in the output; null and absent give NULL."""
-    text = F.try_variant_get(value, "$", "string")
-    is_bool = text.isin("true", "false") & (F.schema_of_variant(value) == "BOOLEAN")
-    return F.when(is_bool, F.initcap(text)).otherwise(text)
+    """A JSON value as the text it has in the output; null gives NULL."""
+
+    def fmt(text: Column) -> Column:
+        is_bool = text.isin("true", "false") & _is_kind(value, "BOOLEAN")
+        return F.when(is_bool, F.initcap(text)).otherwise(text)
+
+    return let(_as_text(value), fmt)
 
 
 def _number(value: Column) -> Column:
     """Number of a JSON number, numeric string or boolean, else NULL."""
 
-    def read(s: Column) -> Column:
-        container = s["kind"].startswith("ARRAY") | s["kind"].startswith("OBJECT")
-        return (
-            F.when(s["kind"] == "BOOLEAN", (s["text"] == "true").cast("double"))
-            .when(~container, read_double(strip(s["text"])))
-        )
+    def read(text: Column) -> Column:
+        as_bool = F.when(text.isin("true", "false") & _is_kind(value, "BOOLEAN"), (text == "true").cast("double"))
+        return F.coalesce(read_double(text), as_bool)
 
-    return let(_kind_and_text(value), read)
+    return let(_as_text(value), read)
 
 
 def _money(value: Column) -> Column:
-    """Money field as text: zero, false and empty containers stay as they are."""
-
-    def fmt(s: Column) -> Column:
-        falsy = (read_double(s["text"]) == 0) | s["text"].isin("false", "[]", "{}")
-        return (
-            F.when(s["kind"] == "STRING", money_text(s["text"]))
-            .when(falsy, F.when(s["text"] == "false", F.lit("False")).otherwise(s["text"]))
-            .when(s["kind"] == "BOOLEAN", F.lit("1.00"))
-            .otherwise(money_text(s["text"]))
-        )
+    """Money field as text.
 
-    return let(_kind_and_text(value), fmt)
+    A JSON zero, ``false`` and empty containers stay as they are; strings
+    follow ``money_text``, and so does everything else.
+    """
 
+    def fmt(text: Column) -> Column:
+        unquoted = text.rlike(r"^(-?0+(\.0+)?([eE].*)?|true|false|\[\]|\{\})$") & ~_is_kind(value, "STRING")
+        as_is = F.when(text == "true", F.lit("1.00")).when(text == "false", F.lit("False")).otherwise(text)
+        return F.when(unquoted, as_is).otherwise(money_text(text))
 
-def _kind_and_text(value: Column) -> Column:
-    return F.struct(
-        F.schema_of_variant(value).alias("kind"), F.try_variant_get(value, "$", "string").alias("text")
-    )
+    return let(_as_text(value), fmt)
 
 
 def _read_item(item: Column) -> Column:

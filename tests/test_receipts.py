@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from fiscalframe.functions.text import collapse
+from fiscalframe.functions.text import collapse, strip
 from fiscalframe.operators.fields import HEADER_RULES, FieldRule, extract_fields, extract_header
 from fiscalframe.operators.items import items_from_lines, items_from_text
 from fiscalframe.plans.receipts import parse_receipts
@@ -190,7 +190,7 @@ def test_rules_read_what_python_re_reads(spark):
         text = rng.choice(["\n", "\n", "\r\n", " "]).join(lines)
         texts.append(text if rng.random() < 0.5 else text[: rng.randrange(len(text) + 1)])
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
-    plain = {n: FieldRule(r.pattern, r.group) for n, r in HEADER_RULES.items()}
+    plain = {n: FieldRule(r.pattern, r.group, strip) for n, r in HEADER_RULES.items()}
     for row in extract_fields(df, "text", plain).collect():
         for name, rule in HEADER_RULES.items():
             m = re.search(rule.pattern, texts[row["i"]], re.MULTILINE | re.DOTALL)
@@ -210,7 +210,7 @@ def test_fallback_rows(spark):
 
 def test_extract_fields_takes_any_rule_table(spark):
     df = spark.createDataFrame([("total:  A  B",)], "body string")
-    rules = {"total": FieldRule(r"total:(.*)", clean=collapse), "missing": FieldRule(r"x(\d)")}
+    rules = {"total": FieldRule(r"total:(.*)", clean=lambda c: strip(collapse(c))), "missing": FieldRule(r"x(\d)")}
     row = extract_fields(df, "body", rules).first()
     assert (row["total"], row["missing"]) == ("A B", None)
 
