@@ -15,22 +15,22 @@ from fiscalframe.schema import PAYMENTS
 
 @dataclass(frozen=True)
 class FieldRule:
-    """The first match wins; ``clean`` works on what the group captured.
-
-    ``read`` gives ``''`` both for no match and for an empty capture.
-    """
+    """The first match wins; ``clean`` works on what the group captured."""
 
     pattern: str
     group: int = 1
     clean: Callable[[Column], Column] | None = None
     flags: str = "msdU"
 
-    def read(self, text: Column) -> Column:
-        value = capture(text, self.pattern, self.group, self.flags)
-        return self.clean(value) if self.clean else value
+    def find(self, text: Column) -> Column:
+        """The capture; ``''`` both for no match and for an empty one."""
+        return capture(text, self.pattern, self.group, self.flags)
 
-    def read_or_null(self, text: Column) -> Column:
-        return let(self.read(text), lambda v: F.when(v != "", v))
+    def finish(self, captured: Column) -> Column:
+        """Cleaned, with NULL for an empty result."""
+        if self.clean is None:
+            return F.when(captured != "", captured)
+        return let(self.clean(captured), lambda v: F.when(v != "", v))
 
 
 def _company(captured: Column) -> Column:
@@ -77,9 +77,10 @@ FISCAL_ID_ANY_CASE = FieldRule(r"Fiskal\s*[İI]D[:\s]*(\w+)", flags="iudU")
 
 def extract_fields(df: DataFrame, text: str, rules: Mapping[str, FieldRule]) -> DataFrame:
     """Add one column per rule, read from the ``text`` column; NULL where nothing was found."""
-    found = df.withColumns({name: rule.read(F.col(text)) for name, rule in rules.items()})
-    # A step of its own, so that no pattern is run twice for its null test.
-    return found.withColumns({name: F.when(F.col(name) != "", F.col(name)) for name in rules})
+    # Two steps, so that no pattern is run twice for its null test and the
+    # first one compiles into a method small enough for the JIT.
+    found = df.withColumns({name: rule.find(F.col(text)) for name, rule in rules.items()})
+    return found.withColumns({name: rule.finish(F.col(name)) for name, rule in rules.items()})
 
 
 def payment_or_zero(amount: Column) -> Column:
@@ -87,6 +88,10 @@ def payment_or_zero(amount: Column) -> Column:
     return F.coalesce(amount.try_cast("decimal(38,2)").cast("string"), F.lit("0.00"))
 
 
+def _second_chance(text: Column) -> Column:
+    return let(FISCAL_ID_ANY_CASE.find(text), FISCAL_ID_ANY_CASE.finish)
+
+
 def extract_header(df: DataFrame, text: str = "text") -> DataFrame:
     """All header columns of the 30-column layout, with their fallbacks.
 
@@ -97,7 +102,7 @@ def extract_header(df: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumns(
         {
             "store_name": F.col("taxpayer_name"),
-            "fiscal_id": F.coalesce("fiscal_id", FISCAL_ID_ANY_CASE.read_or_null(F.col(text))),
+            "fiscal_id": F.coalesce("fiscal_id", _second_chance(F.col(text))),
             **{p: F.when(readable, payment_or_zero(F.col(p))) for p in PAYMENTS},
         }
     )
