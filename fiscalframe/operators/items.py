@@ -46,14 +46,17 @@ _AS_PARTS = _BAR.join((f"$1$5$9$14$18{_JOINT}$10", "$2$6$11$15$19", "$3$7$12$16$
 
 def item_lines(text: Column) -> Column:
     """Stripped lines of the item block without blank lines and tax notes."""
-    block = F.translate(capture(text, ITEM_BLOCK, flags="msdU"), _BAR + _JOINT, "")
+    block = capture(text, ITEM_BLOCK, flags="msdU")
+    for mark in (_BAR, _JOINT):
+        block = F.replace(block, F.lit(mark), F.lit(""))
     return F.filter(F.transform(F.split(block, "\n"), strip), is_item_line)
 
 
 def _steps(lines: Column) -> Column:
     """One line per step, with item names cleaned except for white space at their ends."""
     walked = F.regexp_replace(F.array_join(lines, "\n"), f"(?mdU)^(?:{'|'.join(_STEPS)})", _AS_PARTS)
-    joined = F.translate(F.replace(walked, F.lit(_JOINT + _BAR), F.lit(_BAR)), _JOINT, " ")
+    # A joint at the end of a name joins nothing.
+    joined = F.replace(F.replace(walked, F.lit(_JOINT + _BAR), F.lit(_BAR)), F.lit(_JOINT), F.lit(" "))
     unprefixed = F.regexp_replace(joined, rf"(?mdU)^{NAME_START}{QUOTES}?|{QUOTES}(?={_BAR})", "")
     return F.regexp_replace(unprefixed, rf"(?dU){_H}+", " ")
 

@@ -230,11 +230,13 @@ def explode_responses(receipts: DataFrame, chosen: DataFrame) -> DataFrame:
     """Items per receipt; receipts without any get one fallback row.
 
     ``source_filename`` is the receipt asked about, ``filename`` what the
-    model put into its answer.
+    model put into its answer. A filename names one receipt, however often it
+    is listed, so both sides hold a key at most once when they meet and no key
+    can be hot. The chosen items are already partitioned and sorted by
+    filename; a guess at their size must not turn this into a broadcast.
     """
-    # The chosen items are already partitioned and sorted by filename; a guess
-    # at their size must not turn this into a broadcast.
-    joined = receipts.select("filename").join(chosen.hint("merge"), "filename", "left")
+    asked = receipts.select("filename").distinct()
+    joined = asked.join(chosen.hint("merge"), "filename", "left")
     rows = joined.select(
         F.col("filename").alias("source_filename"), F.posexplode_outer("items").alias("line_no", "_item")
     )

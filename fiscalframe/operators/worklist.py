@@ -26,24 +26,25 @@ def is_image(filename: Column) -> Column:
 
 
 def _present(files: DataFrame) -> DataFrame:
-    """IDs that have a file.
-
-    Distinct before the join: copies are reduced map-side and the join on the
-    same key needs no further shuffle. The merge hint keeps the planner from
-    broadcasting a side whose size it can only guess from compressed files.
-    """
+    """IDs that have a file, each once; copies are reduced before the shuffle."""
     named = files.filter(F.col("filename").endswith(IMAGE_ENDING))
     fiscal_id = F.substr("filename", F.lit(1), F.length("filename") - len(IMAGE_ENDING))
-    return named.select(fiscal_id.alias("fiscal_id")).distinct().hint("merge")
+    return named.select(fiscal_id.alias("fiscal_id")).distinct()
 
 
 def fetch_worklist(ids: DataFrame, files: DataFrame, base: str = DOCUMENT_URL) -> DataFrame:
-    """Each ID without a file once, with the address to fetch and the name to store."""
+    """Each ID without a file once, with the address to fetch and the name to store.
+
+    Both sides hold a key at most once when they meet, so no key can be hot.
+    A left join with a null test, because the optimizer would move an anti join
+    below the first ``distinct``; the merge hint, because it can only guess the
+    size of the file list and must not broadcast it on that guess.
+    """
+    there = _present(files).withColumn("_there", F.lit(True))
     wanted = ids.select("fiscal_id").distinct()
+    missing = wanted.join(there.hint("merge"), "fiscal_id", "left").filter(F.col("_there").isNull())
     key = F.col("fiscal_id")
-    return wanted.join(_present(files), "fiscal_id", "left_anti").select(
-        "fiscal_id", document_url(key, base).alias("url"), image_name(key).alias("filename")
-    )
+    return missing.select("fiscal_id", document_url(key, base).alias("url"), image_name(key).alias("filename"))
 
 
 def outcome(present: Column, status_code: Column, error: Column) -> Column:
@@ -57,15 +58,18 @@ def outcome(present: Column, status_code: Column, error: Column) -> Column:
 
 
 def fetch_outcomes(fetch_log: DataFrame, files: DataFrame) -> DataFrame:
-    """The log with ``filename``, ``outcome`` and ``success``; a file already there is a success."""
-    there = _present(files).withColumn("_there", F.lit(True))
+    """The log with ``filename``, ``outcome`` and ``success``; a file already there is a success.
+
+    Joined on the file name, not on the ID the present ones are distinct by:
+    adaptive execution splits a hot ID of the log only if both sides come
+    straight from a shuffle, and the second shuffle moves nothing but names.
+    """
+    there = _present(files).select(image_name(F.col("fiscal_id")).alias("filename"), F.lit(True).alias("_there"))
+    log = fetch_log.withColumn("filename", image_name(F.col("fiscal_id")))
     result = outcome(F.coalesce("_there", F.lit(False)), F.col("status_code"), F.col("error"))
-    judged = fetch_log.join(there, "fiscal_id", "left").withColumn("outcome", result)
+    judged = log.join(there.hint("merge"), "filename", "left").withColumn("outcome", result)
     return judged.select(
-        *fetch_log.columns,
-        image_name(F.col("fiscal_id")).alias("filename"),
-        "outcome",
-        F.col("outcome").isin("present", "downloaded").alias("success"),
+        *fetch_log.columns, "filename", "outcome", F.col("outcome").isin("present", "downloaded").alias("success")
     )
 
 
