@@ -9,19 +9,26 @@ from pyspark.sql import functions as F
 
 from fiscalframe.functions.text import let
 
-# Attribute text of a tag. The repeat has a bound because Java matches group
-# repeats by recursion; no real tag has that many quoted parts.
-_ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+'){0,1000}+"""
+# One attribute, or the end of the tag; each starts where the one before ended,
+# and none starts behind the end. Quoted values may hold any other character.
+_NEXT = r"""\G(?<!>)[\s/]*(>|[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?)"""
 
 
-def _value(tag_text: Column, name: str) -> Column:
-    """Value of an attribute inside one tag, NULL if it is not there."""
-    pattern = (
-        rf"""(?i)^<\w+(?:[\s/]+[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?){{0,1000}}?"""
-        rf"""[\s/]+{re.escape(name)}(?:\s*=\s*(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))|(?=[\s/>]))"""
-    )
-    groups = [F.regexp_extract(tag_text, pattern, g) for g in (1, 2, 3)]
-    return F.when(tag_text.rlike(pattern), F.concat(*groups))
+def _attributes(behind_name: Column) -> Column:
+    """Attribute texts of the tag whose name has just been cut off; empty if it never ends."""
+
+    def up_to_end(parts: Column) -> Column:
+        end = F.array_position(parts, F.lit(">"))
+        return F.slice(parts, F.lit(1), F.greatest(end - 1, F.lit(0)).cast("int"))
+
+    return let(F.regexp_extract_all(behind_name, F.lit(_NEXT), F.lit(1)), up_to_end)
+
+
+def _value(attributes: Column, name: str) -> Column:
+    """Value of the last attribute of that name, NULL if there is none."""
+    named = F.filter(attributes, lambda a: F.lower(F.regexp_extract(a, r"^[^\s=]+", 0)) == name.lower())
+    right_side = F.regexp_replace(F.try_element_at(named, F.lit(-1)), r"^[^\s=]+\s*=?\s*", "")
+    return F.regexp_replace(right_side, r"""(?s)^(["'])(.*)\1\z""", "$2")
 
 
 def html_attr(
@@ -32,11 +39,12 @@ def html_attr(
     Without ``key`` the first tag having ``target`` is used. Tag and attribute
     names ignore case, values do not.
     """
-    tags = F.regexp_extract_all(html, F.lit(rf"(?i)<{re.escape(tag)}(?=[\s/>]){_ATTRS}>"), F.lit(0))
+    pieces = F.split(html, rf"(?i)<{re.escape(tag)}(?=[\s/>])")
+    tags = F.transform(F.filter(pieces, lambda _, i: i > 0), _attributes)
     if key is None:
         return F.get(F.filter(F.transform(tags, lambda t: _value(t, target)), lambda v: v.isNotNull()), F.lit(0))
-    first = F.get(F.filter(tags, lambda t: F.coalesce(_value(t, key) == value, F.lit(False))), F.lit(0))
-    return let(first, lambda t: _value(t, target))
+    keyed = F.filter(tags, lambda t: F.coalesce(_value(t, key) == value, F.lit(False)))
+    return let(F.get(keyed, F.lit(0)), lambda t: _value(t, target))
 
 
 def form_token(html: Column) -> Column:

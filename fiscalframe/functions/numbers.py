@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from fiscalframe.functions.text import strip
 
-_NUMBER = r"^[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+(_[0-9]+)*)?\z"
+# Repeats stand on single character classes only: Java matches repeated groups
+# by recursion, and texts can be long. An underscore must be followed by a digit.
+_DIGITS = "[0-9][0-9_]*"
+_NUMBER = rf"^(?!.*_(?![0-9]))[+-]?({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?\z"
 
 
 def read_double(text: Column) -> Column:

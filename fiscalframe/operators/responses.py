@@ -13,10 +13,9 @@ from fiscalframe.functions.text import let, strip
 from fiscalframe.operators.repair import money_text, repair
 from fiscalframe.schema import COLUMNS, NUMBERS, PAYMENTS, TEXT_MONEY
 
-# Code fences, array and object shapes, names that mean "missing".
+# Code fences, shape of an item object, names that mean "missing".
 FENCE = "```"
 JSON_FENCE = "```json"
-ARRAY = r"(?s)\[.*\]"
 ITEM_OBJECT = r'\{[^{}]*"item_name"[^{}]*\}'
 MISSING_NAMES = ("", "null", "N/A")
 MAX_ATTEMPTS = 2
@@ -47,14 +46,16 @@ def strip_fences(response: Column) -> Column:
 
 
 def array_text(response: Column) -> Column:
-    """The response itself if it starts with ``[``, else its widest ``[...]`` part.
+    """The response itself if it starts with ``[``, else from its first ``[`` to its last ``]``.
 
-    NULL if there is none.
+    NULL if there is no such part.
     """
 
     def locate(r: Column) -> Column:
-        widest = let(F.regexp_extract(r, ARRAY, 0), lambda a: F.when(a != "", a))
-        return F.when(F.startswith(r, F.lit("[")), r).otherwise(widest)
+        first = F.instr(r, "[")
+        last = F.length(r) - F.instr(F.reverse(r), "]") + 1
+        inside = F.when((first > 0) & (last > first) & F.contains(r, F.lit("]")), F.substr(r, first, last - first + 1))
+        return F.when(F.startswith(r, F.lit("[")), r).otherwise(inside)
 
     return let(strip_fences(response), locate)
 

@@ -107,6 +107,10 @@ def test_money_text(column, raw, text):
         ('<meta name="csrf-token" content=""><input name="_csrf" value="v">', ""),
         ("<metaphor name='csrf-token' content='x'>", ""),
         ("plain text", ""),
+        ("<meta name='csrf-token' content='never closed'", ""),
+        ("<meta name='csrf-token' content='a'>x content='b'>", "a"),
+        ("<meta name='csrf-token' content='a' CONTENT = b />", "b"),
+        ("<meta name='x'><p>name='csrf-token' content='no'>", ""),
     ],
 )
 def test_form_token(column, html, token):
@@ -119,6 +123,12 @@ def test_html_attr_without_key(column):
     assert column(html_attr(html, "a", "href", key="id", value="1")) is None
 
 
-def test_html_with_very_many_quotes_does_not_overflow(column):
-    html = F.concat(F.lit("<meta "), F.repeat(F.lit('a="b" '), 20000), F.lit('><meta charset="utf-8">'))
+def test_html_with_very_many_attributes(column):
+    html = F.concat(F.lit("<meta "), F.repeat(F.lit('a="b" '), 50000), F.lit('charset="utf-8">'))
     assert column(html_attr(html, "meta", "charset")) == "utf-8"
+
+
+def test_very_long_texts_do_not_overflow(column):
+    assert column(read_double(F.concat(F.lit("0"), F.repeat(F.lit("_0"), 100000)))) == 0.0
+    name = F.concat(F.lit("ƏDV: "), F.repeat(F.lit("1 "), 100000), F.repeat(F.lit('"'), 100000))
+    assert column(F.length(clean_item_name(name, quote_runs=True))) == 2 * 99999 - 1

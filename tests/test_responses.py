@@ -273,3 +273,10 @@ def test_requests(spark):
     assert (system["role"], user["role"]) == ("system", "user")
     assert user["content"].count("a.jpeg") == 2 and "line 1\nline 2" in user["content"]
     assert all(f'"{c}"' in user["content"] for c in COLUMNS)
+
+
+def test_long_broken_answers_stay_linear(column):
+    braces = F.concat(F.lit("] "), F.repeat(F.lit("[ "), 300000))
+    assert column(array_text(braces)) is None
+    torn = F.concat(F.lit("["), F.repeat(F.lit('{"item_name": "x", '), 50000))
+    assert column(F.size(items_from_response(torn))) == 0
