@@ -24,35 +24,37 @@ def items(column, text):
     return [tuple(i) for i in column(items_from_text(F.lit(text)))]
 
 
-@pytest.mark.parametrize(
-    "lines, expected",
-    [
-        (["SIRAB QAZSIZ SU PET 2.000 0.59 1.18"], [("SIRAB QAZSIZ SU PET", 2.0, 0.59, 1.18)]),
-        (['Paket Araz 31"60 5 K 1.000 0.05 0.05'], [('Paket Araz 31"60 5 K', 1.0, 0.05, 0.05)]),
-        (["BIQ BON QOVYAD QRİL 1.000 2.10 2.10"], [("BIQ BON QOVYAD QRİL", 1.0, 2.1, 2.1)]),
-        (["Su (ədəd) 1.000 0.50 0.50"], [("Su", 1.0, 0.5, 0.5)]),
-        (["Su (a) (b) 1 2 3"], [("Su (a)", 1.0, 2.0, 3.0)]),
-        (["Uzun ad", "davamı 1.000 3.00 3.00"], [("Uzun ad davamı", 1.0, 3.0, 3.0)]),
-        (["Uzun ad", "1.000 3.00 3.00"], [("Uzun ad", 1.0, 3.0, 3.0)]),
-        (["Ad 1.000", "3.00 3.00"], [("Ad", 1.0, 3.0, 3.0)]),
-        (["Ad 1.000 3.00", "3.00"], [("Ad", 1.0, 3.0, 3.0)]),
-        (["ƏDV: 18 Ad 1.000 3.00", "3.00"], [("Ad", 1.0, 3.0, 3.0)]),
-        (["qırıq", "Su (ədəd) 1.000 0.50 0.50"], [("qırıq Su (ədəd)", 1.0, 0.5, 0.5)]),
-        (["a", "b", "Su 1 2 3"], [("b Su", 1.0, 2.0, 3.0)]),
-        (["-----", "Su 1 2 3"], [("----- Su", 1.0, 2.0, 3.0)]),
-        (["Su 1 1 1", "Çay 1.2.3 1.00 1.00", "Un 1 1 1"], [("Su", 1.0, 1.0, 1.0)]),
-        (["Çay . 1.00 1.00", "Un 1 1 1"], []),
-        (["ƏDV: 18 1 1 1", "Un 5. .5 2"], [("Un", 5.0, 0.5, 2.0)]),
-        (["Su 1 1 1", "son sətir"], [("Su", 1.0, 1.0, 1.0)]),
-        (["", "  *ƏDV 18%", "Uzun", "*ƏDV", "\tad 1 1 1  "], [("Uzun ad", 1.0, 1.0, 1.0)]),
-        (["vƏDV: 189: Çörək 1 1 1", "'Su' 1 1 1"], [("Çörək", 1.0, 1.0, 1.0), ("Su", 1.0, 1.0, 1.0)]),
-        (['""Su"" 1 1 1'], [('"Su"', 1.0, 1.0, 1.0)]),
-        (["1 2 3 4"], [("1", 2.0, 3.0, 4.0)]),
-        (["1 2 3", "4"], [("1", 2.0, 3.0, 4.0)]),
-    ],
-)
-def test_item_lines(column, lines, expected):
-    assert items(column, block(*lines)) == expected
+ITEM_LINES = [
+    (["SIRAB QAZSIZ SU PET 2.000 0.59 1.18"], [("SIRAB QAZSIZ SU PET", 2.0, 0.59, 1.18)]),
+    (['Paket Araz 31"60 5 K 1.000 0.05 0.05'], [('Paket Araz 31"60 5 K', 1.0, 0.05, 0.05)]),
+    (["BIQ BON QOVYAD QRİL 1.000 2.10 2.10"], [("BIQ BON QOVYAD QRİL", 1.0, 2.1, 2.1)]),
+    (["Su (ədəd) 1.000 0.50 0.50"], [("Su", 1.0, 0.5, 0.5)]),
+    (["Su (a) (b) 1 2 3"], [("Su (a)", 1.0, 2.0, 3.0)]),
+    (["Uzun ad", "davamı 1.000 3.00 3.00"], [("Uzun ad davamı", 1.0, 3.0, 3.0)]),
+    (["Uzun ad", "1.000 3.00 3.00"], [("Uzun ad", 1.0, 3.0, 3.0)]),
+    (["Ad 1.000", "3.00 3.00"], [("Ad", 1.0, 3.0, 3.0)]),
+    (["Ad 1.000 3.00", "3.00"], [("Ad", 1.0, 3.0, 3.0)]),
+    (["ƏDV: 18 Ad 1.000 3.00", "3.00"], [("Ad", 1.0, 3.0, 3.0)]),
+    (["qırıq", "Su (ədəd) 1.000 0.50 0.50"], [("qırıq Su (ədəd)", 1.0, 0.5, 0.5)]),
+    (["a", "b", "Su 1 2 3"], [("b Su", 1.0, 2.0, 3.0)]),
+    (["-----", "Su 1 2 3"], [("----- Su", 1.0, 2.0, 3.0)]),
+    (["Su 1 1 1", "Çay 1.2.3 1.00 1.00", "Un 1 1 1"], [("Su", 1.0, 1.0, 1.0)]),
+    (["Çay . 1.00 1.00", "Un 1 1 1"], []),
+    (["ƏDV: 18 1 1 1", "Un 5. .5 2"], [("Un", 5.0, 0.5, 2.0)]),
+    (["Su 1 1 1", "son sətir"], [("Su", 1.0, 1.0, 1.0)]),
+    (["", "  *ƏDV 18%", "Uzun", "*ƏDV", "\tad 1 1 1  "], [("Uzun ad", 1.0, 1.0, 1.0)]),
+    (["vƏDV: 189: Çörək 1 1 1", "'Su' 1 1 1"], [("Çörək", 1.0, 1.0, 1.0), ("Su", 1.0, 1.0, 1.0)]),
+    (['""Su"" 1 1 1'], [('"Su"', 1.0, 1.0, 1.0)]),
+    (["1 2 3 4"], [("1", 2.0, 3.0, 4.0)]),
+    (["1 2 3", "4"], [("1", 2.0, 3.0, 4.0)]),
+]
+
+
+def test_item_lines(spark):
+    df = spark.createDataFrame([(n, block(*lines)) for n, (lines, _) in enumerate(ITEM_LINES)], "n int, text string")
+    for row in df.select("n", items_from_text(F.col("text")).alias("items")).collect():
+        lines, expected = ITEM_LINES[row["n"]]
+        assert [tuple(i) for i in row["items"]] == expected, lines
 
 
 def test_block_ends(column):

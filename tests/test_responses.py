@@ -31,82 +31,88 @@ def item(name="Su", quantity=1, unit_price=2, line_total=2, **more):
     return {"item_name": name, "quantity": quantity, "unit_price": unit_price, "line_total": line_total, **more}
 
 
-def recovered(spark, response, *columns):
-    shown = columns or ("item_name", "quantity", "unit_price", "line_total")
-    df = spark.createDataFrame([(response,)], "response string").select(
-        F.explode(items_from_response(F.col("response"))).alias("i")
-    )
-    return [tuple(r) for r in df.select(*[item_value(F.col("i"), c).alias(c) for c in shown]).collect()]
+SHOWN = ("item_name", "quantity", "unit_price", "line_total")
+
+
+def recovered_all(spark, responses, columns=SHOWN):
+    """Items of each response, all in one job."""
+    df = spark.createDataFrame(list(enumerate(responses)), "n int, response string")
+    items = df.select("n", F.posexplode(items_from_response(F.col("response"))).alias("pos", "i"))
+    found = [[] for _ in responses]
+    for n, _, *values in sorted(items.select("n", "pos", *[item_value(F.col("i"), c).alias(c) for c in columns]).collect()):
+        found[n].append(tuple(values))
+    return found
 
 
 ARRAY = json.dumps([item(), item("Un", "3", "0.5", "1.5")], ensure_ascii=False)
 BOTH = [("Su", 1.0, 2.0, 2.0), ("Un", 3.0, 0.5, 1.5)]
 
 
-@pytest.mark.parametrize(
-    "response, expected",
-    [
-        (ARRAY, BOTH),
-        (f" ```json\n{ARRAY}\n``` ", BOTH),
-        (f"```\n{ARRAY}```", BOTH),
-        (f"Here: {ARRAY} Done.", BOTH),
-        (f"```json\nHere: {ARRAY}\n```", BOTH),
-        (f"note ```json\n{ARRAY}\n```", BOTH),
-        (ARRAY[:-20], BOTH[:1]),
-        (f"Here: {ARRAY[:-20]}", []),
-        (f"{ARRAY} and more", BOTH),
-        (f"{ARRAY}]", BOTH),
-        (f"{ARRAY},", BOTH),
-        (f"{ARRAY}, {ARRAY}", BOTH + BOTH),
-        (json.dumps(item()), []),
-        ("", []),
-        (None, []),
-        ("[]", []),
-        ("[1, null, \"x\", [2], " + ARRAY[1:], BOTH),
-        ("[[" + ARRAY[1:] + "]", []),
-        ('[{"item_name": "a", "item_name": "b", "quantity": 1, "unit_price": 2, "line_total": 2}]', [("b", 1.0, 2.0, 2.0)]),
-        ("[{'item_name': 'a', 'quantity': 1, 'unit_price': 2, 'line_total': 2}]", []),
-    ],
-)
-def test_recovery(spark, response, expected):
-    assert recovered(spark, response) == expected
-
-
-@pytest.mark.parametrize(
-    "changes, expected",
-    [
-        ({"item_name": None}, None),
-        ({"item_name": ""}, None),
-        ({"item_name": "null"}, None),
-        ({"item_name": "N/A"}, None),
-        ({"item_name": 5}, None),
-        ({"item_name": ["Su"]}, None),
-        ({"quantity": "N/A"}, None),
-        ({"unit_price": ""}, None),
-        ({"line_total": None}, None),
-        ({"quantity": [1]}, None),
-        ({"quantity": "1.5d"}, None),
-        ({"quantity": True}, ("Su", 1.0, 2.0, 2.0)),
-        ({"quantity": " 1 "}, ("Su", 1.0, 2.0, 2.0)),
-        ({"quantity": 2000, "unit_price": 0.59, "line_total": 1.18}, ("Su", 2.0, 0.59, 1.18)),
-        ({"quantity": "13000", "unit_price": 1, "line_total": 13}, ("Su", 13.0, 1.0, 13.0)),
-        ({"quantity": 3, "unit_price": 0.5, "line_total": 1.0}, ("Su", 2.0, 0.5, 1.0)),
-        ({"quantity": 2, "unit_price": 0.01, "line_total": 5.0}, ("Su", 2.0, 0.01, 0.02)),
-        ({"quantity": 2, "unit_price": 0, "line_total": 5}, ("Su", 2.0, 0.0, 0.0)),
-        ({"quantity": 9, "unit_price": 4, "line_total": 1}, ("Su", 0.2, 4.0, 1.0)),
-        ({"quantity": 1500000, "unit_price": 1, "line_total": 1500}, ("Su", 1500.0, 1.0, 1500.0)),
-        ({"item_name": "\"'Su'\""}, ("Su", 1.0, 2.0, 2.0)),
-        ({"item_name": "ƏDV: 1"}, ("", 1.0, 2.0, 2.0)),
-    ],
-)
-def test_validation(spark, changes, expected):
-    got = recovered(spark, json.dumps([item() | changes], ensure_ascii=False))
-    assert got == ([expected] if expected else [])
+RECOVERY = [
+    (ARRAY, BOTH),
+    (f" ```json\n{ARRAY}\n``` ", BOTH),
+    (f"```\n{ARRAY}```", BOTH),
+    (f"Here: {ARRAY} Done.", BOTH),
+    (f"```json\nHere: {ARRAY}\n```", BOTH),
+    (f"note ```json\n{ARRAY}\n```", BOTH),
+    (ARRAY[:-20], BOTH[:1]),
+    (f"Here: {ARRAY[:-20]}", []),
+    (f"{ARRAY} and more", BOTH),
+    (f"{ARRAY}]", BOTH),
+    (f"{ARRAY},", BOTH),
+    (f"{ARRAY}, {ARRAY}", BOTH + BOTH),
+    (json.dumps(item()), []),
+    ("", []),
+    (None, []),
+    ("[]", []),
+    ("[1, null, \"x\", [2], " + ARRAY[1:], BOTH),
+    ("[[" + ARRAY[1:] + "]", []),
+    ('[{"item_name": "a", "item_name": "b", "quantity": 1, "unit_price": 2, "line_total": 2}]', [("b", 1.0, 2.0, 2.0)]),
+    ("[{'item_name': 'a', 'quantity': 1, 'unit_price': 2, 'line_total': 2}]", []),
+]
+
+
+def test_recovery(spark):
+    got = recovered_all(spark, [response for response, _ in RECOVERY])
+    for (response, expected), items in zip(RECOVERY, got):
+        assert items == expected, response
+
+
+VALIDATION = [
+    ({"item_name": None}, None),
+    ({"item_name": ""}, None),
+    ({"item_name": "null"}, None),
+    ({"item_name": "N/A"}, None),
+    ({"item_name": 5}, None),
+    ({"item_name": ["Su"]}, None),
+    ({"quantity": "N/A"}, None),
+    ({"unit_price": ""}, None),
+    ({"line_total": None}, None),
+    ({"quantity": [1]}, None),
+    ({"quantity": "1.5d"}, None),
+    ({"quantity": True}, ("Su", 1.0, 2.0, 2.0)),
+    ({"quantity": " 1 "}, ("Su", 1.0, 2.0, 2.0)),
+    ({"quantity": 2000, "unit_price": 0.59, "line_total": 1.18}, ("Su", 2.0, 0.59, 1.18)),
+    ({"quantity": "13000", "unit_price": 1, "line_total": 13}, ("Su", 13.0, 1.0, 13.0)),
+    ({"quantity": 3, "unit_price": 0.5, "line_total": 1.0}, ("Su", 2.0, 0.5, 1.0)),
+    ({"quantity": 2, "unit_price": 0.01, "line_total": 5.0}, ("Su", 2.0, 0.01, 0.02)),
+    ({"quantity": 2, "unit_price": 0, "line_total": 5}, ("Su", 2.0, 0.0, 0.0)),
+    ({"quantity": 9, "unit_price": 4, "line_total": 1}, ("Su", 0.2, 4.0, 1.0)),
+    ({"quantity": 1500000, "unit_price": 1, "line_total": 1500}, ("Su", 1500.0, 1.0, 1500.0)),
+    ({"item_name": "\"'Su'\""}, ("Su", 1.0, 2.0, 2.0)),
+    ({"item_name": "ƏDV: 1"}, ("", 1.0, 2.0, 2.0)),
+]
+
+
+def test_validation(spark):
+    got = recovered_all(spark, [json.dumps([item() | changes], ensure_ascii=False) for changes, _ in VALIDATION])
+    for (changes, expected), items in zip(VALIDATION, got):
+        assert items == ([expected] if expected else []), changes
 
 
 def test_salvage_validates_twice(spark):
     torn = json.dumps([item(quantity=1500000, unit_price=1, line_total=1500), item("ƏDV: 1")], ensure_ascii=False)[:-1] + ', {"x'
-    assert recovered(spark, torn) == [("Su", 1.5, 1.0, 1.5)]
+    assert recovered_all(spark, [torn])[0] == [("Su", 1.5, 1.0, 1.5)]
 
 
 def test_other_fields(spark):
@@ -144,7 +150,7 @@ def test_other_fields(spark):
         "store_code": "True",
         "queue_number": None,
     }
-    (got,) = recovered(spark, json.dumps([item(**given)]), *wanted)
+    ((got,),) = recovered_all(spark, [json.dumps([item(**given)])], tuple(wanted))
     assert dict(zip(wanted, got)) == wanted
 
 
