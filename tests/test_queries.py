@@ -9,9 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from fiscalframe import catalog
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
