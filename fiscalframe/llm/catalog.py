@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalframe.llm import language_id, mixing, pivot_topk, sharding, url_filter, warc
+from fiscalframe.llm import decontaminate, language_id, lsh_forest, mixing, pivot_topk, sharding, url_filter, warc
 from fiscalframe.llm.shared import table
 
 #: The rules of the url query: host/path and verdict.
@@ -30,6 +30,11 @@ def judged_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per region of a document that is a benchmark item; clean documents have none."""
+    return decontaminate.leaked_regions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages")).drop("payload")
 
@@ -43,6 +48,12 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(marked, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -51,8 +62,10 @@ QUERIES = {
     "op1_topk_pivots": topk_pivots,
     "op3_source_mix": source_mix,
     "op4_url_filter": judged_urls,
+    "op6_benchmark_leaks": benchmark_leaks,
     "op7_warc": warc_archives,
     "op8_languages": languages,
+    "op9_near_duplicates": near_duplicates,
     "op10_shards": shards,
 }
 
