@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalframe.llm import decontaminate, language_id, lsh_forest, mixing, pivot_topk, sharding, url_filter, warc
+from fiscalframe.llm import decontaminate, language_id, line_dedup, lsh_forest, mixing, pivot_topk, sharding, url_filter, warc
 from fiscalframe.llm.shared import table
 
 #: The rules of the url query: host/path and verdict.
@@ -30,6 +30,10 @@ def judged_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.kept_lines(table(spark, sf_dir, "documents"))
+
+
 def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per region of a document that is a benchmark item; clean documents have none."""
     return decontaminate.leaked_regions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -62,6 +66,7 @@ QUERIES = {
     "op1_topk_pivots": topk_pivots,
     "op3_source_mix": source_mix,
     "op4_url_filter": judged_urls,
+    "op5_line_dedup": repeated_lines,
     "op6_benchmark_leaks": benchmark_leaks,
     "op7_warc": warc_archives,
     "op8_languages": languages,
