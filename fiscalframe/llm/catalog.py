@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalframe.llm import decontaminate, language_id, line_dedup, lsh_forest, mixing, pivot_topk, sharding, url_filter, warc
+from fiscalframe.llm import decontaminate, language_id, line_dedup, lsh_forest, mixing, pivot_topk, sharding, surrogates, url_filter, warc
 from fiscalframe.llm.shared import table
 
 #: The rules of the url query: host/path and verdict.
@@ -22,6 +22,11 @@ def topk_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_topk.pivot_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by surrogates."""
+    return surrogates.pseudonymized(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk_pivots": topk_pivots,
+    "op2_surrogates": personal_data,
     "op3_source_mix": source_mix,
     "op4_url_filter": judged_urls,
     "op5_line_dedup": repeated_lines,
