@@ -129,11 +129,12 @@ def _pairs(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
     alone[:-1] &= region[1:] != region[:-1]
     at = np.nonzero(~alone)[0]
     sketch = np.frombuffer(b"".join(rows["sketch"].iloc[at]), np.uint8).reshape(len(at), -1) if len(at) else np.empty((0, 1), np.uint8)
-    region, ids = region[at], ids[at]
+    region, ids, root = region[at], ids[at], rows["root"].to_numpy()[at]
     for ahead in range(1, REGION):
         i = np.nonzero(region[ahead:] == region[:-ahead])[0] if ahead < len(at) else ()
         if not len(i):
             return
+        i = i[root[i] != root[i + ahead]]
         differ = sketch[i] ^ sketch[i + ahead]
         agree = ((differ & 0xF0) == 0).sum(1) + ((differ & 0x0F) == 0).sum(1)
         i = i[agree >= AGREEING]
@@ -180,6 +181,23 @@ def _class_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFram
     return found.mapInPandas(rows, "class_id long, shingles binary").dropDuplicates(["class_id"])
 
 
+def _forest(classes: DataFrame, *columns: str) -> DataFrame:
+    """A row per class and tree: ``class_id``, the columns asked for, and ``path``, which sorts by tree and then value by value."""
+    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+    branch = F.substr(F.col("signature"), F.col("tree") * _PATH_BYTES + 1, F.lit(_PATH_BYTES))
+    path = F.concat(F.unhex(F.lpad(F.hex("tree"), 2, "0")), branch)
+    return classes.select("class_id", *columns, "signature", tree).select("class_id", *columns, path.alias("path"))
+
+
+def _linked(documents: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs that are confirmed on the sets of their texts."""
+    pairs = stored(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
+    reps = classes.select("class_id", "rep").join(wanted, "class_id")
+    sets = stored(_class_sets(documents, reps, words), "sets")
+    return stored(confirmed(pairs, sets, percent), "links")
+
+
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, text_hash, n_shingles, class_id, root, component_id``, one row per document.
 
@@ -193,32 +211,21 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     classes = grouped.agg(F.count("*").alias("copies"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"), rep.alias("rep"))
     classes = stored(classes, "classes")
 
-    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    branch = F.substr(F.col("signature"), F.col("tree") * _PATH_BYTES + 1, F.lit(_PATH_BYTES))
-    path = F.concat(F.unhex(F.lpad(F.hex("tree"), 2, "0")), branch)
-    forest = classes.select("class_id", "copies", "signature", "sketch", tree).select("class_id", "copies", "sketch", path.alias("path"))
-    ordered = forest.select("path", "class_id", "sketch").repartitionByRange("path", "class_id").sortWithinPartitions("path", "class_id")
-    near = ordered.mapInPandas(_neighbours, "a long, b long").distinct()
-
     prefix = F.xxhash64(F.substring("path", 1, 1 + 4 * LEAST))
-    placed = forest.select("class_id", "copies", prefix.alias("prefix"))
+    placed = _forest(classes, "copies").select("class_id", "copies", prefix.alias("prefix"))
     large = placed.groupBy("prefix").agg(F.count("*").alias("n")).filter(F.col("n") > REGION).select("prefix")
     members = stored(placed.join(large.hint("merge"), "prefix"), "members")
     hub = members.groupBy("prefix").agg(F.max(F.struct("copies", "class_id"))["class_id"].alias("hub"))
     spokes = members.join(hub.hint("merge"), "prefix").filter("class_id != hub")
     spokes = spokes.select(F.least("class_id", "hub").alias("a"), F.greatest("class_id", "hub").alias("b")).distinct()
+    hubs = _linked(documents, classes, spokes, words, percent)
 
-    near, spokes = stored(near, "near"), stored(spokes, "spokes")
-    pairs = near.unionByName(spokes)
-    wanted = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
-    reps = classes.select("class_id", "rep").join(wanted, "class_id")
-    sets = stored(_class_sets(documents, reps, words), "sets")
-
-    hubs = stored(confirmed(spokes, sets, percent), "links")
-    joined = components(hubs)
-    of = lambda end: joined.select(F.col("id").alias(end), F.col("root").alias(f"{end}_root"))
-    apart = near.join(of("a"), "a", "left").join(of("b"), "b", "left").filter("a_root is null or b_root is null or a_root != b_root")
-    links = confirmed(apart.select("a", "b"), sets, percent)
+    # Classes that the hubs have joined need no comparison with each other.
+    joined = components(hubs).select(F.col("id").alias("class_id"), "root")
+    known = classes.join(joined.hint("merge"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
+    ordered = _forest(known, "sketch", "root").repartitionByRange("path", "class_id").sortWithinPartitions("path", "class_id")
+    near = ordered.mapInPandas(_neighbours, "a long, b long").distinct()
+    links = _linked(documents, classes, near, words, percent)
     final = components(hubs.unionByName(links))
 
     rooted = classes.select("class_id", "rep.doc_id").join(final.withColumnRenamed("id", "class_id"), "class_id", "left")

@@ -1,0 +1,209 @@
+"""Every corpus query on the given tables: against its SQL, or against a brute-force version in plain Python."""
+
+import os
+import re
+import zlib
+from collections import defaultdict
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from fiscalframe.llm import catalog, language_id, mixing, sharding, surrogates
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for file in Path(SF_DIR).glob("*.parquet"):
+        con.sql(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return con
+
+
+@pytest.fixture(scope="module")
+def documents(duck):
+    return duck.sql("SELECT doc_id, text, lang, source FROM documents").fetchall()
+
+
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
+def test_equals_sql(name, spark, duck):
+    got, want = catalog.QUERIES[name](spark, SF_DIR), duck.sql(catalog.ORACLES[name])
+    columns = sorted(got.columns)
+    assert columns == sorted(want.columns)
+    pick = lambda names, rows: sorted((tuple(r[names.index(c)] for c in columns) for r in rows), key=repr)
+    got_rows = pick(got.columns, got.collect())
+    assert got_rows == pick(want.columns, want.fetchall())
+    assert got_rows
+
+
+def shingles(text, words):
+    w = WORD.findall((text or "").translate(LOWER))
+    return frozenset(tuple(w[i : i + words]) for i in range(len(w) - words + 1)) if len(w) >= words else frozenset([tuple(w)] if w else [])
+
+
+def brute_components(documents, words):
+    sets = {d: shingles(t, words) for d, t, *_ in documents}
+    holders = defaultdict(set)
+    for d, s in sets.items():
+        for x in s:
+            holders[x].add(d)
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for d, s in sets.items():
+        for other in set().union(*(holders[x] for x in s)) if s else ():
+            if other < d:
+                shared = len(s & sets[other])
+                if 100 * shared >= 80 * (len(s) + len(sets[other]) - shared):
+                    a, b = sorted((find(d), find(other)))
+                    root[b] = a
+    return sets, {d: find(d) for d in sets}
+
+
+def test_near_duplicates_equal_brute_force(spark, documents):
+    sets, component = brute_components(documents, 4)
+    rows = catalog.QUERIES["op9_near_duplicates"](spark, SF_DIR).collect()
+    assert len(rows) == len(documents)
+    for r in rows:
+        assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), component[r.doc_id], component[r.doc_id] == r.doc_id)
+
+
+def brute_kept_lines(documents):
+    seen, kept = [], defaultdict(list)
+    for d, text, *_ in sorted(documents):
+        for i, line in enumerate((text or "").split("\n")):
+            words = frozenset(WORD.findall(line))
+            if words:
+                if not any(9 * len(words & s) >= 4 * (len(words) + len(s)) for s in seen):
+                    kept[d].append(i)
+                seen.append(words)
+    return kept
+
+
+def test_line_dedup_equals_brute_force(spark, documents):
+    kept = brute_kept_lines(documents)
+    for r in catalog.QUERIES["op5_line_dedup"](spark, SF_DIR).collect():
+        assert r.kept == kept[r.doc_id]
+        assert r.n_lines == r.n_blank + r.n_kept + r.n_removed
+
+
+def test_benchmark_leaks_equal_brute_force(spark, duck, documents):
+    plain = lambda t: " ".join(t.lower().split())
+    items = {i: plain(t) for i, t in duck.sql("SELECT item_id, text FROM benchmark").fetchall()}
+    texts = {d: t for d, t, *_ in documents}
+    rows = catalog.QUERIES["op6_benchmark_leaks"](spark, SF_DIR).collect()
+    exact = {(d, i) for d, t in texts.items() for i, item in items.items() if item in plain(t)}
+    assert exact <= {(r.doc_id, r.item_id) for r in rows}
+    for r in rows:
+        region = plain(texts[r.doc_id][r.start : r.end])
+        assert edit_distance(region, items[r.item_id]) == r.edits <= 0.06 * len(items[r.item_id])
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        above, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(above[j - 1] + (x != y), above[j] + 1, row[-1] + 1))
+    return row[-1]
+
+
+def test_languages_are_right_on_held_out_documents(spark, documents):
+    truth = {d: lang for d, _, lang, _ in documents}
+    rows = catalog.QUERIES["op8_languages"](spark, SF_DIR).collect()
+    assert len(rows) == len(documents)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.95 * len(held)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_shards_are_even_whole_and_gapless(spark, documents):
+    rows = catalog.QUERIES["op10_shards"](spark, SF_DIR).collect()
+    sizes = {d: len((t or "").encode()) + 1 for d, t, *_ in documents}
+    texts = {d: t for d, t, *_ in documents}
+    assert {r.doc_id: r.size for r in rows} == sizes
+    assert all(r.text_crc32 == zlib.crc32(texts[r.doc_id].encode()) and r.law == "bytes" for r in rows)
+    by_shard, shard_of = defaultdict(list), defaultdict(set)
+    for r in rows:
+        by_shard[r.shard].append(r)
+        shard_of[texts[r.doc_id]].add(r.shard)
+    assert all(len(s) == 1 for s in shard_of.values())
+    assert all(sorted(r.slot for r in s) == list(range(len(s))) for s in by_shard.values())
+    totals = [sum(r.size for r in by_shard[s]) for s in range(8)]
+    assert max(totals) - min(totals) <= 0.01 * sum(totals)
+
+
+def test_surrogates_leave_no_entity_behind(spark, documents):
+    texts = {d: t for d, t, *_ in documents}
+    rows = catalog.QUERIES["op2_surrogates"](spark, SF_DIR).collect()
+    assert len(rows) == len(documents)
+    values = {(k, v) for t in texts.values() for _, _, k, v in surrogates.detect(t)}
+    seen = {}
+    for r in rows:
+        old, new = surrogates.detect(texts[r.doc_id]), surrogates.detect(r.text)
+        assert r.n_entities == len(old) == len(new)
+        if not old:
+            assert r.text == texts[r.doc_id]
+        for (*_, k, v), (*_, k2, v2) in zip(old, new, strict=True):
+            assert k == k2 and (k2, v2) not in values
+            assert seen.setdefault((k, v), v2) == v2
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_pipeline_equals_brute_force(spark, duck, documents):
+    """Each stage worked out again in plain Python over what the one before it kept."""
+    rows = [tuple(r) for r in corpus_pipeline.run(spark, SF_DIR).select("doc_id", "size", "text_crc32", "shard", "slot").collect()]
+    table = spark.createDataFrame(documents, "doc_id long, text string, lang string, source string")
+    model = language_id.fit(table)
+    kept = []
+    for d in documents:
+        if d[1] and re.search(r"[^\W\d_]", d[1]) and language_id.score(model, [d[1]])[1][0] >= 0.5:
+            kept.append(d)
+    _, component = brute_components(kept, 5)
+    kept = [d for d in kept if component[d[0]] == d[0]]
+    leaks = catalog.decontaminate.build_index(duck.sql("SELECT item_id, text FROM benchmark").fetchall())
+    kept = [d for d, found in zip(kept, catalog.decontaminate.find_regions(leaks, [d[1] for d in kept]), strict=True) if not found]
+    expected = mixed(kept)
+    assert sorted((r[0], r[1], r[2]) for r in rows) == sorted((d, len(t.encode()) + 1, zlib.crc32(t.encode())) for d, t in expected)
+    totals, counts = defaultdict(int), defaultdict(int)
+    for _, size, _, shard, _ in rows:
+        totals[shard] += size
+        counts[shard] += 1
+    assert sorted((r[3], r[4]) for r in rows) == [(s, i) for s in sorted(counts) for i in range(counts[s])]
+    assert max(totals.values()) - min(totals.values()) <= 0.02 * sum(totals.values())
+
+
+def mixed(documents, most=3):
+    import hashlib
+
+    size = defaultdict(int)
+    for _, text, _, source in documents:
+        size[source] += len(WORD.findall(text))
+    weight = {s: i % 3 + 1 for i, s in enumerate(sorted(size))}
+    capped = set()
+    while True:
+        level = (sum(size.values()) - sum(most * size[s] for s in capped)) / sum(w for s, w in weight.items() if s not in capped)
+        more = {s for s in size if weight[s] * level > most * size[s]}
+        if more == capped:
+            break
+        capped = more
+    out = []
+    for d, text, _, source in documents:
+        rate = min(most * size[source], weight[source] * level) / size[source]
+        u = int(hashlib.md5(f"{mixing.SEED}:{d}".encode()).hexdigest()[:13], 16) / 2**52
+        out += [(d, text)] * (int(rate) + (u < rate - int(rate)))
+    return out
+
+
+def test_all_copies_of_the_hash_draw_fit_a_long():
+    assert sharding.difference([5, 5, 4], 2) in ([0, 1, 1], [1, 0, 0], [0, 1, 0], [1, 0, 1])
