@@ -5,15 +5,17 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from fiscalframe.operators.quality import run_summary
 from fiscalframe.operators.requests import build_requests
 from fiscalframe.operators.worklist import DOCUMENT_URL, fetch_outcomes, fetch_summary, fetch_worklist
+from fiscalframe.operators.responses import allow_duplicate_keys
 from fiscalframe.plans.receipts import parse_receipts
 from fiscalframe.plans.responses import recover_receipts
 from fiscalframe.sources.inputs import list_images, read_fetch_log, read_fiscal_ids, read_ocr_text, read_responses
-from fiscalframe.sources.outputs import scratch_path, write_by_sale_date, write_csv
+from fiscalframe.sources.outputs import write_by_sale_date, write_csv
 from fiscalframe.streaming.incremental import parse_new_receipts, stream_ocr_files, stream_ocr_table
 
 
@@ -47,12 +49,12 @@ def requests(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def recover(spark: SparkSession, args: argparse.Namespace) -> None:
     receipts = read_ocr_text(spark, args.text, args.format)
-    # Written once; the CSV and the summary both read this table.
-    table = scratch_path(spark, "recovered")
-    recover_receipts(receipts, read_responses(spark, args.responses)).write.parquet(table)
-    rows = spark.read.parquet(table)
+    answers = read_responses(spark, args.responses, args.responses_format)
+    # The CSV and the summary both need the rows; what an executor loses of them is worked out again.
+    rows = recover_receipts(receipts, answers, args.max_attempts).persist(StorageLevel.DISK_ONLY)
     write_csv(rows, args.out, two_decimals=True)
     _show(run_summary(rows, receipts))
+    rows.unpersist()
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -75,14 +77,20 @@ def _arguments() -> argparse.ArgumentParser:
     fresh = job(parse_new, "only text that arrived since the last run", "text", "out", "checkpoint")
     asking = job(requests, "one extraction request per receipt", "text", "out")
     recovering = job(recover, "model answers to items, with a summary", "text", "responses", "out")
-    for sub in (from_log, parsing, fresh, asking, recovering):
-        sub.add_argument("--format", default="parquet", help="of the input: parquet, json, or text files")
+    for sub in (parsing, fresh, asking, recovering):
+        sub.add_argument("--format", default="parquet", choices=("parquet", "json", "text"), help="of the receipt text")
+    tables = ("parquet", "json")
+    from_log.add_argument("--format", default="parquet", choices=tables, help="of the fetch log")
+    recovering.add_argument("--responses-format", default="parquet", choices=tables, help="of the answers")
+    recovering.add_argument("--max-attempts", type=int, help="attempts that count; all unless given")
     return parser
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
-    args.run(SparkSession.builder.appName("fiscalframe").getOrCreate(), args)
+    spark = SparkSession.builder.appName("fiscalframe").getOrCreate()
+    allow_duplicate_keys(spark)
+    args.run(spark, args)
 
 
 if __name__ == "__main__":

@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalframe.fixtures.answers import order_answers, order_filename
+from fiscalframe.fixtures.answers import FIELDS, UNUSABLE, emptied_answers, flawed_answers, order_answers, order_filename
 from fiscalframe.fixtures.slips import line_slips, order_slips
 from fiscalframe.fixtures.tables import table
 from fiscalframe.operators.quality import compare_extractors, run_summary
 from fiscalframe.operators.requests import SYSTEM_PROMPT, USER_PROMPT, build_requests
-from fiscalframe.operators.responses import allow_duplicate_keys, array_text, first_good_attempt, item_value, items_from_response, strip_fences
+from fiscalframe.operators.responses import (
+    allow_duplicate_keys,
+    array_text,
+    attempt_outcomes,
+    first_good_attempt,
+    item_value,
+    items_from_response,
+    rejected_items,
+    strip_fences,
+)
 from fiscalframe.plans.receipts import parse_receipts
 from fiscalframe.plans.responses import recover_receipts
 from fiscalframe.schema import conform, unite
@@ -21,6 +30,8 @@ _SHOWN = ("item_name", "quantity", "unit_price", "line_total")
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The queries own their session; the library only asks for the setting.
+    allow_duplicate_keys(spark)
     return order_answers(table(spark, sf_dir, "orders"))
 
 
@@ -30,13 +41,15 @@ def _receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _attempt_items(first: DataFrame) -> DataFrame:
     allow_duplicate_keys(first.sparkSession)
-    items = first.select("filename", F.posexplode(items_from_response(F.col("response"))).alias("line_no", "item"))
-    return items.select("filename", "line_no", *[item_value(F.col("item"), c).alias(c) for c in (*_SHOWN, "store_name", "date", "subtotal")])
+    shown = (*_SHOWN, "store_name", "date", "subtotal")
+    items = first.select("filename", F.posexplode(items_from_response(F.col("response"), shown)).alias("line_no", "item"))
+    return items.select("filename", "line_no", *[item_value(F.col("item"), c).alias(c) for c in shown])
 
 
 def _strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one strict answer every order has among its later attempts."""
-    return _answers(spark, sf_dir).filter((F.col("attempt") > 0) & (F.col("response") != "Sorry."))
+    later = F.col("attempt") == F.when(F.col("response").startswith("["), F.col("attempt"))
+    return _answers(spark, sf_dir).filter((F.col("attempt") > 0) & later)
 
 
 def _styled(shape):
@@ -70,12 +83,39 @@ def response_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def response_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    allow_duplicate_keys(spark)
-    chosen = first_good_attempt(_answers(spark, sf_dir))
+    chosen = first_good_attempt(_answers(spark, sf_dir), columns=_SHOWN)
     items = chosen.select("filename", F.posexplode("items").alias("line_no", "item"))
     return items.select("filename", "line_no", *[f"item.{c}" for c in _SHOWN])
 
 
+def response_two_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many items each receipt gets if only two attempts count."""
+    chosen = first_good_attempt(_answers(spark, sf_dir), max_attempts=2, columns=_SHOWN)
+    return chosen.select("filename", F.greatest(F.size("items"), F.lit(0)).alias("n_items"))
+
+
+def response_missing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of answers in which every field is unusable on some."""
+    allow_duplicate_keys(spark)
+    answers = flawed_answers(table(spark, sf_dir, "lineitem"))
+    items = answers.select("filename", F.posexplode(items_from_response(F.col("response"), _SHOWN)).alias("line_no", "item"))
+    return items.select("filename", "line_no", *[f"item.{c}" for c in _SHOWN])
+
+
+def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    allow_duplicate_keys(spark)
+    return rejected_items(flawed_answers(table(spark, sf_dir, "lineitem")))
+
+
+def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attempt_outcomes(_answers(spark, sf_dir))
+
+
+def response_emptied_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    allow_duplicate_keys(spark)
+    return _attempt_items(emptied_answers(table(spark, sf_dir, "orders"))).select("filename", "line_no", *_SHOWN)
+
+
 def response_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = recover_receipts(_receipts(spark, sf_dir), _answers(spark, sf_dir))
     failed = rows.filter(F.col("error").isNotNull())
@@ -143,6 +183,11 @@ QUERIES = {
     "response_salvage": response_salvage,
     "response_shapes": response_shapes,
     "response_attempts": response_attempts,
+    "response_two_attempts": response_two_attempts,
+    "response_missing_values": response_missing_values,
+    "response_emptied_names": response_emptied_names,
+    "attempt_outcomes": outcomes,
+    "rejected_items": rejected,
     "response_fallback": response_fallback,
     "response_30col": response_30col,
     "response_audit": response_audit,
@@ -155,6 +200,7 @@ QUERIES = {
 # --- the same in SQL -------------------------------------------------------
 
 _FILENAME = "lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || '.jpeg'"
+_LINE_FILE = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 _CENTS = "((o_custkey * 7 + i * 13) % 2000 + 5)"
 _QUANTITY = "((o_orderkey + i) % 40 + 1)"
 
@@ -175,10 +221,10 @@ _CHOSEN = f"""
 chosen AS (
   SELECT filename, k, CAST(i - 1 AS INTEGER) AS line_no, odd, lost, store_name, date, subtotal, unit_price,
          style = 4 AND n > 1 AS salvaged,
-         base_name || CASE WHEN style = 5 OR (style = 4 AND n = 1) THEN ' II' ELSE '' END AS item_name,
+         base_name || CASE WHEN style >= 5 OR (style = 4 AND n = 1) THEN ' II' ELSE '' END AS item_name,
          CASE WHEN odd AND style = 4 AND n > 1 THEN 1.5 ELSE quantity END AS quantity,
          CASE WHEN odd AND style = 4 AND n > 1 THEN 1.5 ELSE line_total END AS line_total
-  FROM every WHERE style <> 6 AND NOT (style = 4 AND n > 1 AND i = n)),
+  FROM every WHERE NOT (style = 4 AND n > 1 AND i = n)),
 wide AS (
   SELECT {_FILENAME} AS source_filename, {_FILENAME} AS filename, store_name, date, item_name, quantity, unit_price,
          line_total, subtotal, CASE WHEN line_no IS NULL THEN '0.00' END AS cash_payment, odd, lost, salvaged,
@@ -232,8 +278,40 @@ WITH {_CHOSEN}
 SELECT count(DISTINCT filename) AS unique_receipts, count(*) AS item_rows, count(store_name) AS rows_with_store_name,
        CAST(0 AS BIGINT) AS rows_with_address, count(item_name) AS rows_with_item, count(date) AS rows_with_date,
        printf('%.1f', count(*) / count(DISTINCT filename))::DOUBLE AS rows_per_receipt,
+       count(DISTINCT CASE WHEN error IS NULL THEN filename END) / count(DISTINCT filename)::DOUBLE AS success_rate,
        (SELECT count(*) FROM orders) * 0.03::DOUBLE AS cost
 FROM wide""",
+    "response_two_attempts": f"""
+SELECT {_FILENAME} AS filename,
+       CAST(CASE WHEN o_custkey % 7 = 6 THEN 0 WHEN o_custkey % 7 = 4 AND o_orderkey % 5 > 1 THEN o_orderkey % 5 - 1 ELSE o_orderkey % 5 END AS INTEGER) AS n_items
+FROM orders""",
+    "response_missing_values": f"""
+WITH judged AS (SELECT *, {_LINE_FILE} AS filename FROM lineitem)
+SELECT filename, CAST(0 AS INTEGER) AS line_no, 'Mal ' || l_partkey AS item_name,
+       3.0::DOUBLE AS quantity, 0.5::DOUBLE AS unit_price, 1.5::DOUBLE AS line_total FROM judged""",
+    "rejected_items": f"""
+WITH judged AS (SELECT *, {_LINE_FILE} AS filename FROM lineitem)
+SELECT filename, CAST(0 AS INTEGER) AS attempt, CAST(0 AS INTEGER) AS position,
+       CASE l_partkey % 4 {' '.join(f"WHEN {i} THEN '{f} '" for i, f in enumerate(FIELDS))} END
+       || CASE l_suppkey % 5 {' '.join(f"WHEN {i} THEN '{why}'" for i, (_, why) in enumerate(UNUSABLE))} END AS reason
+FROM judged
+UNION ALL
+SELECT filename, 0, 2, 'not an object' FROM judged WHERE l_orderkey % 7 = 0""",
+    "attempt_outcomes": f"""
+WITH tried AS (
+  SELECT {_FILENAME} AS filename, o_custkey % 7 AS style, o_orderkey % 5 AS n, unnest([0, 1, 2]) AS attempt FROM orders),
+judged AS (
+  SELECT filename, attempt, CASE
+    WHEN attempt = 0 AND style IN (5, 6) OR attempt = 1 AND style = 6 THEN 'no_array'
+    WHEN attempt = 0 AND style = 4 THEN CASE WHEN n > 1 THEN 'salvaged' ELSE 'broken' END
+    WHEN n = 0 THEN 'no_valid_item' ELSE 'ok' END AS outcome, n
+  FROM tried WHERE attempt < 2 OR style = 6)
+SELECT filename, CAST(attempt AS INTEGER) AS attempt, outcome,
+       CAST(CASE outcome WHEN 'ok' THEN n WHEN 'salvaged' THEN n - 1 ELSE 0 END AS INTEGER) AS n_items FROM judged""",
+    "response_emptied_names": f"""
+SELECT {_FILENAME} AS filename, CAST(i AS INTEGER) AS line_no, CASE WHEN i = 0 THEN '' ELSE 'ok' END AS item_name,
+       1.0::DOUBLE AS quantity, 2.0::DOUBLE AS unit_price, 2.0::DOUBLE AS line_total
+FROM (SELECT *, unnest([0, 1]) AS i FROM orders)""",
     "request_prompts": f"""
 WITH slips AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS filename,
@@ -247,9 +325,12 @@ SELECT filename, 'system' AS first_role, {_quoted(SYSTEM_PROMPT)} AS system_prom
 FROM slips""",
     "extractor_comparison": f"""
 WITH {_CHOSEN},
-pattern AS (SELECT count(*) AS n, sum(o_orderkey % 6) AS items, sum(greatest(o_orderkey % 6, 1)) AS n_rows FROM orders),
+pattern AS (
+  SELECT count(*) AS n, sum(o_orderkey % 6) AS items, sum(greatest(o_orderkey % 6, 1)) AS n_rows,
+         count(*) FILTER (WHERE o_custkey % 6 = 5 OR o_totalprice <= 0) AS unpaid FROM orders),
 model AS (
-  SELECT count(*) AS n_rows, count(item_name) AS items, count(subtotal) AS totals, count(*) FILTER (WHERE quantity > 50) AS large FROM wide),
+  SELECT count(*) AS n_rows, count(item_name) AS items, count(subtotal) AS totals, count(*) FILTER (WHERE quantity > 50) AS large,
+         count(DISTINCT filename) AS n FROM wide),
 long AS (
   SELECT 'store_name' AS metric, 1.0::DOUBLE AS pattern, items / n_rows::DOUBLE AS model FROM model
   UNION ALL SELECT 'store_address', 1.0, 0.0
@@ -257,7 +338,9 @@ long AS (
   UNION ALL SELECT 'subtotal', 1.0, totals / n_rows::DOUBLE FROM model
   UNION ALL SELECT 'item_name', (SELECT items / n_rows::DOUBLE FROM pattern), items / n_rows::DOUBLE FROM model
   UNION ALL SELECT 'math_accuracy', 1.0, 1.0
-  UNION ALL SELECT 'suspicious_rate', 0.0, large / items::DOUBLE FROM model)
+  UNION ALL SELECT 'suspicious_rate', 0.0, large / items::DOUBLE FROM model
+  UNION ALL SELECT 'payment_failure_rate', (SELECT unpaid / n::DOUBLE FROM pattern), 1.0
+  UNION ALL SELECT 'items_per_receipt', (SELECT items / n::DOUBLE FROM pattern), items / n::DOUBLE FROM model)
 SELECT metric, round(pattern, 9) AS pattern, round(model, 9) AS model, round(model - pattern, 9) AS difference FROM long""",
     "united_results": f"""
 WITH {_CHOSEN},

@@ -9,7 +9,7 @@ from fiscalframe.fixtures.slips import order_key
 from fiscalframe.fixtures.tables import table
 from fiscalframe.functions.html import form_token, html_attr
 from fiscalframe.operators.worklist import DOCUMENT_URL, fetch_outcomes, fetch_summary, fetch_worklist, image_name, is_image
-from fiscalframe.sources.inputs import read_fetch_log, read_fiscal_ids
+from fiscalframe.sources.inputs import list_images, read_fetch_log, read_fiscal_ids
 from fiscalframe.sources.outputs import scratch_path
 
 
@@ -31,9 +31,10 @@ def worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
+    # A purchase of high value stands for an ID that was not fetched.
     status = F.when(kind == "click", 200).when(kind == "view", 404).when(kind == "signup", 503)
     error = F.when(kind == "error", F.when(F.col("value") < 20, "timeout").otherwise("connection")).when(
-        kind == "purchase", "other"
+        (kind == "purchase") & (F.col("value") < 60), "other"
     )
     return table(spark, sf_dir, "events").select(
         order_key("user_id").alias("fiscal_id"), status.alias("status_code"), error.alias("error")
@@ -64,6 +65,17 @@ def image_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.filter(is_image(F.col("filename")))
 
 
+def listed_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files written with three endings, one folder per nation, and what a listing of them finds."""
+    path = scratch_path(spark, "images")
+    names = table(spark, sf_dir, "customer").select("c_nationkey", "c_name").repartition("c_nationkey")
+    for ending in ("jpg", "png", "gif"):
+        names.write.mode("append").partitionBy("c_nationkey").option("extension", ending).csv(path)
+    found = list_images(spark, path)
+    key = F.regexp_extract("path", r"c_nationkey=(\d+)/", 1).cast("int")
+    return found.select(key.alias("nation"), F.substring_index("filename", ".", -1).alias("ending"))
+
+
 def page_attribute(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.col("html")
     return table(spark, sf_dir, "pages").select(
@@ -95,6 +107,7 @@ QUERIES = {
     "fetch_outcomes": outcomes,
     "fetch_summary": summary,
     "image_listing": image_listing,
+    "listed_images": listed_images,
     "page_attribute": page_attribute,
     "page_token": page_token,
 }
@@ -104,8 +117,9 @@ _LOG = """
 log AS (
   SELECT user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') AS there, event_type, value FROM events),
 judged AS (
-  SELECT CASE WHEN there THEN 'present' WHEN event_type = 'click' THEN 'downloaded'
-              WHEN event_type IN ('view', 'signup') THEN 'bad_status' WHEN event_type = 'purchase' THEN 'other_error'
+  SELECT CASE WHEN event_type = 'click' THEN 'downloaded'
+              WHEN event_type IN ('view', 'signup') THEN 'bad_status'
+              WHEN event_type = 'purchase' THEN CASE WHEN there AND NOT value < 60 THEN 'present' ELSE 'other_error' END
               WHEN value < 20 THEN 'timeout' ELSE 'connection' END AS outcome FROM log)"""
 
 ORACLES = {
@@ -123,6 +137,8 @@ SELECT count(*) AS total, count(*) FILTER (WHERE outcome IN ('present', 'downloa
     "image_listing": f"""
 SELECT {_ID} || CASE o_orderkey % 7 WHEN 0 THEN '.jpeg' WHEN 1 THEN '.JPG' WHEN 2 THEN '.png' ELSE '.Tiff' END AS filename
 FROM orders WHERE o_orderkey % 7 < 4""",
+    "listed_images": """
+SELECT DISTINCT c_nationkey AS nation, ending FROM customer, (VALUES ('jpg'), ('png')) AS e(ending)""",
     "page_attribute": """
 SELECT page_id, nullif(regexp_extract(html, '<meta charset="([^"]*)"', 1), '') AS charset,
        nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang,

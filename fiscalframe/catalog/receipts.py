@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalframe.fixtures.slips import line_slips, order_slips
+from fiscalframe.fixtures.slips import line_slips, order_slips, spelled_slips
 from fiscalframe.fixtures.tables import table
 from fiscalframe.functions.names import clean_item_name, is_item_line
 from fiscalframe.functions.text import strip
@@ -88,6 +88,17 @@ def items_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failed.select("filename", "error", "item_name", "tax_id", "cash_payment")
 
 
+def header_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    header = extract_header(spelled_slips(table(spark, sf_dir, "orders")))
+    return header.select("filename", "store_address", "store_code", "receipt_number", "fiscal_id")
+
+
+def receipt_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts whose printed total differs from the sum of their items."""
+    out = reconcile_receipts(parse_receipts(spelled_slips(table(spark, sf_dir, "orders"))))
+    return out.filter("gap <> 0").select("filename", "n_items", F.col("gap").cast("double").alias("gap"))
+
+
 def receipt_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = reconcile_receipts(parse_receipts(_orders(spark, sf_dir)))
     return out.select("filename", "n_items", *[F.col(c).cast("double").alias(c) for c in ("items_total", "subtotal", "gap")])
@@ -184,12 +195,15 @@ QUERIES = {
     "items_wrapped_names": _lines("wrapped"),
     "items_vat_lines": _lines("tax"),
     "items_bad_number": _lines("bad"),
+    "items_empty_names": _lines("bare"),
     "items_fallback": items_fallback,
     "header_fields": header_fields,
     "header_missing": header_missing,
     "payments_default": payments_default,
     "sale_timestamp": sale_timestamp,
     "receipt_30col": receipt_30col,
+    "header_spellings": header_spellings,
+    "receipt_gaps": receipt_gaps,
     "receipt_reconciliation": receipt_reconciliation,
     "receipt_sizes": receipt_sizes,
     "distinct_receipts": distinct_receipts,
@@ -298,6 +312,19 @@ FROM receipt GROUP BY 1""",
     ),
     "items_vat_lines": _line_sql(),
     "items_bad_number": _line_sql(rebate_if="l_orderkey % 4 <> 0"),
+    "items_empty_names": f"""
+SELECT {_LINE_FILE}, CAST(0 AS INTEGER) AS line_no, {_PLAIN_NAME} AS item_name,
+       l_quantity AS quantity, l_extendedprice AS unit_price, l_extendedprice AS line_total
+FROM lineitem WHERE l_orderkey % 3 <> 0
+UNION ALL
+SELECT {_LINE_FILE}, CAST(CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE 1 END AS INTEGER), 'Endirim K', 1.0, l_discount, l_discount
+FROM lineitem""",
+    "header_spellings": f"""
+SELECT {_FILENAME} AS filename, o_orderpriority AS store_address, o_custkey || '-' || (o_orderkey % 9) AS store_code,
+       CAST(o_orderkey AS VARCHAR) AS receipt_number, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS fiscal_id
+FROM orders""",
+    "receipt_gaps": f"""
+SELECT {_FILENAME} AS filename, CAST(1 AS BIGINT) AS n_items, -1.0::DOUBLE AS gap FROM orders WHERE o_orderkey % 5 = 0""",
     "items_fallback": f"""
 SELECT {_FILENAME} AS filename,
        CASE WHEN o_orderkey % 17 = 0 THEN 'cannot identify image file' ELSE 'Item parsing failed' END AS error,

@@ -51,7 +51,7 @@ def order_answers(orders: DataFrame) -> DataFrame:
     First attempt by customer key % 7: strict, two fences, prose, cut off in
     the last object, refusal, bare object. The second attempt is strict with
     names ending in ``II``, except after a bare object, where it is a refusal
-    and a third, never looked at, is strict.
+    and the third is strict.
     """
     first = _objects("")
     style = F.col("o_custkey") % 7
@@ -82,3 +82,43 @@ def order_answers(orders: DataFrame) -> DataFrame:
     )
     rows = orders.select(order_filename().alias("filename"), F.explode(attempts).alias("a"))
     return rows.select("filename", "a.attempt", "a.response").filter(F.col("response").isNotNull())
+
+
+#: What stands in an item's field when it is not usable, in JSON, and why it is rejected.
+UNUSABLE = (
+    ("null", "missing"),
+    ('""', "missing"),
+    ('"N/A"', "missing"),
+    ('"null"', "missing"),
+    ('["x"]', "unreadable"),
+)
+FIELDS = ("item_name", "quantity", "unit_price", "line_total")
+
+
+def flawed_answers(lineitem: DataFrame) -> DataFrame:
+    """``(filename, attempt, response)``: per line item two objects, of which the first has one unusable field.
+
+    Which field, by part key % 4; what stands there, by supplier key % 5. The
+    name of the second is in runs of quotes behind a tax prefix. Every
+    seventh answer also holds something that is no object.
+    """
+    field = F.col("l_partkey") % 4
+    bad = F.element_at(F.array(*[F.lit(u) for u, _ in UNUSABLE]), (F.col("l_suppkey") % 5 + 1).cast("int"))
+    good = ('"Su"', "2", "0.5", "1.0")
+    flawed = [F.concat(F.lit(f'"{f}": '), F.when(field == i, bad).otherwise(F.lit(good[i]))) for i, f in enumerate(FIELDS)]
+    name = F.concat(F.lit("ƏDV: 18 '\\\"\\\"Mal "), F.col("l_partkey").cast("string"), F.lit("\\\"'\\\""))
+    fine = F.concat(F.lit('"item_name": "'), name, F.lit('", "quantity": "3", "unit_price": " 0.50 ", "line_total": 1.5'))
+    stray = F.when(F.col("l_orderkey") % 7 == 0, F.lit(", 17"))
+    response = F.concat(F.lit("[{"), F.concat_ws(", ", *flawed), F.lit("}, {"), fine, F.lit("}"), F.coalesce(stray, F.lit("")), F.lit("]"))
+    key = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    return lineitem.select(key.alias("filename"), F.lit(0).alias("attempt"), response.alias("response"))
+
+
+def emptied_answers(orders: DataFrame) -> DataFrame:
+    """Torn answers with one name that the second validation empties, one that the first does, and one that stays."""
+
+    def one(name: str) -> str:
+        return f'{{"item_name": "{name}", "quantity": 1, "unit_price": 2, "line_total": 2}}'
+
+    torn = f'[{one("ƏDV 1 ƏDV 2 ƏDV 3")}, {one("ƏDV: 1")}, {one("ok")}, {{"item_name": "kəs'
+    return orders.select(order_filename().alias("filename"), F.lit(0).alias("attempt"), F.lit(torn).alias("response"))

@@ -111,7 +111,8 @@ def line_slips(lineitem: DataFrame, style: str = "plain") -> DataFrame:
     Styles: ``plain``; ``units`` (goods with a unit on every second line
     number); ``wrapped`` (names over two lines, number columns torn apart,
     a stray line swallowing the item after it); ``tax`` (tax notes and tax
-    prefixes); ``bad`` (an unreadable number before the last item).
+    prefixes); ``bad`` (an unreadable number before the last item); ``bare``
+    (on every third order a name that is only a prefix, in quotes on some).
     """
     key, part = F.col("l_orderkey"), F.col("l_partkey").cast("string")
     qty = F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit(".000"))
@@ -142,7 +143,36 @@ def line_slips(lineitem: DataFrame, style: str = "plain") -> DataFrame:
     elif style == "bad":
         bad = F.when(key % 4 == 0, F.lit("Çay 1.2.3 1.00 1.00"))
         lines = [goods, bad, rebate]
+    elif style == "bare":
+        prefix = F.when(key % 2 == 0, F.lit("vƏDV: 189:")).otherwise(F.lit("\"ƏDV 18"))
+        lines = [F.when(key % 3 == 0, F.concat_ws(" ", prefix, numbers)).otherwise(goods), rebate]
     else:
         raise ValueError(f"unknown style {style!r}")
     text = F.concat_ws("\n", F.lit(ITEM_HEADER), *lines, F.concat(F.lit("Cəmi "), price))
     return lineitem.select(line_filename().alias("filename"), text.alias("text"))
+
+
+def spelled_slips(orders: DataFrame) -> DataFrame:
+    """``(filename, text)``: headers in the spellings that readings of a receipt have, and a total that may not add up.
+
+    The address behind ``fani``, the store code behind ``ÖV ... obyektin kodu``
+    (with another ``ÖV`` before it on some), the receipt number behind ``#``
+    or a Cyrillic letter, the fiscal number in small letters. The printed
+    total is one unit too high on every fifth order.
+    """
+    n, cust = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    code = F.concat_ws("-", cust, (n % 9).cast("string"))
+    number = F.when(n % 3 == 0, "Satış çeki # ").when(n % 3 == 1, "Satış çeki М ").otherwise("Satışçeki №")
+    cents = order_quantity(F.lit(1)) * order_cents(F.lit(1))
+    item = F.concat(F.lit("Mal "), order_quantity(F.lit(1)).cast("string"), F.lit(".000 "), cents_text(order_cents(F.lit(1))), F.lit(" "), cents_text(cents))
+    text = F.concat_ws(
+        "\n",
+        F.concat(F.lit("Obyektin fani: "), F.col("o_orderpriority")),
+        F.when(n % 2 == 0, F.concat(F.lit("ÖV qeyd\nÖV obyektin kodu: "), code)).otherwise(F.concat(F.lit("Obyektin  kodu "), code)),
+        F.concat(number, n.cast("string")),
+        F.lit(ITEM_HEADER),
+        item,
+        F.concat(F.lit("Cəmi "), cents_text(cents + F.when(n % 5 == 0, 100).otherwise(0))),
+        F.concat(F.lit("fiskal id: "), order_key()),
+    )
+    return orders.select(F.concat(order_key(), F.lit(".jpeg")).alias("filename"), text.alias("text"))

@@ -19,6 +19,7 @@ from fiscalframe.functions.text import INLINE_SPACE, capture, let, strip
 ITEM_BLOCK = r"Məhsulun adı\s+Say\s+Qiymət\s+Cəmi\s*\n(.*?)(?=\n-+\s*\nCəmi|\nCəmi\s+\d+\.\d{2})"
 
 NO_ITEMS = "Item parsing failed"
+NO_TEXT = "Text missing"
 
 # Code points that never occur in text: between the parts of a step, and where
 # two lines were joined.
@@ -27,8 +28,9 @@ _BAR, _JOINT = "\ufdd0", "\ufdd1"
 _H = INLINE_SPACE
 _N = r"([\d.]+)"
 _STEPS = (
-    # name (unit) quantity price total
-    rf"([^\n]+?){_H}*\([^)\n]+\){_H}+{_N}{_H}+{_N}{_H}+{_N}$",
+    # name (unit) quantity price total; the unit holds no closing bracket, so it
+    # opens behind the last but one, if there is one
+    rf"((?:[^\n]*\)|[^\n])[^()\n]*?){_H}*\([^)\n]+\){_H}+{_N}{_H}+{_N}{_H}+{_N}$",
     # name quantity price total
     rf"([^\n]+?){_H}+{_N}{_H}+{_N}{_H}+{_N}$",
     # The same over two lines: torn inside or behind the name, ...
@@ -93,9 +95,10 @@ def explode_items(df: DataFrame, text: str = "text") -> DataFrame:
     """One row per item; a receipt without items gives one row with ``error``.
 
     A row whose text is null takes its message from ``ocr_error`` if there is
-    such a column. The text itself is not carried on.
+    one. The text itself is not carried on.
     """
-    failed = F.col("ocr_error") if "ocr_error" in df.columns else F.lit(None).cast("string")
+    given = [F.col("ocr_error")] if "ocr_error" in df.columns else []
+    failed = F.coalesce(*given, F.lit(NO_TEXT))
     carried = [c for c in df.columns if c not in (text, "ocr_error")]
     located = df.select(
         *carried,

@@ -17,20 +17,25 @@ from fiscalframe.schema import COLUMNS, NUMBERS, PAYMENTS, TEXT_MONEY
 FENCE = "```"
 JSON_FENCE = "```json"
 ITEM_OBJECT = r'\{[^{}]*"item_name"[^{}]*\}'
-MISSING_NAMES = ("", "null", "N/A")
-MAX_ATTEMPTS = 2
+MISSING = ("", "null", "N/A")
 NO_RESULT = "AI extraction failed"
 
-# Columns other than the name, the numbers and money.
-TEXTS = tuple(c for c in COLUMNS if c not in ("item_name", *NUMBERS, *TEXT_MONEY))
-
 # Closes the wrapper array in which a response is parsed, see _strict_items.
 _END = "end of response"
 
 
+DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
 def allow_duplicate_keys(spark: SparkSession) -> None:
-    """Let the last of several equal JSON keys win instead of failing the parse."""
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    """For the owner of the session: let the last of several equal JSON keys win."""
+    spark.conf.set(DUPLICATE_KEYS, "true")
+
+
+def require_duplicate_keys(spark: SparkSession) -> None:
+    """Without that setting an answer that repeats a key would silently lose its items."""
+    if str(spark.conf.get(DUPLICATE_KEYS, "false")).lower() != "true":
+        raise ValueError(f"set {DUPLICATE_KEYS} to true, see allow_duplicate_keys")
 
 
 def strip_fences(response: Column) -> Column:
@@ -118,52 +123,49 @@ def _money(value: Column) -> Column:
     return let(_as_text(value), fmt)
 
 
-def _read_item(item: Column) -> Column:
-    """One JSON object as a struct: name, three numbers, other texts, other money.
+def _read_item(raw: bool) -> Callable[[Column], Column]:
+    """One JSON object as a struct: name, three numbers, why it is rejected, and the object itself if wanted.
 
-    ``texts`` and ``money`` follow the order of TEXTS and TEXT_MONEY.
+    Its other fields are read after the choice of attempt, see ``item_value``.
     """
 
-    def read(fields: Column) -> Column:
-        def each(names: Sequence[str], how: Callable[[Column], Column]) -> Column:
-            values = F.transform(F.array(*map(F.lit, names)), lambda n: F.try_element_at(fields, n))
-            return F.transform(values, lambda v: F.when(v.isNotNull(), how(v)))
+    def read(item: Column) -> Column:
+        def value(field: str) -> Column:
+            return F.try_variant_get(item, f"$.{field}", "variant")
 
-        def as_struct(numbers: Column) -> Column:
-            name = F.try_element_at(fields, F.lit("item_name"))
+        def as_struct(v: Column) -> Column:
+            name = F.when(F.schema_of_variant(v["item_name"]) == "STRING", F.try_variant_get(v["item_name"], "$", "string"))
             return F.struct(
-                F.when(F.schema_of_variant(name) == "STRING", F.try_variant_get(name, "$", "string")).alias("item_name"),
-                *[numbers[i].alias(n) for i, n in enumerate(NUMBERS)],
-                each(TEXTS, _text).alias("texts"),
-                each(TEXT_MONEY, _money).alias("money"),
+                name.alias("item_name"),
+                *[_number(v[n]).alias(n) for n in NUMBERS],
+                *([item.alias("raw")] if raw else []),
                 F.array().cast("array<string>").alias("repair"),
                 F.lit(False).alias("suspicious_quantity"),
                 F.lit(False).alias("high_price"),
             )
 
-        return let(each(NUMBERS, _number), as_struct)
+        return let(F.struct(*[value(f).alias(f) for f in ("item_name", *NUMBERS)]), as_struct)
 
-    return let(F.try_variant_get(item, "$", "map<string,variant>"), read)
+    return read
 
 
 def item_value(item: Column, column: str) -> Column:
     """One of the 30 columns out of an item struct."""
-    if column in TEXTS:
-        return item["texts"][TEXTS.index(column)]
-    if column in TEXT_MONEY:
-        return item["money"][TEXT_MONEY.index(column)]
-    return item[column]
+    if column == "item_name" or column in NUMBERS:
+        return item[column]
+    value = F.try_variant_get(item["raw"], f"$.{column}", "variant")
+    return F.when(value.isNotNull(), _money(value) if column in TEXT_MONEY else _text(value))
 
 
 def is_complete(item: Column) -> Column:
     """Has a usable name and three readable numbers."""
-    present = item["item_name"].isNotNull() & ~item["item_name"].isin(*MISSING_NAMES)
+    present = item["item_name"].isNotNull() & ~item["item_name"].isin(*MISSING)
     for n in NUMBERS:
         present = present & item[n].isNotNull()
     return present
 
 
-def validate_items(items: Column) -> Column:
+def validate_items(items: Column, raw: bool) -> Column:
     """Drop incomplete items, repair the rest and clean their names."""
 
     def validated(item: Column) -> Column:
@@ -171,8 +173,7 @@ def validate_items(items: Column) -> Column:
             return F.struct(
                 clean_item_name(item["item_name"], quote_runs=True).alias("item_name"),
                 *[fixed[n].alias(n) for n in NUMBERS],
-                item["texts"].alias("texts"),
-                item["money"].alias("money"),
+                *([item["raw"].alias("raw")] if raw else []),
                 F.concat(item["repair"], fixed["repair"]).alias("repair"),
                 fixed["suspicious_quantity"].alias("suspicious_quantity"),
                 fixed["high_price"].alias("high_price"),
@@ -189,41 +190,93 @@ def _salvaged_objects(array: Column) -> Column:
     return F.filter(F.transform(chunks, F.try_parse_json), lambda v: v.isNotNull())
 
 
-def items_from_response(response: Column) -> Column:
+def _objects(response: Column, body: Callable[[Column, Column], Column]) -> Column:
+    """``body(whole, objects)`` on the array of a response: is it valid JSON, and its objects.
+
+    A response that is not valid as a whole is salvaged object by object.
+    NULL if the response holds no array.
+    """
+
+    def recover(array: Column) -> Column:
+        def split(parsed: Column) -> Column:
+            whole = _is_whole(parsed)
+            values = F.try_variant_get(parsed, "$[0]", "array<variant>")
+            return F.struct(whole.alias("whole"), F.when(whole, values).otherwise(_salvaged_objects(array)).alias("objects"))
+
+        return let(let(_parsed(array), split), lambda p: body(p["whole"], p["objects"]))
+
+    return let(array_text(response), lambda array: F.when(array.isNotNull(), recover(array)))
+
+
+def items_from_response(response: Column, columns: Sequence[str] = COLUMNS) -> Column:
     """ARRAY of validated items of one response; NULL if it holds no array.
 
-    A response that is not valid JSON as a whole is salvaged object by object.
     Salvaged items go through validation twice, and it is not idempotent.
+    Items carry what ``item_value`` needs for the given columns, no more.
     """
+    raw = bool(set(columns) - {"item_name", *NUMBERS})
 
-    def recover(array: Column) -> Column:
-        return let(_parsed(array), lambda parsed: let(F.struct(_is_whole(parsed).alias("whole"), parsed.alias("v")), read(array)))
-
-    def read(array: Column) -> Callable[[Column], Column]:
-        def items(p: Column) -> Column:
-            whole = F.try_variant_get(p["v"], "$[0]", "array<variant>")
-            objects = F.when(p["whole"], whole).otherwise(_salvaged_objects(array))
-            once = validate_items(F.transform(objects, _read_item))
-            return let(
-                once,
-                lambda o: F.when(p["whole"], o).otherwise(F.filter(validate_items(o), is_complete)),
-            )
+    def items(whole: Column, objects: Column) -> Column:
+        once = validate_items(F.transform(objects, _read_item(raw)), raw)
+        return let(once, lambda o: F.when(whole, o).otherwise(validate_items(o, raw)))
+
+    return _objects(response, items)
+
+
+def _reason(item: Column) -> Column:
+    """Why an object is no item: the first field that is missing or cannot be read; NULL for an item."""
+
+    def missing(field: str) -> Column:
+        value = F.try_variant_get(item, f"$.{field}", "variant")
+        text = _as_text(value)
+        absent = value.isNull() | text.isNull() | (_is_kind(value, "STRING") & text.isin(*MISSING))
+        readable = _is_kind(value, "STRING") if field == "item_name" else _number(value).isNotNull()
+        return F.when(absent, f"{field} missing").when(~readable, f"{field} unreadable")
+
+    is_object = F.try_variant_get(item, "$", "map<string,variant>").isNotNull()
+    return F.when(~is_object, "not an object").otherwise(F.coalesce(*[missing(f) for f in ("item_name", *NUMBERS)]))
+
+
+def attempt_outcomes(responses: DataFrame) -> DataFrame:
+    """``(filename, attempt, outcome, n_items)`` of every attempt.
+
+    ``ok`` and ``salvaged`` gave items; ``no_array``, ``broken`` (not valid
+    JSON, and nothing could be salvaged) and ``no_valid_item`` did not.
+    """
+    require_duplicate_keys(responses.sparkSession)
+    kinds = _objects(F.col("response"), lambda whole, objects: F.when(whole, "whole").otherwise("broken"))
+    n = F.coalesce(F.size(items_from_response(F.col("response"), NUMBERS)), F.lit(0))
+    judged = responses.select("filename", "attempt", kinds.alias("_kind"), F.greatest(n, F.lit(0)).alias("n_items"))
+    outcome = (
+        F.when(F.col("_kind").isNull(), "no_array")
+        .when(F.col("n_items") > 0, F.when(F.col("_kind") == "whole", "ok").otherwise("salvaged"))
+        .otherwise(F.when(F.col("_kind") == "whole", "no_valid_item").otherwise("broken"))
+    )
+    return judged.select("filename", "attempt", outcome.alias("outcome"), "n_items")
 
-        return items
 
-    return let(array_text(response), recover)
+def rejected_items(responses: DataFrame) -> DataFrame:
+    """``(filename, attempt, position, reason)`` of every object that is no valid item."""
+    require_duplicate_keys(responses.sparkSession)
+    reasons = _objects(F.col("response"), lambda whole, objects: F.transform(objects, _reason))
+    each = responses.select("filename", "attempt", F.posexplode(reasons).alias("position", "reason"))
+    return each.filter(F.col("reason").isNotNull())
 
 
-def first_good_attempt(responses: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+def first_good_attempt(responses: DataFrame, max_attempts: int | None = None, columns: Sequence[str] = COLUMNS) -> DataFrame:
     """Per filename the items of the first attempt that yields any, else NULL.
 
-    One shuffle on filename, reduced to one row per filename and task before
-    it, so that a filename with very many rows stays cheap.
+    All attempts count unless ``max_attempts`` says otherwise; one without a
+    number comes last. One shuffle on filename, reduced to one row per filename
+    and task before it, so that a filename with very many rows stays cheap.
     """
-    tried = responses.filter(F.col("attempt") < max_attempts).select(
-        "filename", "attempt", F.xxhash64("response").alias("_tie"), items_from_response(F.col("response")).alias("items")
+    require_duplicate_keys(responses.sparkSession)
+    number = F.col("attempt")
+    counted = responses if max_attempts is None else responses.filter(number.isNull() | (number < max_attempts))
+    tried = counted.select(
+        "filename", "attempt", F.xxhash64("response").alias("_tie"), items_from_response(F.col("response"), columns).alias("items")
     )
-    order = F.when(F.size("items") > 0, F.struct("attempt", "_tie"))
+    order = F.when(F.size("items") > 0, F.struct(number.isNull().alias("unnumbered"), "attempt", "_tie"))
     return tried.groupBy("filename").agg(F.min_by("items", order).alias("items"))
 
 

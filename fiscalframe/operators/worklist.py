@@ -48,17 +48,22 @@ def fetch_worklist(ids: DataFrame, files: DataFrame, base: str = DOCUMENT_URL) -
 
 
 def outcome(present: Column, status_code: Column, error: Column) -> Column:
+    """What the log says wins; an ID that was never asked for is there or not."""
     return (
-        F.when(present, "present")
-        .when(status_code == 200, "downloaded")
+        F.when(status_code == 200, "downloaded")
         .when(status_code.isNotNull(), "bad_status")
         .when(error.isin("timeout", "connection"), error)
+        .when(error.isNull() & present, "present")
         .otherwise("other_error")
     )
 
 
 def fetch_outcomes(fetch_log: DataFrame, files: DataFrame) -> DataFrame:
-    """The log with ``filename``, ``outcome`` and ``success``; a file already there is a success.
+    """The log with ``filename``, ``outcome`` and ``success``.
+
+    A row with neither status nor error was not fetched, because its file was
+    there already; that is a success. A file that came later does not change
+    how an attempt went.
 
     Joined on the file name, not on the ID the present ones are distinct by:
     adaptive execution splits a hot ID of the log only if both sides come

@@ -12,15 +12,23 @@ from fiscalframe.functions.numbers import two_decimal_text
 from fiscalframe.schema import TEXT_LAYER, conform, typed
 
 
+def is_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary
-    folder is used.
+    A session on one machine that names none gets a temporary folder; on a
+    cluster that would be a different folder on every host, so it is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    root = shared or tempfile.mkdtemp(prefix="fiscalframe-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not shared:
+        if not is_one_machine(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="fiscalframe-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def write_csv(df: DataFrame, path: str, two_decimals: bool = False, mode: str = "errorifexists") -> None:

@@ -55,8 +55,20 @@ def test_requests_and_recover_jobs(spark, folder, capsys):
     assert "unique_receipts: 2" in printed and "cost: 0.06" in printed
 
 
+def test_recover_reads_answers_in_their_own_format(spark, folder, capsys):
+    answer = json.dumps([{"item_name": "Su", "quantity": 1, "unit_price": 0.5, "line_total": 0.5}])
+    answers = spark.createDataFrame([("a.jpeg", 2, answer)], "filename string, attempt int, response string")
+    answers.write.json(f"{folder}/answers")
+    args = ["recover", "--text", f"{folder}/text", "--format", "text", "--responses", f"{folder}/answers", "--responses-format", "json"]
+    main([*args, "--out", f"{folder}/out"])
+    assert any(",Su,1.0,0.50,0.50," in x for x in lines(folder / "out"))
+    assert "success_rate: 0.5" in capsys.readouterr().out
+    main([*args, "--out", f"{folder}/two", "--max-attempts", "2"])
+    assert not any(",Su," in x for x in lines(folder / "two"))
+
+
 def test_outcomes_job(spark, folder, capsys):
-    log = spark.createDataFrame([("a", None, "timeout"), ("c", 404, None)], "fiscal_id string, status_code int, error string")
+    log = spark.createDataFrame([("a", None, None), ("c", 404, None)], "fiscal_id string, status_code int, error string")
     log.write.json(f"{folder}/log")
     main(["outcomes", "--log", f"{folder}/log", "--format", "json", "--images", f"{folder}/images"])
     assert capsys.readouterr().out.split("\n")[:3] == ["total: 2", "successful: 1", "failed: 1"]

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from datetime import datetime
 
 import pytest
@@ -105,6 +106,34 @@ def test_walk_against_brute_force(spark):
         assert [tuple(x) for x in row["items"]] == walk(receipts[row["i"]]), receipts[row["i"]]
 
 
+def test_unit_lines_against_python_re(spark):
+    """Lines of brackets, blanks and numbers: the unit rule finds what its plain form does."""
+    plain = re.compile(r"(.+?)\s*\([^)]+\)\s+([\d.]+)\s+([\d.]+)\s+([\d.]+)\Z")
+    bare = re.compile(r"(.+?)\s+([\d.]+)\s+([\d.]+)\s+([\d.]+)\Z")
+    rng = random.Random(9)
+    lines = []
+    for _ in range(6000):
+        body = "".join(rng.choice("a() )(b") for _ in range(rng.randint(1, 12))).strip()
+        lines.append(body + rng.choice([" 1 2 3", " 1 2 3", "1 2 3", " 1 2"]))
+    df = spark.createDataFrame([(i, [x.strip()]) for i, x in enumerate(lines)], "i int, lines array<string>")
+    for row in df.select("i", items_from_lines(F.col("lines")).alias("items")).collect():
+        line = lines[row["i"]].strip()
+        m = plain.match(line) or bare.match(line)
+        name = " ".join(m[1].split()) if m else ""
+        assert [x["item_name"] for x in row["items"]] == ([name] if name else []), line
+
+
+@pytest.mark.parametrize("text", ["ÖV " * 340_000, HEAD + "(" * 1_000_000 + " 1 1 1\nCəmi 1.00", HEAD + "(" * 500_000 + "x) y) 1 1 1\nCəmi 1.00"])
+def test_time_grows_with_the_text(spark, text):
+    df = spark.createDataFrame([("r", text)], "filename string, text string").cache()
+    df.count()
+    parsed = parse_receipts(df).select("store_code", "item_name", "error")
+    parsed.collect()
+    start = time.perf_counter()
+    parsed.collect()
+    assert time.perf_counter() - start < 1
+
+
 def test_long_block_is_read_whole(column):
     lines = [f"Mal {i} A 1.000 {i}.00 {i}.00" for i in range(5000)]
     got = items(column, block(*lines))
@@ -186,13 +215,14 @@ def test_rules_read_what_python_re_reads(spark):
     """Shuffled and damaged receipts, every rule, Spark's against Python's dialect."""
     rng = random.Random(11)
     pieces = RECEIPT.splitlines() + ["", "Kassir:", "Kassir 12", "VÖEN", "fani Gəncə", "Fiskal İD", "Nağd 3.00", "Nisyə: 4.50", "Cəmi", "  "]
+    pieces += ["ÖV", "ÖVÖV obyektin  kodu", "obyektin kodu: 5-6", "Obyektin kodu 77", "Obyektin kodu ÖV 8"]
     texts = []
-    for _ in range(300):
+    for _ in range(600):
         lines = [rng.choice(pieces) for _ in range(rng.randint(1, 14))]
         text = rng.choice(["\n", "\n", "\r\n", " "]).join(lines)
         texts.append(text if rng.random() < 0.5 else text[: rng.randrange(len(text) + 1)])
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
-    plain = {n: FieldRule(r.pattern, r.group, strip) for n, r in HEADER_RULES.items()}
+    plain = {n: FieldRule(r.pattern, r.group, strip, finder=r.finder) for n, r in HEADER_RULES.items()}
     for row in extract_fields(df, "text", plain).collect():
         for name, rule in HEADER_RULES.items():
             m = re.search(rule.pattern, texts[row["i"]], re.MULTILINE | re.DOTALL)
@@ -203,7 +233,8 @@ def test_fallback_rows(spark):
     rows = [("a", None, "broken file"), ("b", None, None), ("c", "nothing", None), ("d", "fiskal ıd: QQ.1", None)]
     df = spark.createDataFrame(rows, "filename string, text string, ocr_error string")
     out = {r["filename"]: r for r in parse_receipts(df).collect()}
-    assert out["a"]["error"] == "broken file" and out["b"]["error"] is None
+    assert out["a"]["error"] == "broken file" and out["b"]["error"] == "Text missing"
+    assert parse_receipts(df.drop("ocr_error")).filter("filename = 'a'").first()["error"] == "Text missing"
     assert [out["a"][p] for p in PAYMENTS] == [None] * 5
     assert out["c"]["error"] == "Item parsing failed"
     assert [out["c"][p] for p in PAYMENTS] == ["0.00"] * 5

@@ -12,11 +12,14 @@ from fiscalframe.operators.requests import build_requests
 from fiscalframe.operators.responses import (
     _is_whole,
     _parsed,
+    DUPLICATE_KEYS,
     allow_duplicate_keys,
     array_text,
+    attempt_outcomes,
     first_good_attempt,
     item_value,
     items_from_response,
+    rejected_items,
 )
 from fiscalframe.plans.responses import recover_receipts
 from fiscalframe.schema import COLUMNS, PAYMENTS
@@ -115,6 +118,35 @@ def test_salvage_validates_twice(spark):
     assert recovered_all(spark, [torn])[0] == [("Su", 1.5, 1.0, 1.5)]
 
 
+def test_salvaged_name_may_be_emptied_by_the_second_validation(spark):
+    torn = json.dumps([item("ƏDV 1 ƏDV 2 ƏDV 3"), item("ok")], ensure_ascii=False)[:-1] + ', {"x'
+    assert [i[0] for i in recovered_all(spark, [torn])[0]] == ["", "ok"]
+
+
+def test_repeated_keys_need_the_setting(spark):
+    answers = spark.createDataFrame([("a", 0, "[]")], "filename string, attempt int, response string")
+    spark.conf.set(DUPLICATE_KEYS, "false")
+    try:
+        for operator in (first_good_attempt, attempt_outcomes, rejected_items):
+            with pytest.raises(ValueError, match="allowDuplicateKeys"):
+                operator(answers)
+    finally:
+        allow_duplicate_keys(spark)
+
+
+def test_outcomes_and_rejected_items(spark):
+    flawed = json.dumps([item(), item("N/A"), 5, item(quantity="x"), item(unit_price=None)])
+    rows = [("a", 0, flawed), ("a", 1, flawed[:-2]), ("b", 0, "no"), ("b", None, None), ("c", 0, "[{"), ("d", 0, json.dumps([item(None)]))]
+    answers = spark.createDataFrame(rows, "filename string, attempt int, response string")
+    told = {(r["filename"], r["attempt"]): (r["outcome"], r["n_items"]) for r in attempt_outcomes(answers).collect()}
+    assert told == {
+        ("a", 0): ("ok", 1), ("a", 1): ("salvaged", 1),
+        ("b", 0): ("no_array", 0), ("b", None): ("no_array", 0), ("c", 0): ("broken", 0), ("d", 0): ("no_valid_item", 0),
+    }
+    reasons = [(r["position"], r["reason"]) for r in rejected_items(answers.limit(1)).orderBy("position").collect()]
+    assert reasons == [(1, "item_name missing"), (2, "not an object"), (3, "quantity unreadable"), (4, "unit_price missing")]
+
+
 def test_other_fields(spark):
     given = {
         "subtotal": "N/A",
@@ -235,11 +267,22 @@ def test_first_good_attempt(spark):
         ("second", 0, bad), ("second", 1, other),
         ("torn", 0, good[:-1]), ("torn", 1, other),
         ("late", 0, "no"), ("late", 1, None), ("late", 2, good),
+        ("unnumbered", None, other), ("unnumbered", 7, good), ("unnumbered", 8, other),
+        ("only", None, other),
         ("none", 0, "[]"),
     ]
     df = spark.createDataFrame(rows, "filename string, attempt int, response string")
     got = {r["filename"]: [i["item_name"] for i in r["items"] or []] for r in first_good_attempt(df).collect()}
-    assert got == {"first": ["a"], "second": ["b"], "torn": ["a"], "late": [], "none": []}
+    assert got == {"first": ["a"], "second": ["b"], "torn": ["a"], "late": ["a"], "unnumbered": ["a"], "only": ["b"], "none": []}
+    two = {r["filename"]: r["items"] for r in first_good_attempt(df, max_attempts=2).collect()}
+    assert two["late"] is None and two["only"] and two["unnumbered"]
+
+
+def test_only_wanted_columns_are_shuffled(spark):
+    df = spark.createDataFrame([("a", 0, ARRAY)], "filename string, attempt int, response string")
+    shuffled = lambda out: out.schema["items"].dataType.elementType.names
+    assert "raw" not in shuffled(first_good_attempt(df, columns=("item_name", "quantity")))
+    assert "raw" in shuffled(first_good_attempt(df))
 
 
 def test_hot_filename_is_reduced_before_the_shuffle(spark):

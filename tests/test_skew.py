@@ -53,7 +53,8 @@ def test_answers_joined_to_a_hot_receipt(spark):
 def test_fetch_log_with_a_hot_id(spark, small_partitions):
     # Shuffle sizes are measured compressed, so the rows need something to weigh.
     error = F.sha2(F.col("id").cast("string"), 256)
-    log = hot(spark, "fiscal_id").select("fiscal_id", F.lit(404).alias("status_code"), error.alias("error"))
+    none = F.lit(None)
+    log = hot(spark, "fiscal_id").select("fiscal_id", none.cast("int").alias("status_code"), none.cast("string").alias("error"), error.alias("note"))
     out = fetch_outcomes(log, hot(spark, "filename", ".jpeg").filter("id % 2 = 0"))
     n, plan = ran(out)
     assert n == N and "skew=true" in plan

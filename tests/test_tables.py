@@ -21,8 +21,8 @@ from fiscalframe.operators.quality import (
 from fiscalframe.operators.worklist import fetch_outcomes, fetch_summary, fetch_worklist
 from fiscalframe.plans.receipts import parse_receipts
 from fiscalframe.schema import COLUMNS, conform
-from fiscalframe.sources.inputs import list_images, read_fiscal_ids, read_ocr_text, spread_small
-from fiscalframe.sources.outputs import read_csv, scratch_path, write_by_sale_date, write_csv
+from fiscalframe.sources.inputs import list_images, read_fiscal_ids, read_ocr_text
+from fiscalframe.sources.outputs import is_one_machine, read_csv, scratch_path, write_by_sale_date, write_csv
 from fiscalframe.streaming.incremental import parse_new_receipts, stream_ocr_files
 
 SLIP = "Tarix: {d} Vaxt: 10:00:00\nMəhsulun adı Say Qiymət Cəmi\n{n} 1.000 2.10 2.10\nCəmi 2.10\n"
@@ -89,16 +89,38 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_spread_small(spark, tmp_path):
-    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "t"))
-    small = spark.read.parquet(str(tmp_path / "t"))
-    assert spread_small(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
-        assert spread_small(small) is small
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+class _Session:
+    """As much of a session as a path needs."""
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class sparkContext:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+
+def test_no_scratch_without_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(_Session(), "x")
+    assert is_one_machine("local[8]") and not is_one_machine("local-cluster[3,2,1024]")
+
+
+def test_inputs_are_spread_only_on_request(spark, tmp_path):
+    spark.range(10).selectExpr("string(id) filename", "string(id) text", "string(null) ocr_error").coalesce(1).write.parquet(str(tmp_path / "t"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(read_ocr_text(spark, str(tmp_path / "t")))
+    assert read_ocr_text(spark, str(tmp_path / "t"), partitions=4).rdd.getNumPartitions() == 4
+
+
+def test_images_of_an_inventory(spark):
+    paths = spark.createDataFrame([("s3://b/x/a.jpeg", 1), ("s3://b/y/B.PNG", 2), ("s3://b/z.txt", 3)], "path string, bytes int")
+    assert sorted(tuple(r) for r in list_images(spark, paths).collect()) == [("s3://b/x/a.jpeg", "a.jpeg"), ("s3://b/y/B.PNG", "B.PNG")]
 
 
 def test_worklist(spark):
@@ -110,18 +132,24 @@ def test_worklist(spark):
 
 def test_outcomes(spark):
     log = [("a", 404, None), ("b", 200, None), ("b", 500, None), ("c", None, "timeout"), ("d", None, "connection"), ("e", None, "odd"), ("f", None, None)]
-    files = spark.createDataFrame([("a.jpeg",), ("a.jpeg",)], "filename string")
+    # What the log says wins over a file that is there by now.
+    log += [("a", 200, None), ("g", None, None), ("h", None, "timeout"), ("h", None, None)]
+    files = spark.createDataFrame([(f"{f}.jpeg",) for f in "aagh"], "filename string")
     out = fetch_outcomes(spark.createDataFrame(log, "fiscal_id string, status_code int, error string"), files)
     assert sorted((r["fiscal_id"], r["outcome"], r["success"]) for r in out.collect()) == [
-        ("a", "present", True),
+        ("a", "bad_status", False),
+        ("a", "downloaded", True),
         ("b", "bad_status", False),
         ("b", "downloaded", True),
         ("c", "timeout", False),
         ("d", "connection", False),
         ("e", "other_error", False),
         ("f", "other_error", False),
+        ("g", "present", True),
+        ("h", "present", True),
+        ("h", "timeout", False),
     ]
-    assert fetch_summary(out).first().asDict() == {"total": 7, "successful": 2, "failed": 5}
+    assert fetch_summary(out).first().asDict() == {"total": 11, "successful": 4, "failed": 7}
 
 
 ITEMS = [
@@ -151,10 +179,17 @@ def test_run_summary(spark, items):
         "rows_with_item": 3,
         "rows_with_date": 0,
         "rows_per_receipt": 1.2,
+        "success_rate": 1.0,
         "cost": 0.12,
     }
 
 
+def test_success_rate(spark, items):
+    files = spark.createDataFrame([("a",)], "filename string")
+    judged = items.withColumn("error", F.when(F.col("item_name").isNull(), F.lit("none")))
+    assert run_summary(judged, files).first()["success_rate"] == 0.5
+
+
 def test_run_summary_of_nothing(spark, items):
     row = run_summary(items.limit(0), spark.createDataFrame([], "filename string")).first()
     assert (row["unique_receipts"], row["rows_per_receipt"], row["cost"]) == (0, None, 0.0)
@@ -181,7 +216,9 @@ def test_compare(items):
     other = items.filter("item_name is not null")
     rows = {r["metric"]: r for r in compare_extractors({"a": items, "b": other}, ["item_name"]).collect()}
     assert (rows["item_name"]["a"], rows["item_name"]["b"], rows["item_name"]["difference"]) == (0.6, 1.0, 0.4)
-    assert set(rows) == {"item_name", "math_accuracy", "suspicious_rate"}
+    assert (rows["payment_failure_rate"]["a"], rows["payment_failure_rate"]["b"]) == (0.75, 0.5)
+    assert (rows["items_per_receipt"]["a"], rows["items_per_receipt"]["b"]) == (0.75, 1.5)
+    assert set(rows) == {"item_name", "math_accuracy", "suspicious_rate", "payment_failure_rate", "items_per_receipt"}
 
 
 def test_incremental_runs_see_each_file_once(spark, tmp_path):
