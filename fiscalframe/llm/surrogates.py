@@ -64,8 +64,10 @@ _SECRETS = regex.compile(
 )
 _NAMES = regex.compile(rf"(?<![\p{{L}}\d])(?P<title>{_TITLES})\.?[ ]{{1,2}}(?P<name>{_NAME_PART}(?:[ ]{_NAME_PART}){{0,2}})")
 _TITLE = regex.compile(rf"(?:{_TITLES})\.?[ ]")
-#: What a text with an entity holds at least.
-HINT = rf"[0-9@]|{_TITLES}|[a-fA-F]{{32}}|(?i:token|secret|password|passwd|key)\s{{0,3}}[=:]"
+_FIRST = "".join(sorted({t[0] for t in (*MALE, *FEMALE, *NEUTRAL)}))
+#: What a text with an entity holds at least. All but secrets and names hold a
+#: digit or an @; the titles are tried only where their first letter stands.
+HINT = rf"[0-9@]|[a-fA-F]{{32}}|[=:]\s{{0,3}}[\"']|(?=[{_FIRST}])(?:{_TITLES})\.?[ ]"
 
 # Syllables of given names and surnames by script, and how they end by gender.
 SYLLABLES = {
