@@ -1,7 +1,7 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
 Text and items are compared in lower case with white space runs as one blank.
-An item of m characters allows e = 6 % of m edits. A region of a text that is
+An item of m characters allows e = 8 % of m edits. A region of a text that is
 within e edits shares at least (grams looked up) - q * e of the item's q-grams
 with it, all on diagonals at most e apart. So the shared q-grams are counted
 in bands of diagonals that overlap by half, bands that reach the bound are
@@ -11,8 +11,8 @@ The lemma holds for any subset of an item's grams. The most frequent ones are
 left out, as far as the bound allows, so common phrases cost little.
 
 The benchmark is taken in blocks of bounded size; each is broadcast and read
-against all texts in whole. Items of more than 512 characters are looked for
-piece by piece.
+against all texts in whole. Items of more than 384 characters are looked for
+piece by piece, and pieces found next to each other are one region.
 
 Defined results: null texts and items match nothing, nor do items of fewer
 than q characters. Several items may claim one region. Repeated rows of
@@ -31,15 +31,19 @@ from pyspark.sql import functions as F
 
 from fiscalframe.llm.shared import packed, unpacked
 
-Q = 10
-EDIT_RATE = 0.06
-PIECE = 512
-#: Half the width of a band; more than the edits that a piece allows.
+Q = 8
+EDIT_RATE = 0.08
+PIECE = 384
+#: Characters of a block; more than the edits that a piece allows.
 STEP = 32
+#: Diagonals of a band, which is three cells of blocks.
+BAND = 4 * STEP - 1
 #: Characters of the benchmark in one block, about.
 BLOCK_CHARS = 2 << 20
 #: Characters of texts that are worked on at a time; a longer text is a batch of its own.
 SLAB = 1 << 20
+#: Shared grams that are counted at a time.
+ENTRIES = 1 << 22
 
 _REGION = "array<struct<item_id:long,start:long,end:long,edits:int>>"
 _SPACES = np.array([9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
@@ -85,7 +89,7 @@ def gram_hashes(chars: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Index:
-    """Pieces of benchmark items and their q-grams in the order of the hash."""
+    """Pieces of benchmark items; the blocks of them in which each q-gram stands, in the order of its hash."""
 
     item: list
     pieces: list[np.ndarray]
@@ -122,40 +126,64 @@ def build_index(items: list[tuple[int | None, str]], edit_rate: float = EDIT_RAT
     rank = np.arange(len(order)) - np.repeat(np.cumsum(size) - size, size)
     wanted = Q * edits + np.maximum((size - Q * edits + 1) // 2, 1)
     chosen = order[rank < wanted[of[order]]]
-    chosen = chosen[np.argsort(every[chosen], kind="stable")]
-    grams, begin = np.unique(every[chosen], return_index=True)
+    # A gram that repeats within a block of its piece is listed once.
+    listed = np.unique(np.stack([back[chosen], of[chosen], at[chosen] // STEP]), axis=1)
+    names = np.unique(every)
+    grams, begin = np.unique(names[listed[0]], return_index=True)
     bits = max(20, int(16 * len(grams)).bit_length())
     seen = np.zeros(1 << bits, bool)
     seen[grams >> np.uint64(64 - bits)] = True
-    return Index(item, pieces, edits, wanted - Q * edits, grams, np.append(begin, len(chosen)), of[chosen], at[chosen], seen, bits)
+    return Index(item, pieces, edits, wanted - Q * edits, grams, np.append(begin, listed.shape[1]), listed[1], listed[2], seen, bits)
 
 
 def candidate_bands(index: Index, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces and first diagonals of the bands that share enough grams, each band 2 * STEP wide."""
+    """Pieces and first diagonals of the bands that share enough grams, each band BAND wide.
+
+    Text and pieces are cut into blocks of STEP characters; block differences
+    are the cells that grams are counted in. Diagonals at most STEP apart lie
+    within three cells in a row. A gram counts once for each of its places in
+    the text and each block of the piece, so repeats within a block are cheap.
+    """
     hashed = gram_hashes(chars)
     where = np.nonzero(index.seen[hashed >> np.uint64(64 - index.bits)])[0]
     place = np.searchsorted(index.grams, hashed[where])
     place[place == len(index.grams)] = 0
     real = index.grams[place] == hashed[where]
-    where, place = where[real], place[real]
+    blocks = len(chars) // STEP + 1
+    met, times = np.unique(place[real] * blocks + where[real] // STEP, return_counts=True)
+    place, block = met // blocks, met % blocks
     n = index.begin[place + 1] - index.begin[place]
-    entry = np.repeat(index.begin[place] - np.cumsum(n) + n, n) + np.arange(n.sum())
-    piece = index.of[entry]
-    # Diagonals start at -PIECE, where a text begins inside an item.
-    cell = (np.repeat(where, n) - index.at[entry] + PIECE) // STEP
-    cells = (len(chars) + 2 * PIECE) // STEP + 2
-    key = piece * cells + cell
+    # Negative differences occur where a text begins inside an item.
+    before = PIECE // STEP + 1
+    cells = blocks + 2 * before
+
+    def entries() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Key of piece and cell, weight and piece, so many at a time as fit."""
+        cuts = np.searchsorted(np.cumsum(n), np.arange(ENTRIES, n.sum() + ENTRIES, ENTRIES), side="right")
+        for i, j in zip([0, *cuts], [*cuts, len(n)], strict=True):
+            m = n[i:j]
+            entry = np.repeat(index.begin[place[i:j]] - np.cumsum(m) + m, m) + np.arange(m.sum())
+            piece = index.of[entry]
+            yield piece * cells + np.repeat(block[i:j], m) - index.at[entry] + before, np.repeat(times[i:j], m), piece
+
     # A rough count first: cells that share a slot only make it larger.
-    slot = lambda k: (k.astype(np.uint64) * np.uint64(_FACTOR)) >> np.uint64(44)
-    rough = np.bincount(slot(key).astype(np.int64), minlength=1 << 20)
-    near = rough[slot(key)] + np.maximum(rough[slot(key + 1)], rough[slot(key - 1)])
-    key = key[near >= index.least[piece]]
-    found, count = np.unique(key, return_counts=True)
-    # A band is a cell and the next; one that begins in an empty cell is covered by the band of the next.
+    slot = lambda k: ((k.astype(np.uint64) * np.uint64(_FACTOR)) >> np.uint64(44)).astype(np.int64)
+    rough = np.zeros(1 << 20)
+    for key, weight, _ in entries():
+        rough += np.bincount(slot(key), weight, minlength=1 << 20)
+    found, count = np.empty(0, np.int64), np.empty(0)
+    for key, weight, piece in entries():
+        near = sum(rough[slot(key + k)] for k in range(-2, 3)) >= index.least[piece]
+        found, back = np.unique(np.concatenate([found, key[near]]), return_inverse=True)
+        count = np.bincount(back, np.concatenate([count, weight[near]]), minlength=len(found))
+    # A band begins in a cell with a count; one that begins in an empty cell holds no more.
     both = count.copy()
-    both[:-1] += np.where(found[1:] == found[:-1] + 1, count[1:], 0)
-    good = both >= index.least[found // cells] if len(found) else np.empty(0, bool)
-    return found[good] // cells, found[good] % cells * STEP - PIECE
+    for k in (1, 2):
+        ahead = np.searchsorted(found, found + k)
+        ahead[ahead == len(found)] = 0
+        both += np.where(found[ahead] == found + k, count[ahead], 0) if len(found) else 0
+    good = both >= index.least[found // cells]
+    return found[good] // cells, (found[good] % cells - before) * STEP - STEP + 1
 
 
 def align(patterns: list[np.ndarray], texts: list[np.ndarray], edits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +238,7 @@ def find_regions(index: Index, texts: list[str | None]) -> list[list[dict]]:
         if part and (size >= SLAB or i == len(texts) - 1):
             _search(index, texts, part, out)
             part, size = [], 0
-    return out
+    return [[{k: r[k] for k in ("item_id", "start", "end", "edits")} for r in found] for found in out]
 
 
 def _search(index: Index, texts: list[str | None], part: list[int], out: list[list[dict]]) -> None:
@@ -224,7 +252,7 @@ def _search(index: Index, texts: list[str | None], part: list[int], out: list[li
     todo = []
     for piece, diagonal in zip(*candidate_bands(index, chars), strict=True):
         pattern, slack = index.pieces[piece], index.edits[piece]
-        first, last = diagonal - slack, diagonal + 2 * STEP + slack + len(pattern)
+        first, last = diagonal - slack, diagonal + BAND + slack + len(pattern)
         for k in range(max(0, np.searchsorted(begins, first, side="right") - 1), len(part)):
             if begins[k] >= last:
                 break
@@ -257,10 +285,19 @@ def _search(index: Index, texts: list[str | None], part: list[int], out: list[li
 
 
 def _add(index: Index, found: list[dict], at: np.ndarray, piece: int, start: int, length: int, edits: int) -> None:
-    region = {"item_id": index.item[piece], "start": int(at[start]), "end": int(at[start + length - 1]) + 1, "edits": int(edits)}
+    region = {"item_id": index.item[piece], "start": int(at[start]), "end": int(at[start + length - 1]) + 1, "edits": int(edits), "first": piece, "last": piece}
     # Overlapping bands find a place twice.
-    if not any(r["item_id"] == region["item_id"] and r["start"] < region["end"] and region["start"] < r["end"] for r in found):
-        found.append(region)
+    if any(r["item_id"] == region["item_id"] and r["start"] < region["end"] and region["start"] < r["end"] for r in found):
+        return
+    for r in found:
+        # Pieces of one item have numbers in a row.
+        behind = piece == r["last"] + 1 and 0 <= region["start"] - r["end"] <= STEP
+        before = piece == r["first"] - 1 and 0 <= r["start"] - region["end"] <= STEP
+        if region["item_id"] == r["item_id"] and (behind or before):
+            ends = {"start": min(r["start"], region["start"]), "end": max(r["end"], region["end"])}
+            r.update(ends, edits=r["edits"] + region["edits"], first=min(r["first"], piece), last=max(r["last"], piece))
+            return
+    found.append(region)
 
 
 def benchmark_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[Index]:
