@@ -45,7 +45,7 @@ def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archived(table(spark, sf_dir, "pages")).drop("payload")
+    return warc.archived(table(spark, sf_dir, "pages")).drop("payload", "url")
 
 
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,11 +136,11 @@ ruled AS (
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled""",
     "op7_warc": """
-WITH p AS (SELECT page_id, url, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
 bits AS (
   SELECT *, list_aggregate([lpad(bin(CAST('0x' || substr(hex, i, 1) AS INTEGER)), 4, '0') FOR i IN range(1, 41)], 'string_agg', '') AS b,
          max(page_id) OVER (PARTITION BY hex) AS latest FROM p)
-SELECT page_id, url, payload_bytes,
+SELECT page_id, payload_bytes,
        list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          CAST(16 * substr(b, 5 * i + 1, 1)::INT + 8 * substr(b, 5 * i + 2, 1)::INT + 4 * substr(b, 5 * i + 3, 1)::INT
               + 2 * substr(b, 5 * i + 4, 1)::INT + substr(b, 5 * i + 5, 1)::INT + 1 AS INTEGER), 1) FOR i IN range(0, 32)], 'string_agg', '') AS payload_digest,
@@ -148,4 +148,19 @@ SELECT page_id, url, payload_bytes,
        CASE WHEN page_id IS DISTINCT FROM latest THEN latest END AS refers_to,
        CAST(NULL AS VARCHAR) AS error
 FROM bits""",
+    "op9_near_duplicates": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)""",
 }

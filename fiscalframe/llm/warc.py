@@ -10,7 +10,8 @@ dictionary frames that are compressed themselves, several skippable frames,
 frames without content size.
 
 Defined results: a null payload is empty. A null url gives a record without
-target. Rows that repeat id and payload are records of one type. A record
+target; control characters, blanks and characters beyond ASCII are
+percent-encoded in it. Rows that repeat id and payload are records of one type. A record
 whose headers, lengths or digests are wrong comes back with ``error`` set, and
 so does the rest of a damaged archive.
 """
@@ -21,14 +22,14 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
-from urllib.parse import quote, unquote
+from urllib.parse import quote
 
 import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalframe.llm.shared import shared_path
+from fiscalframe.sources.outputs import scratch_path
 
 # Numbers and names of the two formats.
 SKIPPABLE = range(0x184D2A50, 0x184D2A60)
@@ -41,6 +42,9 @@ REQUIRED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length")
 #: An empty skippable frame; all its bytes are ASCII.
 SEPARATOR = "P*M\x18\x00\x00\x00\x00"
 
+#: Characters of a url that stay as they are.
+_URI = "".join(map(chr, range(33, 127)))
+
 ID_PREFIX = "urn:page:"
 DATE = "2000-01-01T00:00:00Z"
 RECORDS_PER_ARCHIVE = 4096
@@ -95,8 +99,8 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes | None, di
         ("WARC-Block-Digest", f"sha1:{base64.b32encode(hashlib.sha1(block).digest()).decode()}"),
     ]
     if url is not None:
-        # Control characters would end the header line.
-        head.append(("WARC-Target-URI", quote(url, safe="".join(map(chr, range(33, 127))).replace("%", ""))))
+        # A line end in it would end the header.
+        head.append(("WARC-Target-URI", quote(url, safe=_URI)))
     if refers_to is not None:
         head += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<{ID_PREFIX}{refers_to}>")]
     lines = b"".join(f"{k}: {v}\r\n".encode() for k, v in head)
@@ -215,10 +219,9 @@ def parse_record(record: bytes) -> dict:
             raise ValueError("the payload's length or digest does not hold")
     elif kind != "revisit" or payload or "warc-refers-to" not in fields:
         raise ValueError(f"{kind} is neither a response nor a complete revisit")
-    url = fields.get("warc-target-uri")
     return {
         "page_id": _page_id(fields["warc-record-id"]),
-        "url": None if url is None else unquote(url),
+        "url": fields.get("warc-target-uri"),
         "payload": payload if kind == "response" else None,
         "payload_bytes": int(told[0]),
         "payload_digest": digest.removeprefix("sha1:"),
@@ -280,6 +283,6 @@ def _tables(rows: Iterator[dict], names: list[str], size: int = 512) -> Iterator
 
 def archived(pages: DataFrame, id_col: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """Write all pages to new archives in the shared folder and read those back."""
-    path = shared_path(pages.sparkSession, "warc")
+    path = scratch_path(pages.sparkSession, "warc")
     write_archives(plan_records(pages, id_col, url, payload), path, train_dictionary(pages, payload))
     return read_archives(pages.sparkSession, path)
