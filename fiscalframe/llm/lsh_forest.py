@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fiscalframe.llm.components import components
-from fiscalframe.llm.shared import packed, stored, unpacked
+from fiscalframe.llm.shared import key_filter, packed, stored, unpacked
 from fiscalframe.llm.shingles import batches, shingle_sets, signatures
 
 TREES = 16
@@ -176,6 +176,8 @@ def _class_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFram
     # Null ids get a key too; the hash keeps them apart.
     key = F.coalesce(F.col("doc_id"), F.lit(0)).cast("long").alias("_key")
     texts = documents.select(key, F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text"))
+    # Only texts that may be wanted are shuffled.
+    texts = texts.filter(key_filter(wanted.select(F.col("rep.text_hash").alias("h")), "h")(F.col("text_hash")))
     named = wanted.select("class_id", F.coalesce("rep.doc_id", F.lit(0)).alias("_key"), F.col("rep.text_hash").alias("text_hash"))
     found = texts.join(named.hint("merge"), ["_key", "text_hash"]).select("class_id", "text")
     return found.mapInPandas(rows, "class_id long, shingles binary").dropDuplicates(["class_id"])
@@ -193,7 +195,7 @@ def _linked(documents: DataFrame, classes: DataFrame, pairs: DataFrame, words: i
     """The pairs that are confirmed on the sets of their texts."""
     pairs = stored(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
-    reps = classes.select("class_id", "rep").join(wanted, "class_id")
+    reps = stored(classes.select("class_id", "rep").join(wanted, "class_id"), "reps")
     sets = stored(_class_sets(documents, reps, words), "sets")
     return stored(confirmed(pairs, sets, percent), "links")
 
@@ -239,19 +241,28 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     return told.unionByName(bare)
 
 
+def _key(doc_id: Column, text_hash: Column) -> Column:
+    """One hash for a document, whether it has an id or not."""
+    return F.xxhash64(doc_id.isNull(), doc_id, text_hash)
+
+
 def drop_near_copies(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, the one with the smallest id, with all its columns.
 
     Documents without shingles stay.
     """
-    found = near_duplicates(documents, words, percent)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash")).alias("rep")
-    survivors = found.filter("root is not null").groupBy("root").agg(first).select("rep.doc_id", "rep.text_hash")
-    bare = found.filter("root is null").select("doc_id", "text_hash").distinct()
-    keys = survivors.unionByName(bare)
-    keys = keys.select(F.coalesce("doc_id", F.lit(0)).alias("_key"), F.col("text_hash").alias("_hash"), F.col("doc_id").isNull().alias("_none"))
-    row = documents.select(packed(documents).alias("_row"), F.coalesce(F.col("doc_id"), F.lit(0)).cast("long").alias("_key"), F.xxhash64("text").alias("_hash"))
-    joined = row.join(stored(keys, "survivors").hint("merge"), ["_key", "_hash"]).filter(F.col("_none") == F.col("_row")["doc_id"].isNull())
-    # A survivor's row may be repeated; documents without shingles are no copies of each other.
-    nth = F.row_number().over(Window.partitionBy("_key", "_hash").orderBy("_none"))
-    return unpacked(joined.withColumn("_nth", nth).filter("_nth = 1"))
+    keys = ["doc_id", "text_hash"]
+    found = stored(near_duplicates(documents, words, percent).filter("root is not null").groupBy("root", *keys).agg(F.count("*").alias("n")), "found")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), *keys)).alias("rep"))
+    judged = found.join(first.hint("merge"), "root")
+    stays = F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("text_hash") == F.col("rep.text_hash"))
+    # Rows to look at: those that go, and the ones that stay but are repeated.
+    touched = stored(judged.select(*keys, stays.alias("stays"), "n").filter("not stays or n > 1"), "touched")
+    touched = touched.select(_key(F.col("doc_id"), F.col("text_hash")).alias("_key"), "stays")
+    row = documents.select(packed(documents).alias("_row"), _key(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("_key"))
+    maybe = key_filter(touched, "_key")(F.col("_key"))
+    joined = row.filter(maybe).join(touched.hint("merge"), "_key", "left")
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy("stays"))
+    kept = joined.withColumn("_nth", nth).filter("stays is null or (stays and _nth = 1)")
+    # All other rows stay, and never leave their scan.
+    return unpacked(row.filter(~maybe).select("_row").unionByName(kept.select("_row")))

@@ -2,35 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fiscalframe.sources.outputs import scratch_path
+
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-WHITE_SPACE = " \t\n\x0b\x0c\r"
-
-
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names.
-
-    Only a session on one machine may leave that setting out; it then gets a
-    temporary folder. Elsewhere executors and driver would not see the same files.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: lineage ends there, on storage that outlives executors."""
-    path = shared_path(df.sparkSession, label)
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -54,6 +39,32 @@ def unpacked(df: DataFrame, row: str = "_row") -> DataFrame:
     return df.select(*[F.col(row)[c].alias(c) for c in fields])
 
 
+#: Bits of a key filter.
+FILTER_BITS = 1 << 22
+
+
+def key_filter(keys: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A test for 64-bit hashes: true for all of ``keys`` and for few others.
+
+    One bit per key in a table of fixed size, made in Spark, so that rows
+    that cannot match stay out of a shuffle. Where very many keys fill the
+    table it lets more pass, and only saves less: a join still has to decide.
+    """
+
+    def cell(h: Column) -> Column:
+        return F.shiftright(h, 6).bitwiseAND(F.lit(FILTER_BITS // 64 - 1))
+
+    def mark(h: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+
+    every = keys.sparkSession.range(FILTER_BITS // 64).select(F.col("id").alias("cell"), F.lit(0).cast("long").alias("bits"))
+    set_ = keys.groupBy(cell(F.col(key)).alias("cell")).agg(F.bit_or(mark(F.col(key))).alias("bits"))
+    cells = set_.union(every).groupBy("cell").agg(F.bit_or("bits").alias("bits"))
+    table = cells.agg(F.transform(F.array_sort(F.collect_list(F.struct("cell", "bits"))), lambda s: s["bits"]))
+    bits = table.scalar()
+    return lambda h: F.get(bits, cell(h).cast("int")).bitwiseAND(mark(h)) != 0
+
+
 def with_position(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Number all rows from 0 by a total order, without bringing them into one task.
 
