@@ -12,7 +12,12 @@ A large region is mostly one text in many versions, and then its most copied
 class, the hub, is near to most others. All members of a large region are
 compared with its hub first, at whatever size the region has; other candidates
 are then needed only between classes that the hubs have not joined already.
-So the work grows with the number of classes, not with the square of a group.
+
+Regions of at most ``REGION`` classes are compared whole, each in one task. In
+larger ones the splits only find most links early: classes of a large region
+that still has several components then go through an exact join on their
+rarest shingles, between different components. So no link depends on the size
+of a region, on a batch or on a partition.
 
 Each candidate is confirmed on the two full sets of 52-bit shingle hashes,
 which are taken from the texts of the classes concerned. Links are joined into
@@ -184,20 +189,62 @@ def _class_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFram
 
 
 def _forest(classes: DataFrame, *columns: str) -> DataFrame:
-    """A row per class and tree: ``class_id``, the columns asked for, and ``path``, which sorts by tree and then value by value."""
+    """A row per class and tree: ``class_id``, the columns asked for, ``tree`` and ``path``, which sorts by tree and then value by value."""
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     branch = F.substr(F.col("signature"), F.col("tree") * _PATH_BYTES + 1, F.lit(_PATH_BYTES))
     path = F.concat(F.unhex(F.lpad(F.hex("tree"), 2, "0")), branch)
-    return classes.select("class_id", *columns, "signature", tree).select("class_id", *columns, path.alias("path"))
+    return classes.select("class_id", *columns, "signature", tree).select("class_id", *columns, "tree", path.alias("path"))
+
+
+def _stored_sets(documents: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    reps = stored(classes.select("class_id", "rep").join(wanted, "class_id"), "reps")
+    return stored(_class_sets(documents, reps, words), "sets")
 
 
 def _linked(documents: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs that are confirmed on the sets of their texts."""
     pairs = stored(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
-    reps = stored(classes.select("class_id", "rep").join(wanted, "class_id"), "reps")
-    sets = stored(_class_sets(documents, reps, words), "sets")
-    return stored(confirmed(pairs, sets, percent), "links")
+    return stored(confirmed(pairs, _stored_sets(documents, classes, wanted, words), percent), "links")
+
+
+def _tokens(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in parts:
+        for class_id, root, packed_set in zip(b["class_id"], b["root"], b["shingles"], strict=True):
+            shingles = np.frombuffer(packed_set, np.int64)
+            yield pd.DataFrame({"class_id": class_id, "root": root, "size": len(shingles), "shingle": shingles})
+
+
+def exact_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different ``root`` among ``(class_id, root, shingles)``: all that can be similar enough, and others.
+
+    Two similar sets share one of the rarest shingles of each; any order of the
+    shingles gives all pairs, and the rarest first give the fewest.
+    """
+    tokens = stored(sets.select("class_id", "root", "shingles").mapInPandas(_tokens, "class_id long, root long, size long, shingle long"), "tokens")
+    # A shingle of one set only needs no row: it just stands before the others.
+    often = tokens.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
+    own = Window.partitionBy("class_id")
+    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "shingle"))
+    ranked = tokens.join(often.hint("merge"), "shingle").withColumn("place", place)
+    rare = stored(ranked.filter(F.col("place") <= F.col("size") - F.ceil(percent * F.col("size") / 100) + 1).drop("n"), "rare")
+    # Per shingle, all but its most frequent root meet all, so joined classes do not meet each other.
+    main = rare.groupBy("shingle", "root").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
+    left = rare.join(main.hint("merge"), "shingle").filter("root != main")
+    left = left.select("shingle", F.col("class_id").alias("x"), F.col("root").alias("x_root"), F.col("size").alias("x_size"), F.col("place").alias("x_place"))
+    met = left.join(rare, "shingle").filter("root != x_root")
+    fair = 100 * F.least("size", "x_size") >= percent * F.greatest("size", "x_size")
+    # The shared shingles from this one on; the first one that two sets share lets a similar pair pass.
+    rest = 1 + F.least(F.col("size") - F.col("place"), F.col("x_size") - F.col("x_place"))
+    met = met.filter(fair & ((100 + percent) * rest >= percent * (F.col("size") + F.col("x_size"))))
+    return met.select(F.least("x", "class_id").alias("a"), F.greatest("x", "class_id").alias("b")).distinct()
+
+
+def _crowd(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(class_id, root)`` of the members of large regions that still hold several components."""
+    rooted = members.select("class_id", "prefix").join(roots.hint("merge"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
+    several = rooted.groupBy("prefix").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
+    return rooted.join(several.hint("merge"), "prefix").select("class_id", "root").distinct()
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -214,7 +261,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     classes = stored(classes, "classes")
 
     prefix = F.xxhash64(F.substring("path", 1, 1 + 4 * LEAST))
-    placed = _forest(classes, "copies").select("class_id", "copies", prefix.alias("prefix"))
+    placed = _forest(classes, "copies").select("class_id", "copies", "tree", prefix.alias("prefix"))
     large = placed.groupBy("prefix").agg(F.count("*").alias("n")).filter(F.col("n") > REGION).select("prefix")
     members = stored(placed.join(large.hint("merge"), "prefix"), "members")
     hub = members.groupBy("prefix").agg(F.max(F.struct("copies", "class_id"))["class_id"].alias("hub"))
@@ -225,10 +272,22 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     # Classes that the hubs have joined need no comparison with each other.
     joined = components(hubs).select(F.col("id").alias("class_id"), "root")
     known = classes.join(joined.hint("merge"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
-    ordered = _forest(known, "sketch", "root").repartitionByRange("path", "class_id").sortWithinPartitions("path", "class_id")
-    near = ordered.mapInPandas(_neighbours, "a long, b long").distinct()
-    links = _linked(documents, classes, near, words, percent)
-    final = components(hubs.unionByName(links))
+    in_large = members.groupBy("class_id").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("tree"))).alias("large"))
+    known = known.join(in_large.hint("merge"), "class_id", "left").withColumn("large", F.coalesce("large", F.lit(0)))
+    forest = _forest(known, "sketch", "root", "large").withColumn("large", F.call_function("shiftright", F.col("large"), F.col("tree")).bitwiseAND(F.lit(1)) == 1)
+    forest = forest.select("class_id", "sketch", "root", "path", "large")
+    # A small region is never cut: all of it is in one task. Large ones may be cut anywhere.
+    small = forest.filter("not large").repartition(F.substring("path", 1, 1 + 4 * LEAST)).sortWithinPartitions("path", "class_id")
+    cut = forest.filter("large").repartitionByRange("path", "class_id").sortWithinPartitions("path", "class_id")
+    near = small.mapInPandas(_neighbours, "a long, b long").union(cut.mapInPandas(_neighbours, "a long, b long")).distinct()
+    links = hubs.unionByName(_linked(documents, classes, near, words, percent))
+    final = components(links)
+
+    crowd = stored(_crowd(members, final.select(F.col("id").alias("class_id"), "root")), "crowd")
+    if crowd.limit(1).count():
+        sets = _stored_sets(documents, classes, crowd.select("class_id"), words)
+        pairs = stored(exact_pairs(sets.join(crowd, "class_id"), percent), "pairs")
+        final = components(links.unionByName(stored(confirmed(pairs, sets, percent), "links")))
 
     rooted = classes.select("class_id", "rep.doc_id").join(final.withColumnRenamed("id", "class_id"), "class_id", "left")
     rooted = stored(rooted.select("class_id", "doc_id", F.coalesce("root", "class_id").alias("root")), "rooted")
