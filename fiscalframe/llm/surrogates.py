@@ -67,7 +67,9 @@ _TITLE = regex.compile(rf"(?:{_TITLES})\.?[ ]")
 _FIRST = "".join(sorted({t[0] for t in (*MALE, *FEMALE, *NEUTRAL)}))
 #: What a text with an entity holds at least. All but secrets and names hold a
 #: digit or an @; the titles are tried only where their first letter stands.
-HINT = rf"[0-9@]|[a-fA-F]{{32}}|[=:]\s{{0,3}}[\"']|(?=[{_FIRST}])(?:{_TITLES})\.?[ ]"
+#: Digits and white space are those of any script; Java may not know the newest
+#: ones yet, to it they are unassigned (Cn).
+HINT = rf"[\p{{Nd}}\p{{Cn}}@]|[a-fA-F]{{32}}|[=:][\s\p{{Z}}\p{{Cn}}\x1C-\x1F\x85]{{0,3}}[\"']|(?=[{_FIRST}])(?:{_TITLES})\.?[ ]"
 
 # Syllables of given names and surnames by script, and how they end by gender.
 SYLLABLES = {

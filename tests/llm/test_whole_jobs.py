@@ -1,8 +1,39 @@
 """Cases in which an operator once did less than its whole job."""
 
 import random
+import sys
+
+import regex
+from pyspark.sql import functions as F
+
+from fiscalframe.llm import lsh_forest, surrogates
+
+# --- 2 -----------------------------------------------------------------------
+
+WRITTEN = (
+    "٠٥٥-١٢٣-٤٥٦٧", "۰۵۵-۱۲۳-۴۵۶۷", "०५५-१२३-४५६७", "४५३९ १४८८ ०३४३ ६४६७", "١٠.٠.٠.١", "०७८-०५-११२०", "+٩٦٦ ٥٥ ١٢٣ ٤٥٦٧",
+    "token\u2003=\u00a0'abcdefgh'", "key:\x85\u2028\u3000\"abcdefgh\"", "почта ваня@пример.рф", "г-жа Анна", "κα Μαρία", "abcdef" * 6, "Password = 'geheimnis'",
+)
+
+
+def test_the_filter_passes_all_that_is_detected(spark):
+    every = "".join(map(chr, range(sys.maxunicode + 1)))
+    zeros = regex.findall(r"\d", every)[::10]
+    phones = ["{0}{0}{0}-{0}{0}{0}-{0}{0}{0}{0}".format(z) for z in zeros]
+    secrets = [f"secret={c}'abcdefgh'" for c in regex.findall(r"\s", every)]
+    texts = [*WRITTEN, *phones, *secrets]
+    assert all(surrogates.detect(t) for t in texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [texts[r.doc_id] for r in df.filter(~F.col("text").rlike(surrogates.HINT)).collect()] == []
+
+
+def test_numbers_in_native_digits_are_replaced_alike(spark):
+    number = WRITTEN[0]
+    df = spark.createDataFrame([(1, f"اتصل {number}"), (2, f"اتصل {number} 7")], "doc_id long, text string")
+    one, two = sorted(surrogates.pseudonymized(df).collect())
+    assert one.n_entities == two.n_entities == 1 and number not in one.text + two.text
+    assert f"{one.text} 7" == two.text
 
-from fiscalframe.llm import lsh_forest
 
 # --- 9 -----------------------------------------------------------------------
 
