@@ -46,8 +46,9 @@ NEUTRAL = ("Dr", "Prof")
 
 _TITLES = "|".join(sorted((*MALE, *FEMALE, *NEUTRAL), key=len, reverse=True))
 _NAME_PART = r"\p{Lu}[\p{L}\p{M}]*(?:['’-]\p{L}[\p{L}\p{M}]*)*"
-_DOMAIN = regex.compile(r"[\p{L}\d-]{1,63}(?:\.[\p{L}\d-]{1,63})+")
-_LOCAL = regex.compile(r"[\p{L}\p{M}\d.+%_-]{1,64}\Z")
+# No upper limits: runs are possessive, or read back from the @.
+_DOMAIN = regex.compile(r"[\p{L}\d-]++(?:\.[\p{L}\d-]++)+")
+_LOCAL = regex.compile(r"[\p{L}\p{M}\d.+%_-]++", regex.REVERSE)
 _NUMBERS = regex.compile(
     r"""
     (?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d))
@@ -60,7 +61,7 @@ _NUMBERS = regex.compile(
     regex.X,
 )
 _SECRETS = regex.compile(
-    r"""(?i:token|secret|password|passwd|api[_-]?key|key)\s{0,3}[=:]\s{0,3}["'](?P<a>[^"'\s]{8,512})["']|(?<![\p{L}\d])(?P<b>[0-9a-fA-F]{32,128})(?![\p{L}\d])"""
+    r"""(?i:token|secret|password|passwd|api[_-]?key|key)\s{0,3}[=:]\s{0,3}["'](?P<a>[^"'\s]{8,}+)["']|(?<![\p{L}\d])(?P<b>[0-9a-fA-F]{32,}+)(?![\p{L}\d])"""
 )
 _NAMES = regex.compile(rf"(?<![\p{{L}}\d])(?P<title>{_TITLES})\.?[ ]{{1,2}}(?P<name>{_NAME_PART}(?:[ ]{_NAME_PART}){{0,2}})")
 _TITLE = regex.compile(rf"(?:{_TITLES})\.?[ ]")
@@ -99,7 +100,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     found = []
     at = text.find("@")
     while at >= 0:
-        local = _LOCAL.search(text, max(0, at - 64), at)
+        local = _LOCAL.match(text, 0, at)
         domain = _DOMAIN.match(text, at + 1)
         if local and domain:
             start = local.start() + len(local[0]) - len(local[0].lstrip(".-"))

@@ -2,6 +2,7 @@
 
 import random
 import sys
+import time
 
 import regex
 from pyspark.sql import functions as F
@@ -35,6 +36,24 @@ def test_numbers_in_native_digits_are_replaced_alike(spark):
     assert f"{one.text} 7" == two.text
 
 
+def test_long_entities_are_found_whole():
+    for n in (8, 512, 513, 5000, 1_000_000):
+        value = "aB3-" * (n // 4) + "x" * (n % 4)
+        assert surrogates.detect(f'token = "{value}" end') == [(9, 9 + n, "secret", value.lower())]
+    for n in (32, 128, 129, 4096, 1_000_000):
+        assert surrogates.detect(f"id {'c' * n} end") == [(3, 3 + n, "secret", "c" * n)]
+    for n in (1, 64, 65, 3000):
+        local, label = "l" * n, "d" * n
+        assert surrogates.detect(f"to {local}@{label}.example.org end") == [(3, 3 + 2 * n + 13, "email", f"{local}@{label}.example.org")]
+
+
+def test_long_runs_take_linear_time():
+    for text in ("x" * 1_000_000 + "@", "key='" * 200_000, "key='" + "y" * 1_000_000, "c" * 1_000_000 + "g", "a@" + "d." * 500_000):
+        started = time.process_time()
+        surrogates.detect(text)
+        assert time.process_time() - started < 20
+
+
 # --- 9 -----------------------------------------------------------------------
 
 
