@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalframe.llm import decontaminate, language_id, line_dedup, lsh_forest, mixing, pivot_topk, sharding, surrogates, url_filter, warc
+from fiscalframe.llm import (
+    alignment,
+    decontaminate,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    lsh_forest,
+    mixing,
+    phrases,
+    pivot_topk,
+    sharding,
+    surrogates,
+    url_filter,
+    warc,
+)
 from fiscalframe.llm.shared import table
 
 #: The rules of the url query: host/path and verdict.
@@ -67,6 +81,21 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The half with the lower ids is the history, the other half and rows without id are looked up in it."""
+    documents = table(spark, sf_dir, "documents")
+    middle = documents.agg((F.floor(F.min("doc_id") / 2) + F.floor(F.max("doc_id") / 2)).cast("long")).scalar()
+    return exact_dedup.grouped(documents, F.col("doc_id") <= middle)
+
+
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_figures(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_topk_pivots": topk_pivots,
     "op2_surrogates": personal_data,
@@ -78,6 +107,9 @@ QUERIES = {
     "op8_languages": languages,
     "op9_near_duplicates": near_duplicates,
     "op10_shards": shards,
+    "op11_collocations": collocations,
+    "op12_exact_dedup": exact_copies,
+    "op13_token_alignment": token_alignment,
 }
 
 ORACLES = {
@@ -163,4 +195,35 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b F
 least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)""",
+    "op11_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, m, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, len(w) - m + 2)]) AS phrase
+  FROM words, (VALUES (1), (2), (3), (4)) AS lengths(m)),
+counted AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE m = 1 GROUP BY 1),
+often AS (SELECT * FROM counted WHERE f >= 30),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM often WHERE m >= 2),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, first.f AS l, rest.f AS r, (2000000 * CAST(c.f AS HUGEINT)) // (first.f + rest.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+  JOIN often first ON first.lang = c.lang AND first.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN often rest ON rest.lang = c.lang AND rest.phrase = array_to_string(c.w[k + 1:], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+covers AS (
+  SELECT lang, inside, max(f) AS longer
+  FROM (SELECT lang, f, unnest([array_to_string(w[1:m - 1], ' '), array_to_string(w[2:], ' ')]) AS inside FROM candidates WHERE m >= 3) GROUP BY 1, 2),
+surviving AS (
+  SELECT lowest.* FROM lowest LEFT JOIN covers ON covers.lang = lowest.lang AND inside = phrase
+  WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM surviving JOIN total USING (lang) QUALIFY rank <= 2000""",
+    "op12_exact_dedup": r"""
+WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents),
+g AS (SELECT h, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY 1)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM t JOIN g USING (h)""",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +40,16 @@ def unpacked(df: DataFrame, row: str = "_row") -> DataFrame:
     return df.select(*[F.col(row)[c].alias(c) for c in fields])
 
 
+def packed_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32: first all lower halves, then all upper ones, which are mostly zero and pack well."""
+    return (numbers & 0xFFFF).astype("<u2").tobytes() + (numbers >> 16).astype("<u2").tobytes()
+
+
+def unpacked_numbers(data: bytes) -> np.ndarray:
+    low, high = np.frombuffer(data, "<u2").reshape(2, -1).astype(np.int64)
+    return low | high << 16
+
+
 #: Bits of a key filter.
 FILTER_BITS = 1 << 22
 
