@@ -5,8 +5,8 @@ space and the text, and by a piece model (B), which puts the space there
 itself. Both cut at a single space between two visible characters whatever
 stands around it: the pattern of A cannot match over one, and no piece of B
 holds a space behind another character, which is checked when the model is
-loaded. So a batch is split there, each distinct unit is encoded once, and a
-very long text takes no more memory in an encoder than a short one.
+loaded. So texts are split there, a distinct unit is encoded once, and a very
+long text takes no more memory in an encoder than a short one.
 
 Tokens become byte ranges. ``pandas.merge_asof``, keyed by document, finds for
 the start of each token the token of the other side that covers it. Two tokens
@@ -52,14 +52,16 @@ BATCH = 1 << 20
 BLOCK = 1 << 23
 
 _UNIT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+_VISIBLE = re.compile(r"[!-~\w](.*[!-~\w])?", re.DOTALL)
 _ENCODED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, block long, links binary, pairs array<long>, counts array<long>"
 
 
 class Tokenizer(NamedTuple):
-    """``encode`` turns units, each standing behind a space, into ids; ``pieces`` has the bytes of every id."""
+    """``encode`` turns texts, each standing behind a space, into ids; ``pieces`` has the bytes of every id."""
 
     encode: Callable[[list[str]], list[list[int]]]
     pieces: list[bytes]
+    sizes: np.ndarray
 
 
 class Aligned(NamedTuple):
@@ -85,6 +87,10 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _tokenizer(encode: Callable[[list[str]], list[list[int]]], pieces: list[bytes]) -> Tokenizer:
+    return Tokenizer(encode, pieces, np.fromiter(map(len, pieces), np.int64, len(pieces)))
+
+
 @lru_cache(maxsize=4)
 def byte_bpe(model: bytes) -> Tokenizer:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already take all cores
@@ -96,7 +102,7 @@ def byte_bpe(model: bytes) -> Tokenizer:
     letters = _byte_letters()
     names = [bpe.id_to_token(i) or "" for i in range(bpe.get_vocab_size(with_added_tokens=True))]
     pieces = [bytes(letters[c] for c in n) if all(c in letters for c in n) else n.encode("utf-8") for n in names]
-    return Tokenizer(lambda units: [e.ids for e in bpe.encode_batch([" " + u for u in units], add_special_tokens=False)], pieces)
+    return _tokenizer(lambda texts: [e.ids for e in bpe.encode_batch([" " + t for t in texts], add_special_tokens=False)], pieces)
 
 
 @lru_cache(maxsize=4)
@@ -108,7 +114,7 @@ def piece_bpe(model: bytes) -> Tokenizer:
     if any("▁" in n.lstrip("▁") for n in names):
         raise ValueError("a piece holds a space behind another character, so texts cannot be cut at spaces")
     pieces = [bytes([int(n[3:5], 16)]) if spm.is_byte(i) else n.replace("▁", " ").encode("utf-8") for i, n in enumerate(names)]
-    return Tokenizer(lambda units: spm.encode(units, num_threads=1), pieces)
+    return _tokenizer(lambda texts: spm.encode(texts, num_threads=1), pieces)
 
 
 def models(spark: SparkSession, byte_model: str, piece_model: str):
@@ -121,42 +127,92 @@ def models(spark: SparkSession, byte_model: str, piece_model: str):
     return spark.sparkContext.broadcast((content(byte_model), content(piece_model)))
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    n = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for x in lists for i in x), np.int64, int(n.sum())), n
-
-
-def _spells(ids: np.ndarray, n: np.ndarray, pieces: list[bytes], wanted: list[bytes]) -> np.ndarray:
-    """Which of the wanted byte strings the ids, ``n`` for each, spell."""
-    parts = [pieces[i] for i in ids]
-    at = np.concatenate([[0], np.cumsum(n)])
-    return np.fromiter((b"".join(parts[i:j]) == w for i, j, w in zip(at, at[1:], wanted, strict=False)), bool, len(wanted))
+class Units:
+    """Ids of the units seen so far, on both sides; forgotten when there are too many.
 
+    A unit that begins and ends with a visible character is encoded together
+    with others, spaces between: the tokens of such a text end where its units
+    do. Which tokens are whose follows from their bytes, and a text that is not
+    spelt by them is encoded unit by unit.
+    """
 
-def align(texts: list[str | None], a: Tokenizer, b: Tokenizer) -> Aligned:
+    #: Units that are remembered, and that are encoded as one text.
+    MOST, TOGETHER = 1 << 18, 512
+
+    def __init__(self, a: Tokenizer, b: Tokenizer) -> None:
+        self.sides = (a, b)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids = [np.zeros(0, np.int64) for _ in self.sides]
+        self.n = [np.zeros(0, np.int64) for _ in self.sides]
+        self.good = np.zeros(0, bool)
+
+    def places(self, units: list[str]) -> np.ndarray:
+        """The place of each of these distinct units, whose ids are then there."""
+        if len(self.place) > self.MOST:
+            self._forget()
+        new = [u for u in units if u not in self.place]
+        inner = [u for u in new if _VISIBLE.fullmatch(u)]
+        new = inner + [u for u in new if not _VISIBLE.fullmatch(u)]
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+        good = np.ones(len(new), bool)
+        for side, t in enumerate(self.sides):
+            ids, n, spelt = _encode_units(t, new, len(inner), self.TOGETHER)
+            self.ids[side], self.n[side] = np.concatenate([self.ids[side], ids]), np.concatenate([self.n[side], n])
+            good &= spelt
+        self.good = np.concatenate([self.good, good])
+        return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
+
+
+def _encode_units(t: Tokenizer, units: list[str], inner: int, together: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all units, how many each has, and whether they spell it; the first ``inner`` units can stand in one text."""
+    groups = [units[i : min(i + together, inner)] for i in range(0, inner, together)]
+    ids, n, spelt = [], [], []
+
+    def alone(some: list[str]) -> None:
+        for u, own in zip(some, t.encode(some), strict=True):
+            ids.append(np.array(own, np.int64))
+            n.append([len(own)])
+            spelt.append([b"".join(t.pieces[i] for i in own) == b" " + u.encode("utf-8")])
+
+    for group, own in zip(groups, t.encode([" ".join(g) for g in groups]), strict=True):
+        own = np.array(own, np.int64)
+        wanted = [b" " + u.encode("utf-8") for u in group]
+        end = np.cumsum([len(w) for w in wanted])
+        last = np.searchsorted(np.cumsum(t.sizes[own]), end)
+        if b"".join([t.pieces[i] for i in own]) == b"".join(wanted) and (np.cumsum(t.sizes[own])[last] == end).all():
+            ids.append(own)
+            n.append(np.diff(last + 1, prepend=0))
+            spelt.append(np.ones(len(group), bool))
+        else:
+            alone(group)
+    alone(units[inner:])
+    return (np.concatenate(x) if x else np.zeros(0, kind) for x, kind in ((ids, np.int64), (n, np.int64), (spelt, bool)))
+
+
+def align(texts: list[str | None], known: Units) -> Aligned:
     units = [_UNIT.split(t) if t else [] for t in texts]
     owner = np.repeat(np.arange(len(texts)), [len(u) for u in units])
     codes, distinct = pd.factorize(np.array([u for us in units for u in us], dtype=object))
-    distinct = list(distinct)
-    wanted = [b" " + u.encode("utf-8") for u in distinct]
-    encoded = [_flat(t.encode(distinct)) for t in (a, b)]
+    codes = known.places(list(distinct))[codes]
     wrong = np.zeros(len(texts), bool)
-    good = np.logical_and.reduce([_spells(ids, n, t.pieces, wanted) for (ids, n), t in zip(encoded, (a, b), strict=True)])
-    for d in np.unique(owner[~good[codes]]):
+    for d in np.unique(owner[~known.good[codes]]):
         # Units of a text may each be wrong and yet right together.
         whole = b"".join(b" " + u.encode("utf-8") for u in units[d])
-        for (ids, n), t in zip(encoded, (a, b), strict=True):
+        for ids, n, t in zip(known.ids, known.n, known.sides, strict=True):
             at, own = np.cumsum(n) - n, codes[owner == d]
             spelt = b"".join(t.pieces[i] for c in own for i in ids[at[c] : at[c] + n[c]])
             wrong[d] |= spelt != whole
     codes, owner = codes[~wrong[owner]], owner[~wrong[owner]]
     ids_, doc, end, start = [], [], [], []
-    for (ids, n), t in zip(encoded, (a, b), strict=True):
+    for ids, n, t in zip(known.ids, known.n, known.sides, strict=True):
         take = n[codes]
         first = np.repeat((np.cumsum(n) - n)[codes] - (np.cumsum(take) - take), take)
         ids_.append(ids[first + np.arange(len(first))])
         doc.append(np.repeat(owner, take))
-        size = np.fromiter(map(len, t.pieces), np.int64, len(t.pieces))[ids_[-1]]
+        size = t.sizes[ids_[-1]]
         end.append(np.cumsum(size))
         start.append(end[-1] - size)
     left, right = _overlaps(start, doc)
@@ -188,14 +244,14 @@ def _texts_of_groups(found: Aligned, n_docs: int, sizes: tuple[int, int]) -> lis
     ids, doc = np.concatenate(found.ids)[order], np.concatenate(found.doc)[order]
     # Behind a token: another of its side, the other side, or the next group.
     mark = np.where(np.append(group[1:] != group[:-1], True), 2, np.append(side[1:] != side[:-1], True))
-    written = np.array([_written(max(sizes), m) for m in ",|;"], dtype=object)[mark, ids]
+    written = _written(max(sizes))[mark, ids]
     at = np.searchsorted(doc, np.arange(n_docs + 1))
     return ["".join(written[i:j])[:-1] for i, j in zip(at, at[1:], strict=False)]
 
 
-@lru_cache(maxsize=8)
-def _written(n: int, mark: str) -> tuple[str, ...]:
-    return tuple(f"{i}{mark}" for i in range(n))
+@lru_cache(maxsize=2)
+def _written(n: int) -> np.ndarray:
+    return np.array([[f"{i}{mark}" for i in range(n)] for mark in ",|;"], dtype=object)
 
 
 def _batches(parts: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
@@ -207,10 +263,10 @@ def _batches(parts: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]
             yield part[of == k].reset_index(drop=True)
 
 
-def _figures(batch: pd.DataFrame, a: Tokenizer, b: Tokenizer) -> tuple[pd.DataFrame, np.ndarray]:
+def _figures(batch: pd.DataFrame, known: Units) -> tuple[pd.DataFrame, np.ndarray]:
     """A row per document, and the id pair of each of its links, document by document."""
-    n, sizes = len(batch), (len(a.pieces), len(b.pieces))
-    found = align([t if isinstance(t, str) else None for t in batch["text"]], a, b)
+    n, sizes = len(batch), tuple(len(t.pieces) for t in known.sides)
+    found = align([t if isinstance(t, str) else None for t in batch["text"]], known)
     out = pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64")})
     out["n_a"], out["n_b"] = (np.bincount(d, minlength=n) for d in found.doc)
     # The last token of a group on side A ends it.
@@ -233,10 +289,10 @@ def encoded(documents: DataFrame, byte_model: str, piece_model: str) -> DataFram
     both = models(documents.sparkSession, byte_model, piece_model)
 
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a, b = byte_bpe(both.value[0]), piece_bpe(both.value[1])
+        known = Units(byte_bpe(both.value[0]), piece_bpe(both.value[1]))
         block, size, held = TaskContext.get().partitionId() << 32, 0, []
         for batch in _batches(parts, BATCH):
-            held.append(_figures(batch, a, b))
+            held.append(_figures(batch, known))
             size += int(batch["text"].str.len().sum())
             if size >= BLOCK:
                 yield from _block(block, held)
@@ -315,9 +371,9 @@ def aligned_groups(documents: DataFrame, byte_model: str = f"{TOKENIZERS}/{BYTE_
     both = models(documents.sparkSession, byte_model, piece_model)
 
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a, b = byte_bpe(both.value[0]), piece_bpe(both.value[1])
+        known = Units(byte_bpe(both.value[0]), piece_bpe(both.value[1]))
         for batch in _batches(parts, BATCH):
-            found = align([t if isinstance(t, str) else None for t in batch["text"]], a, b)
+            found = align([t if isinstance(t, str) else None for t in batch["text"]], known)
             if not len(found.ids[0]):
                 continue
             cuts = [np.nonzero(np.append(g[1:] != g[:-1], True))[0] + 1 for g in found.group]

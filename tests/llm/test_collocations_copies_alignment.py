@@ -274,7 +274,7 @@ def test_units_are_encoded_as_their_text_is(tokenizers, plain_encoders):
     rng = random.Random(8)
     pieces = ["a", "The", "word", "don't", "'s", "123", "4.5", "é", "日本", "ß", "▁", " ", "　", "​", "\t", "\n", "\r\n", "  ", " ", " ", " ", "!", "...", "\x1c", "\x85", "\U0001f600", "́", "<s>"]
     texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 40))) for _ in range(3000)]
-    found = alignment.align(texts, *tokenizers)
+    found = alignment.align(texts, alignment.Units(*tokenizers))
     for side, encode in ((0, lambda t: plain_encoders[0].encode(" " + t, add_special_tokens=False).ids), (1, plain_encoders[1].encode)):
         at = np.searchsorted(found.doc[side], np.arange(len(texts) + 1))
         for i, t in enumerate(texts):
