@@ -54,7 +54,7 @@ SCALE = 2_000_000
 #: A phrase inside a longer one of so many percent of its count is dropped.
 COVERED = 80
 #: Bytes of text in a block.
-BLOCK = 1 << 22
+BLOCK = 3 << 20
 #: The table of prefixes has 2**BITS bits.
 BITS = 24
 #: Thresholds of the rounds, as scores. A language with few frequent words starts at the last.
@@ -91,25 +91,24 @@ def _single_marks(tokens: np.ndarray) -> np.ndarray:
 
 
 def encoded(documents: DataFrame) -> DataFrame:
-    """``block, lang, words, counts, tokens``: a row for each block and language in it."""
+    """``block, lang, words, counts, tokens``: a row for each block of texts of one language."""
 
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block, size, held = TaskContext.get().partitionId() << 32, 0, {}
         for part in parts:
             for lang, text in zip(part["lang"], part["text"], strict=True):
-                held.setdefault(lang, []).append(bytes(text))
+                held.setdefault(lang, []).append(text)
                 size += len(text)
                 if size >= BLOCK:
-                    yield told(block, held)
-                    block, size, held = block + 1, 0, {}
-        yield told(block, held)
+                    yield from told(block, held)
+                    block, size, held = block + len(held), 0, {}
+        yield from told(block, held)
 
-    def told(block: int, held: dict[str, list[bytes]]) -> pd.DataFrame:
-        out = []
-        for lang, texts in held.items():
+    def told(block: int, held: dict[str, list[bytes]]) -> Iterator[pd.DataFrame]:
+        for i, (lang, texts) in enumerate(held.items()):
             words, counts, tokens = _coded_texts(texts)
-            out.append((block, lang, words, counts, packed_numbers(tokens & _BREAK)))
-        return pd.DataFrame(out, columns=["block", "lang", "words", "counts", "tokens"])
+            row = (block + i, lang, words, counts, packed_numbers(tokens & _BREAK))
+            yield pd.DataFrame([row], columns=["block", "lang", "words", "counts", "tokens"])
 
     texts = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").cast("binary").alias("text"))
     texts = texts.filter(F.octet_length("text") > 0)
@@ -131,18 +130,19 @@ def frequent_words(entries: DataFrame) -> DataFrame:
 def numbered(blocks: DataFrame, entries: DataFrame, words: DataFrame) -> DataFrame:
     """``lang, ids, f, tokens``: blocks whose texts are places among the frequent words that they hold."""
     known = entries.select("block", "lang", "place", "word").join(words.hint("merge"), ["lang", "word"])
-    known = known.select(F.col("block").alias("to"), F.col("lang").alias("in"), "place", "id", "f")
+    known = known.select(F.col("block").alias("to"), "place", "id", "f")
 
     def rows(own: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         held, first = held.sort_values("id"), own.iloc[0]
         tokens = unpacked_numbers(first["tokens"])
-        place = np.full(len(first["words"]) + 1, -1, np.int64)
+        place = np.full(first["n_words"] + 1, -1, np.int64)
         place[held["place"].to_numpy()] = np.arange(len(held))
         tokens = _single_marks(place[np.where(tokens == _BREAK, len(place) - 1, tokens)])
         ids, f = (held[c].to_numpy("<i8").tobytes() for c in ("id", "f"))
         return pd.DataFrame([(first["lang"], ids, f, packed_numbers(tokens & _BREAK))], columns=["lang", "ids", "f", "tokens"])
 
-    pairs = blocks.select("block", "lang", "words", "tokens").groupBy("block", "lang").cogroup(known.groupBy("to", "in"))
+    own = blocks.select("block", "lang", F.size("words").alias("n_words"), "tokens")
+    pairs = own.groupBy("block").cogroup(known.groupBy("to"))
     return stored(pairs.applyInPandas(rows, "lang string, ids binary, f binary, tokens binary"), "numbered")
 
 
