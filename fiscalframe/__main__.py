@@ -9,13 +9,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from fiscalframe.operators.quality import run_summary
-from fiscalframe.operators.requests import build_requests
+from fiscalframe.operators.requests import build_requests, next_requests
 from fiscalframe.operators.worklist import DOCUMENT_URL, fetch_outcomes, fetch_summary, fetch_worklist
-from fiscalframe.operators.responses import allow_duplicate_keys
+from fiscalframe.operators.responses import attempt_states
 from fiscalframe.plans.receipts import parse_receipts
 from fiscalframe.plans.responses import recover_receipts
 from fiscalframe.sources.inputs import list_images, read_fetch_log, read_fiscal_ids, read_ocr_text, read_responses
 from fiscalframe.sources.outputs import write_by_sale_date, write_csv
+from fiscalframe.streaming.answers import current_receipts, keep_answers, stream_responses
 from fiscalframe.streaming.incremental import parse_new_receipts, stream_ocr_files, stream_ocr_table
 
 
@@ -47,6 +48,16 @@ def requests(spark: SparkSession, args: argparse.Namespace) -> None:
     build_requests(read_ocr_text(spark, args.text, args.format)).write.json(args.out)
 
 
+def requests_again(spark: SparkSession, args: argparse.Namespace) -> None:
+    states = attempt_states(read_responses(spark, args.responses, args.responses_format))
+    next_requests(read_ocr_text(spark, args.text, args.format), states, args.max_attempts or 2).write.json(args.out)
+
+
+def recover_new(spark: SparkSession, args: argparse.Namespace) -> None:
+    keep_answers(stream_responses(spark, args.responses), args.kept, args.checkpoint).awaitTermination()
+    write_csv(current_receipts(read_ocr_text(spark, args.text, args.format), args.kept), args.out, two_decimals=True)
+
+
 def recover(spark: SparkSession, args: argparse.Namespace) -> None:
     receipts = read_ocr_text(spark, args.text, args.format)
     answers = read_responses(spark, args.responses, args.responses_format)
@@ -77,19 +88,22 @@ def _arguments() -> argparse.ArgumentParser:
     fresh = job(parse_new, "only text that arrived since the last run", "text", "out", "checkpoint")
     asking = job(requests, "one extraction request per receipt", "text", "out")
     recovering = job(recover, "model answers to items, with a summary", "text", "responses", "out")
-    for sub in (parsing, fresh, asking, recovering):
+    again = job(requests_again, "requests for the next attempt of receipts without an answer", "text", "responses", "out")
+    renewing = job(recover_new, "take in answers that arrived since the last run, then write all items", "text", "responses", "kept", "checkpoint", "out")
+    for sub in (parsing, fresh, asking, recovering, again, renewing):
         sub.add_argument("--format", default="parquet", choices=("parquet", "json", "text"), help="of the receipt text")
     tables = ("parquet", "json")
     from_log.add_argument("--format", default="parquet", choices=tables, help="of the fetch log")
-    recovering.add_argument("--responses-format", default="parquet", choices=tables, help="of the answers")
+    for sub in (recovering, again):
+        sub.add_argument("--responses-format", default="parquet", choices=tables, help="of the answers")
     recovering.add_argument("--max-attempts", type=int, help="attempts that count; all unless given")
+    again.add_argument("--max-attempts", type=int, help="attempts that a receipt gets; two unless given")
     return parser
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
     spark = SparkSession.builder.appName("fiscalframe").getOrCreate()
-    allow_duplicate_keys(spark)
     args.run(spark, args)
 
 

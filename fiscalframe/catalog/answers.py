@@ -9,14 +9,15 @@ from fiscalframe.fixtures.answers import FIELDS, UNUSABLE, emptied_answers, flaw
 from fiscalframe.fixtures.slips import line_slips, order_slips
 from fiscalframe.fixtures.tables import table
 from fiscalframe.operators.quality import compare_extractors, run_summary
-from fiscalframe.operators.requests import SYSTEM_PROMPT, USER_PROMPT, build_requests
+from fiscalframe.operators.requests import SYSTEM_PROMPT, USER_PROMPT, build_requests, next_requests
 from fiscalframe.operators.responses import (
-    allow_duplicate_keys,
     array_text,
     attempt_outcomes,
+    attempt_states,
     first_good_attempt,
     item_value,
     items_from_response,
+    merge_attempt_states,
     rejected_items,
     strip_fences,
 )
@@ -25,13 +26,12 @@ from fiscalframe.plans.responses import recover_receipts
 from fiscalframe.schema import conform, unite
 from fiscalframe.sources.inputs import read_responses
 from fiscalframe.sources.outputs import scratch_path
+from fiscalframe.streaming.answers import current_receipts, keep_answers, stream_responses
 
 _SHOWN = ("item_name", "quantity", "unit_price", "line_total")
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The queries own their session; the library only asks for the setting.
-    allow_duplicate_keys(spark)
     return order_answers(table(spark, sf_dir, "orders"))
 
 
@@ -40,7 +40,6 @@ def _receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _attempt_items(first: DataFrame) -> DataFrame:
-    allow_duplicate_keys(first.sparkSession)
     shown = (*_SHOWN, "store_name", "date", "subtotal")
     items = first.select("filename", F.posexplode(items_from_response(F.col("response"), shown)).alias("line_no", "item"))
     return items.select("filename", "line_no", *[item_value(F.col("item"), c).alias(c) for c in shown])
@@ -96,14 +95,12 @@ def response_two_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def response_missing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of answers in which every field is unusable on some."""
-    allow_duplicate_keys(spark)
     answers = flawed_answers(table(spark, sf_dir, "lineitem"))
     items = answers.select("filename", F.posexplode(items_from_response(F.col("response"), _SHOWN)).alias("line_no", "item"))
     return items.select("filename", "line_no", *[f"item.{c}" for c in _SHOWN])
 
 
 def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    allow_duplicate_keys(spark)
     return rejected_items(flawed_answers(table(spark, sf_dir, "lineitem")))
 
 
@@ -112,7 +109,6 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def response_emptied_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    allow_duplicate_keys(spark)
     return _attempt_items(emptied_answers(table(spark, sf_dir, "orders"))).select("filename", "line_no", *_SHOWN)
 
 
@@ -130,6 +126,34 @@ def response_30col(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("source_filename", "filename", "store_name", "date", *_SHOWN, "subtotal", "cash_payment", "error")
 
 
+def answers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same answers in three batches, later attempts first, each taken in as it arrives."""
+    path, out, checkpoint = (scratch_path(spark, name) for name in ("arriving", "kept", "progress"))
+    answers = _answers(spark, sf_dir)
+    for attempt in (2, 1, 0):
+        answers.filter(F.col("attempt") == attempt).write.mode("append").parquet(path)
+        keep_answers(stream_responses(spark, path), out, checkpoint).awaitTermination()
+    rows = current_receipts(_receipts(spark, sf_dir), out)
+    return rows.select("source_filename", "filename", "store_name", "date", *_SHOWN, "subtotal", "cash_payment", "error")
+
+
+def requests_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who is asked next: all receipts have had a first attempt, those with an even key a second one too."""
+    answers = _answers(spark, sf_dir)
+    second = answers.filter((F.col("attempt") == 1) & (F.substring("filename", 12, 1).cast("int") % 2 == 0))
+    states = merge_attempt_states(attempt_states(answers.filter("attempt = 0")), attempt_states(second))
+    requests = next_requests(order_slips(table(spark, sf_dir, "orders")), states, most=3)
+    asked = F.contains(F.col("messages")[1]["content"], F.col("filename")) & (F.size("messages") == 2)
+    return requests.select("filename", "attempt", asked.alias("names_receipt"))
+
+
+def response_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict answers in which objects repeat keys and hold ``NaN``, in strings too."""
+    doubled = F.replace("response", F.lit('"quantity":'), F.lit('"quantity":"N/A", "quantity" : '))
+    doubled = F.replace(doubled, F.lit('"store_name":'), F.lit('"note":"NaN, \\"x\\": -Infinity", "store_name":NaN, "other":[NaN, {"a":-Infinity}],\n"store_name":'))
+    return _attempt_items(_strict(spark, sf_dir).withColumn("response", doubled))
+
+
 def response_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = recover_receipts(_receipts(spark, sf_dir), _answers(spark, sf_dir))
     return rows.groupBy(
@@ -190,6 +214,9 @@ QUERIES = {
     "rejected_items": rejected,
     "response_fallback": response_fallback,
     "response_30col": response_30col,
+    "response_repeated_keys": response_repeated_keys,
+    "answers_stream": answers_stream,
+    "next_requests": requests_again,
     "response_audit": response_audit,
     "run_summary": run_figures,
     "request_prompts": request_prompts,
@@ -234,6 +261,9 @@ _ONCE = f"""
 WITH {_ALL}
 SELECT filename, CAST(i - 1 AS INTEGER) AS line_no, base_name || ' II' AS item_name, quantity, unit_price, line_total,
        store_name, date, subtotal FROM every"""
+_WIDE = f"""
+WITH {_CHOSEN}
+SELECT source_filename, filename, store_name, date, item_name, quantity, unit_price, line_total, subtotal, cash_payment, error FROM wide"""
 _TWICE = f"""
 WITH {_ALL}
 SELECT filename, CAST(i - 1 AS INTEGER) AS line_no, base_name || ' II' AS item_name,
@@ -264,9 +294,12 @@ FROM stripped""",
 WITH {_CHOSEN}
 SELECT source_filename, filename, item_name, '0.00' AS cash_payment, '0.00' AS bonus_payment, date, error
 FROM wide WHERE error IS NOT NULL""",
-    "response_30col": f"""
-WITH {_CHOSEN}
-SELECT source_filename, filename, store_name, date, item_name, quantity, unit_price, line_total, subtotal, cash_payment, error FROM wide""",
+    "response_30col": _WIDE,
+    "answers_stream": _WIDE,
+    "response_repeated_keys": _ONCE,
+    "next_requests": f"""
+SELECT {_FILENAME} AS filename, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END AS INTEGER) AS attempt, true AS names_receipt
+FROM orders WHERE o_orderkey % 5 = 0 OR o_custkey % 7 = 6 OR o_orderkey % 2 = 1 AND (o_custkey % 7 = 5 OR o_custkey % 7 = 4 AND o_orderkey % 5 = 1)""",
     "response_audit": f"""
 WITH {_CHOSEN}
 SELECT CASE WHEN error IS NOT NULL THEN 'none' WHEN odd AND salvaged THEN 'ocr_quantity,ocr_quantity,line_total'

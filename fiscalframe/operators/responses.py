@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fiscalframe.functions.json_text import array_elements, last_values, without_literals
 from fiscalframe.functions.names import clean_item_name
 from fiscalframe.functions.numbers import read_double
 from fiscalframe.functions.text import let, strip
@@ -24,20 +25,6 @@ NO_RESULT = "AI extraction failed"
 _END = "end of response"
 
 
-DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
-
-
-def allow_duplicate_keys(spark: SparkSession) -> None:
-    """For the owner of the session: let the last of several equal JSON keys win."""
-    spark.conf.set(DUPLICATE_KEYS, "true")
-
-
-def require_duplicate_keys(spark: SparkSession) -> None:
-    """Without that setting an answer that repeats a key would silently lose its items."""
-    if str(spark.conf.get(DUPLICATE_KEYS, "false")).lower() != "true":
-        raise ValueError(f"set {DUPLICATE_KEYS} to true, see allow_duplicate_keys")
-
-
 def strip_fences(response: Column) -> Column:
     def unfence(r: Column) -> Column:
         without_tag = F.replace(r, F.lit(JSON_FENCE), F.lit(""))
@@ -184,24 +171,48 @@ def validate_items(items: Column, raw: bool) -> Column:
     return F.transform(F.filter(items, is_complete), validated)
 
 
-def _salvaged_objects(array: Column) -> Column:
-    """Every brace-free object that names an item and parses on its own."""
-    chunks = F.regexp_extract_all(array, F.lit(ITEM_OBJECT), F.lit(0))
-    return F.filter(F.transform(chunks, F.try_parse_json), lambda v: v.isNotNull())
+def _lenient_value(text: Column) -> Column:
+    """A JSON value; of an object that repeats a key the fields that are read, each with its last value."""
+
+    def read(t: Column) -> Column:
+        unique = F.when(F.startswith(t, F.lit("{")), F.try_parse_json(last_values(t, COLUMNS)))
+        return F.coalesce(F.try_parse_json(t), unique)
+
+    return let(without_literals(text), read)
+
+
+def _found(whole: Column, objects: Column) -> Column:
+    return F.struct(whole.alias("whole"), objects.alias("objects"))
+
+
+def _read_leniently(array: Column) -> Column:
+    """What an array holds that strict parsing refuses, and whether only for repeated keys or ``NaN``.
+
+    If for more than that, every brace-free object that names an item and
+    parses on its own.
+    """
+    salvaged = F.regexp_extract_all(array, F.lit(ITEM_OBJECT), F.lit(0))
+    both = F.transform(F.array(array_elements(array), salvaged), lambda texts: F.transform(texts, _lenient_value))
+
+    def choose(read: Column) -> Column:
+        whole = read[0].isNotNull() & ~F.exists(read[0], lambda v: v.isNull())
+        return F.when(whole, _found(F.lit(True), read[0])).otherwise(_found(F.lit(False), F.filter(read[1], lambda v: v.isNotNull())))
+
+    return let(both, choose)
 
 
 def _objects(response: Column, body: Callable[[Column, Column], Column]) -> Column:
     """``body(whole, objects)`` on the array of a response: is it valid JSON, and its objects.
 
-    A response that is not valid as a whole is salvaged object by object.
-    NULL if the response holds no array.
+    Repeated keys and ``NaN`` are valid, as most JSON readers have it. A
+    response that is not valid as a whole is salvaged object by object. NULL if
+    the response holds no array.
     """
 
     def recover(array: Column) -> Column:
         def split(parsed: Column) -> Column:
-            whole = _is_whole(parsed)
-            values = F.try_variant_get(parsed, "$[0]", "array<variant>")
-            return F.struct(whole.alias("whole"), F.when(whole, values).otherwise(_salvaged_objects(array)).alias("objects"))
+            strict = _found(F.lit(True), F.try_variant_get(parsed, "$[0]", "array<variant>"))
+            return F.when(_is_whole(parsed), strict).otherwise(_read_leniently(array))
 
         return let(let(_parsed(array), split), lambda p: body(p["whole"], p["objects"]))
 
@@ -243,7 +254,6 @@ def attempt_outcomes(responses: DataFrame) -> DataFrame:
     ``ok`` and ``salvaged`` gave items; ``no_array``, ``broken`` (not valid
     JSON, and nothing could be salvaged) and ``no_valid_item`` did not.
     """
-    require_duplicate_keys(responses.sparkSession)
     kinds = _objects(F.col("response"), lambda whole, objects: F.when(whole, "whole").otherwise("broken"))
     n = F.coalesce(F.size(items_from_response(F.col("response"), NUMBERS)), F.lit(0))
     judged = responses.select("filename", "attempt", kinds.alias("_kind"), F.greatest(n, F.lit(0)).alias("n_items"))
@@ -257,12 +267,16 @@ def attempt_outcomes(responses: DataFrame) -> DataFrame:
 
 def rejected_items(responses: DataFrame) -> DataFrame:
     """``(filename, attempt, position, reason)`` of every object that is no valid item."""
-    require_duplicate_keys(responses.sparkSession)
     reasons = _objects(F.col("response"), lambda whole, objects: F.transform(objects, _reason))
     each = responses.select("filename", "attempt", F.posexplode(reasons).alias("position", "reason"))
     return each.filter(F.col("reason").isNotNull())
 
 
+def _attempt_order(good: Column) -> Column:
+    """Sorts the attempts that gave items, unnumbered ones last; NULL for the others, which ``min_by`` passes over."""
+    return F.when(good, F.struct(F.col("attempt").isNull().alias("unnumbered"), "attempt", F.xxhash64("response").alias("tie")))
+
+
 def first_good_attempt(responses: DataFrame, max_attempts: int | None = None, columns: Sequence[str] = COLUMNS) -> DataFrame:
     """Per filename the items of the first attempt that yields any, else NULL.
 
@@ -270,14 +284,40 @@ def first_good_attempt(responses: DataFrame, max_attempts: int | None = None, co
     number comes last. One shuffle on filename, reduced to one row per filename
     and task before it, so that a filename with very many rows stays cheap.
     """
-    require_duplicate_keys(responses.sparkSession)
     number = F.col("attempt")
     counted = responses if max_attempts is None else responses.filter(number.isNull() | (number < max_attempts))
-    tried = counted.select(
-        "filename", "attempt", F.xxhash64("response").alias("_tie"), items_from_response(F.col("response"), columns).alias("items")
-    )
-    order = F.when(F.size("items") > 0, F.struct(number.isNull().alias("unnumbered"), "attempt", "_tie"))
-    return tried.groupBy("filename").agg(F.min_by("items", order).alias("items"))
+    read = counted.select("filename", "attempt", "response", items_from_response(F.col("response"), columns).alias("items"))
+    tried = read.select("filename", "items", _attempt_order(F.size("items") > 0).alias("_order"))
+    return tried.groupBy("filename").agg(F.min_by("items", "_order").alias("items"))
+
+
+def gives_items(response: Column) -> Column:
+    """At least one valid item can be recovered."""
+    return F.coalesce(F.size(items_from_response(response, NUMBERS)) > 0, F.lit(False))
+
+
+def best_answers(responses: DataFrame) -> DataFrame:
+    """``(filename, response)``: the first attempt that yields items as it came, NULL if none does.
+
+    The same choice as ``first_good_attempt``, but what has to be remembered
+    per receipt is one text. On a stream it goes on as answers arrive.
+    """
+    tried = responses.select("filename", "response", _attempt_order(gives_items(F.col("response"))).alias("_order"))
+    return tried.groupBy("filename").agg(F.min_by("response", "_order").alias("response"))
+
+
+def attempt_states(responses: DataFrame) -> DataFrame:
+    """``(filename, last_attempt, answered)``: how far each receipt has got."""
+    tried = responses.select("filename", "attempt", gives_items(F.col("response")).alias("good"))
+    return tried.groupBy("filename").agg(F.max("attempt").alias("last_attempt"), F.max("good").alias("answered"))
+
+
+def merge_attempt_states(*states: DataFrame) -> DataFrame:
+    """What ``attempt_states`` gives for all their answers together."""
+    every = states[0]
+    for more in states[1:]:
+        every = every.unionByName(more)
+    return every.groupBy("filename").agg(F.max("last_attempt").alias("last_attempt"), F.max("answered").alias("answered"))
 
 
 def explode_responses(receipts: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -290,8 +330,12 @@ def explode_responses(receipts: DataFrame, chosen: DataFrame) -> DataFrame:
     filename; a guess at their size must not turn this into a broadcast.
     """
     asked = receipts.select("filename").distinct()
-    joined = asked.join(chosen.hint("merge"), "filename", "left")
-    rows = joined.select(
+    return item_rows(asked.join(chosen.hint("merge"), "filename", "left"))
+
+
+def item_rows(chosen: DataFrame) -> DataFrame:
+    """``(filename, items)`` to a row per item, or one fallback row where there is none."""
+    rows = chosen.select(
         F.col("filename").alias("source_filename"), F.posexplode_outer("items").alias("line_no", "_item")
     )
     failed = F.col("line_no").isNull()

@@ -3,31 +3,36 @@
 import json
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from fiscalframe.operators.repair import repair
-from fiscalframe.operators.requests import build_requests
+from fiscalframe.operators.requests import build_requests, next_requests
 from fiscalframe.operators.responses import (
     _is_whole,
     _parsed,
-    DUPLICATE_KEYS,
-    allow_duplicate_keys,
+    _read_leniently,
     array_text,
     attempt_outcomes,
+    attempt_states,
     first_good_attempt,
     item_value,
     items_from_response,
+    merge_attempt_states,
     rejected_items,
 )
 from fiscalframe.plans.responses import recover_receipts
 from fiscalframe.schema import COLUMNS, PAYMENTS
 
 
-@pytest.fixture(scope="module", autouse=True)
-def last_key_wins(spark):
-    allow_duplicate_keys(spark)
+@pytest.fixture(params=["false", "true"])
+def duplicate_keys(spark, request):
+    """Both values of the session's setting for repeated keys; nothing may depend on it."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
 
 
 def item(name="Su", quantity=1, unit_price=2, line_total=2, **more):
@@ -123,15 +128,81 @@ def test_salvaged_name_may_be_emptied_by_the_second_validation(spark):
     assert [i[0] for i in recovered_all(spark, [torn])[0]] == ["", "ok"]
 
 
-def test_repeated_keys_need_the_setting(spark):
-    answers = spark.createDataFrame([("a", 0, "[]")], "filename string, attempt int, response string")
-    spark.conf.set(DUPLICATE_KEYS, "false")
-    try:
-        for operator in (first_good_attempt, attempt_outcomes, rejected_items):
-            with pytest.raises(ValueError, match="allowDuplicateKeys"):
-                operator(answers)
-    finally:
-        allow_duplicate_keys(spark)
+REPEATED = [
+    ('[{"item_name": "a", "item_name": "b", "quantity": 1, "unit_price": 2, "line_total": 2}]', [("b", 1.0, 2.0, 2.0)]),
+    ('[{"item_name": "a", "quantity": "x", "unit_price": 2, "line_total": 2, "quantity": 1}, 5, "s, {", [1, {}], null]', [("a", 1.0, 2.0, 2.0)]),
+    ('[ {"x": NaN, "item_name": "NaN", "quantity": 1, "unit_price": 2,\n"line_total": 2, "x": [Infinity, {"y": -Infinity}]} ]', [("NaN", 1.0, 2.0, 2.0)]),
+    ('[{"item_name": "a", "quantity": NaN, "unit_price": 2, "line_total": 2}]', []),
+    ('[{"item_name": "\\", \\"quantity\\": 9", "item_name": "{a}", "quantity": 1, "unit_price": 2, "line_total": 2}]', [("{a}", 1.0, 2.0, 2.0)]),
+    # Torn behind the first object: salvaged.
+    ('[{"item_name": "a", "item_name": "b", "quantity": NaN, "quantity": 1, "unit_price": 2, "line_total": 2}, {"x', [("b", 1.0, 2.0, 2.0)]),
+    # A repeated key beside something that is no JSON at all: salvage finds nothing either.
+    ('[{"item_name": "a", "item_name": "b", "quantity": 1, "unit_price": 2, "line_total": 2, "z": 01}]', []),
+    ('[{"item_name": "a", "item_name": "b", "quantity": 1, "unit_price": 2, "line_total": 2},]', [("b", 1.0, 2.0, 2.0)]),
+]
+
+
+def test_repeated_keys_and_literals(spark, duplicate_keys):
+    got = recovered_all(spark, [response for response, _ in REPEATED])
+    for (response, expected), items in zip(REPEATED, got, strict=True):
+        assert items == expected, response
+    told = attempt_outcomes(spark.createDataFrame([(str(i), 0, r) for i, (r, _) in enumerate(REPEATED)], "filename string, attempt int, response string"))
+    outcomes = {int(r["filename"]): r["outcome"] for r in told.collect()}
+    assert [outcomes[i] for i in range(len(REPEATED))] == ["ok", "ok", "ok", "no_valid_item", "ok", "salvaged", "broken", "salvaged"]
+
+
+def test_lenient_reading_means_what_json_loads_accepts(spark, duplicate_keys):
+    """Damaged arrays with repeated keys and literals: read if and only if Python reads them, with the same last values."""
+    rng = random.Random(9)
+    base = [
+        '[{"item_name": "a", "item_name": "b,]}", "quantity": 1.50, "quantity": NaN}]',
+        '[1, "x{", NaN, -Infinity, {"item_name": [1, {}], "item_name": {"k": "\\""}}]',
+        '[{"quantity": 1, "quantity": {"a": [Infinity]}, "unit_price": "NaN"}, {}, [], [[2]]]',
+        "[]",
+    ]
+    texts = list(base)
+    for _ in range(900):
+        t = rng.choice(base)
+        for _ in range(rng.randint(1, 2)):
+            at = rng.randint(1, max(1, len(t)))
+            t = rng.choice([t[:at] + rng.choice('[]{},:"1 x\nN-') + t[at:], t[: at - 1] + t[at:], t + rng.choice([" ", "]", "}", ",", " 1"])])
+        if t.startswith("["):
+            texts.append(t)
+    fields = ("item_name", "quantity", "unit_price")
+
+    def plain(v):
+        return {k: plain(x) for k, x in v.items()} if isinstance(v, dict) else [plain(x) for x in v] if isinstance(v, list) else v
+
+    def expected(t):
+        try:
+            read = json.loads(t, parse_constant=lambda _: None)
+        except json.JSONDecodeError:
+            return None
+        return [{k: plain(v[k]) for k in fields if v.get(k) is not None} if isinstance(v, dict) else "-" for v in read]
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    read = df.select("i", _read_leniently(F.col("t")).alias("r"))
+    for row in read.select("i", F.when(F.col("r.whole"), F.transform("r.objects", lambda v: F.to_json(v))).alias("v")).collect():
+        read = row["v"] and [json.loads(v) for v in row["v"]]
+        got = row["v"] if read is None else [{k: v[k] for k in fields if v.get(k) is not None} if isinstance(v, dict) else "-" for v in read]
+        assert got == expected(texts[row["i"]]), texts[row["i"]]
+
+
+def test_lenient_reading_stays_linear(column):
+    """Under a second for a megabyte of any shape; a quadratic reading would take minutes."""
+    one = '{"item_name": "a", "item_name": "b", "quantity": 1, "unit_price": 2, "line_total": 2}, '
+    shapes = [
+        F.concat(F.lit("["), F.repeat(F.lit(one), 10_000), F.lit(one[:-2]), F.lit("]")),
+        F.concat(F.lit('[{"a": 1'), F.repeat(F.lit(', "a": "x"'), 100_000), F.lit("}]")),
+        F.concat(F.lit('["'), F.repeat(F.lit("\\n"), 500_000), F.lit('", NaN]')),
+        F.concat(F.lit("["), F.repeat(F.lit("["), 500_000), F.repeat(F.lit("]"), 500_000), F.lit("]")),
+        F.concat(F.lit("["), F.repeat(F.lit('NaN, "NaN'), 100_000), F.lit("]")),
+        F.concat(F.lit("["), F.repeat(F.lit("{"), 500_000), F.lit("]")),
+        F.concat(F.lit("["), F.repeat(F.lit('"'), 500_001), F.lit("]")),
+    ]
+    started = time.monotonic()
+    sizes = [column(F.size(_read_leniently(s)["objects"])) for s in shapes]
+    assert sizes[:3] == [10_001, 1, 2] and time.monotonic() - started < 60
 
 
 def test_outcomes_and_rejected_items(spark):
@@ -315,6 +386,25 @@ def test_recover_receipts(spark):
     assert "Broadcast" not in plan and "Python" not in plan
 
 
+def test_requests_go_on_until_there_is_an_answer(spark):
+    good, bad = json.dumps([item()]), "no"
+    ocr = spark.createDataFrame([(f, "text") for f in "abcde"] + [("f", None)], "filename string, text string")
+    schema = "filename string, attempt int, response string"
+    first = attempt_states(spark.createDataFrame([("a", 0, good), ("b", 0, bad), ("c", 0, bad), ("d", None, bad), ("zz", 0, bad)], schema))
+    asked = lambda states, most=2: {(r["filename"], r["attempt"]) for r in next_requests(ocr, states, most).collect()}
+    assert asked(first.limit(0)) == {(f, 0) for f in "abcde"}
+    assert asked(first) == {("b", 1), ("c", 1), ("d", 0), ("e", 0)}
+    second = attempt_states(spark.createDataFrame([("b", 1, good), ("c", 1, bad), ("e", 0, bad), ("a", 1, bad)], schema))
+    both = merge_attempt_states(first, second)
+    assert asked(both) == {("d", 0), ("e", 1)}
+    assert asked(both, most=3) == {("c", 2), ("d", 0), ("e", 1)}
+    (row,) = next_requests(ocr, both).filter("filename = 'e'").collect()
+    assert row["messages"] == build_requests(ocr.filter("filename = 'e'")).first()["messages"]
+    plan = next_requests(ocr, both)._jdf.queryExecution().optimizedPlan().toString()
+    # Names alone decide who is asked.
+    assert plan.count("text#") and "messages" in plan
+
+
 def test_requests(spark):
     df = spark.createDataFrame([("a.jpeg", "line 1\nline 2"), ("b.jpeg", None)], "filename string, text string")
     (row,) = build_requests(df).collect()
