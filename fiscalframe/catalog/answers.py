@@ -21,6 +21,17 @@ from fiscalframe.operators.responses import (
     rejected_items,
     strip_fences,
 )
+from fiscalframe.operators.states import (
+    SUMMARY,
+    compare_states,
+    estimated_receipts,
+    merge_receipt_states,
+    merge_totals,
+    receipt_states,
+    run_totals,
+    sketch_error,
+    summary_figures,
+)
 from fiscalframe.plans.receipts import parse_receipts
 from fiscalframe.plans.responses import recover_receipts
 from fiscalframe.schema import conform, unite
@@ -166,6 +177,51 @@ def run_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_summary(recover_receipts(receipts, _answers(spark, sf_dir)), receipts)
 
 
+_RUNS = 3
+
+
+def _runs(items: DataFrame, label: str) -> list[DataFrame]:
+    """The rows dealt over three runs, so that most receipts are in several; each stored."""
+    spark = items.sparkSession
+    path = scratch_path(spark, label)
+    dealt = F.pmod(F.xxhash64("filename", "item_name"), F.lit(_RUNS))
+    items.withColumn("run", dealt).write.partitionBy("run").parquet(path)
+    return [spark.read.parquet(path).filter(F.col("run") == i).drop("run") for i in range(_RUNS)]
+
+
+def _stored_states(items: DataFrame, label: str, columns) -> DataFrame:
+    """The states of three runs, stored and merged."""
+    spark = items.sparkSession
+    path = scratch_path(spark, f"{label}-states")
+    for i, run in enumerate(_runs(items, label)):
+        receipt_states(run, columns).write.parquet(f"{path}/run={i}")
+    return merge_receipt_states(*[spark.read.parquet(f"{path}/run={i}") for i in range(_RUNS)])
+
+
+def merged_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run summary out of the states of three runs, and whether the sketches' estimates keep their bound."""
+    receipts = _receipts(spark, sf_dir)
+    rows = recover_receipts(receipts, _answers(spark, sf_dir))
+    runs = _runs(rows, "runs")
+    path = scratch_path(spark, "states")
+    for i, run in enumerate(runs):
+        receipt_states(run, tuple(SUMMARY)).write.parquet(f"{path}/receipts/run={i}")
+        run_totals(run, tuple(SUMMARY)).write.parquet(f"{path}/totals/run={i}")
+    states = merge_receipt_states(*[spark.read.parquet(f"{path}/receipts/run={i}") for i in range(_RUNS)])
+    totals = estimated_receipts(merge_totals(spark.read.parquet(f"{path}/totals").drop("run")))
+    off = F.abs(totals.select("receipts").scalar() - F.col("unique_receipts"))
+    within = off <= F.lit(sketch_error()) * F.col("unique_receipts")
+    return summary_figures(states, receipts).withColumn("estimate_within_bound", within)
+
+
+def merged_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison of both extractors out of stored states."""
+    by_pattern = parse_receipts(order_slips(table(spark, sf_dir, "orders")))
+    by_model = recover_receipts(_receipts(spark, sf_dir), _answers(spark, sf_dir))
+    states = {name: _stored_states(rows, name, _COMPARED) for name, rows in (("pattern", by_pattern), ("model", by_model))}
+    return compare_states(states).select("metric", *[F.round(c, 9).alias(c) for c in ("pattern", "model", "difference")])
+
+
 def request_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = build_requests(line_slips(table(spark, sf_dir, "lineitem")))
     return requests.select(
@@ -219,6 +275,8 @@ QUERIES = {
     "next_requests": requests_again,
     "response_audit": response_audit,
     "run_summary": run_figures,
+    "merged_summary": merged_summary,
+    "merged_comparison": merged_comparison,
     "request_prompts": request_prompts,
     "extractor_comparison": extractor_comparison,
     "united_results": united_results,
@@ -383,3 +441,5 @@ SELECT o.f AS filename, greatest(o_orderkey % 6, 1) + n AS n_rows,
        items AS with_store, o_orderkey % 6 + items AS with_item
 FROM (SELECT *, {_FILENAME} AS f FROM orders) o JOIN per_receipt ON o.f = per_receipt.filename""",
 }
+ORACLES["merged_summary"] = f"SELECT *, true AS estimate_within_bound FROM ({ORACLES['run_summary']})"
+ORACLES["merged_comparison"] = ORACLES["extractor_comparison"]

@@ -9,8 +9,9 @@ from fiscalframe.fixtures.slips import order_key
 from fiscalframe.fixtures.tables import table
 from fiscalframe.functions.html import form_token, html_attr
 from fiscalframe.operators.worklist import DOCUMENT_URL, fetch_outcomes, fetch_summary, fetch_worklist, image_name, is_image
-from fiscalframe.sources.inputs import list_images, read_fetch_log, read_fiscal_ids
+from fiscalframe.sources.inputs import folders, list_folders, read_fetch_log, read_fiscal_ids
 from fiscalframe.sources.outputs import scratch_path
+from fiscalframe.sources.present import add_present, present_table, worklist_from_table
 
 
 def fiscal_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,15 +66,31 @@ def image_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.filter(is_image(F.col("filename")))
 
 
+#: Customers that share a listed file.
+_PER_FILE = 20
+
+
 def listed_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files written with three endings, one folder per nation, and what a listing of them finds."""
+    """Files of a bounded number of customers with three endings, a folder per nation, and what a listing of them finds."""
     path = scratch_path(spark, "images")
     names = table(spark, sf_dir, "customer").select("c_nationkey", "c_name").repartition("c_nationkey")
     for ending in ("jpg", "png", "gif"):
-        names.write.mode("append").partitionBy("c_nationkey").option("extension", ending).csv(path)
-    found = list_images(spark, path)
-    key = F.regexp_extract("path", r"c_nationkey=(\d+)/", 1).cast("int")
-    return found.select(key.alias("nation"), F.substring_index("filename", ".", -1).alias("ending"))
+        small = names.write.mode("append").partitionBy("c_nationkey").option("maxRecordsPerFile", _PER_FILE)
+        small.option("extension", ending).csv(path)
+    found = list_folders(spark, folders(spark, path))
+    key = F.regexp_extract("path", r"c_nationkey=(\d+)/", 1).cast("int").alias("nation")
+    return found.groupBy(key, F.substring_index("filename", ".", -1).alias("ending")).agg(F.count("*").alias("n_files"))
+
+
+def worklist_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The worklist against a bucketed table that has taken in the present files in two parts, some of them twice."""
+    path = scratch_path(spark, "present")
+    name = path.rpartition("/")[2].replace("-", "_")
+    present_table(spark, name, path, buckets=8)
+    files = table(spark, sf_dir, "lineitem").select("l_linenumber", image_name(order_key("l_orderkey")).alias("filename"))
+    add_present(files.filter("l_linenumber <= 4"), name)
+    add_present(files.filter("l_linenumber >= 3"), name)
+    return worklist_from_table(table(spark, sf_dir, "orders").select(order_key().alias("fiscal_id")), name)
 
 
 def page_attribute(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +118,20 @@ def page_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", form_token(html).alias("token"))
 
 
+def page_token_hidden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens that do not count, in comments, scripts, styles and values, beside ones that do, with entities in them."""
+    page = F.col("page_id")
+    key = page.cast("string")
+    in_comment = F.concat(F.lit('<head><!-- <meta name="csrf-token" content="old"> > --><meta name="csrf-token" content="a&amp;b-'), key, F.lit('">'))
+    script = "<head><script>if (a < b) x = '<meta name=\"csrf-token\" content=\"js\">';</script>"
+    in_script = F.concat(F.lit(script + '<input name="_csrf" value="&#233;&lt;&#x20AC;&unknown;-'), key, F.lit('">'))
+    in_value = F.lit("<head><a title='<meta name=\"csrf-token\" content=\"value\">'>x</a><style>/* <input name=\"_csrf\" value=\"css\"> */</style>")
+    never_closed = F.lit('<head><!-- <meta name="csrf-token" content="open">')
+    head = F.when(page % 4 == 0, in_comment).when(page % 4 == 1, in_script).when(page % 4 == 2, in_value).otherwise(never_closed)
+    html = F.replace(F.col("html"), F.lit("<head>"), head)
+    return table(spark, sf_dir, "pages").select("page_id", form_token(html).alias("token"))
+
+
 QUERIES = {
     "fiscal_ids": fiscal_ids,
     "fetch_worklist": worklist,
@@ -108,8 +139,10 @@ QUERIES = {
     "fetch_summary": summary,
     "image_listing": image_listing,
     "listed_images": listed_images,
+    "fetch_worklist_bucketed": worklist_bucketed,
     "page_attribute": page_attribute,
     "page_token": page_token,
+    "page_token_hidden": page_token_hidden,
 }
 
 _ID = "lpad(CAST(o_orderkey AS VARCHAR), 12, '0')"
@@ -137,8 +170,9 @@ SELECT count(*) AS total, count(*) FILTER (WHERE outcome IN ('present', 'downloa
     "image_listing": f"""
 SELECT {_ID} || CASE o_orderkey % 7 WHEN 0 THEN '.jpeg' WHEN 1 THEN '.JPG' WHEN 2 THEN '.png' ELSE '.Tiff' END AS filename
 FROM orders WHERE o_orderkey % 7 < 4""",
-    "listed_images": """
-SELECT DISTINCT c_nationkey AS nation, ending FROM customer, (VALUES ('jpg'), ('png')) AS e(ending)""",
+    "listed_images": f"""
+SELECT c_nationkey AS nation, ending, CAST(ceil(count(*) / {_PER_FILE}.0) AS BIGINT) AS n_files
+FROM customer, (VALUES ('jpg'), ('png')) AS e(ending) GROUP BY ALL""",
     "page_attribute": """
 SELECT page_id, nullif(regexp_extract(html, '<meta charset="([^"]*)"', 1), '') AS charset,
        nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang,
@@ -149,4 +183,7 @@ FROM pages""",
     "page_token": """
 SELECT page_id, CASE page_id % 5 WHEN 0 THEN 't-' || page_id WHEN 1 THEN 't-' || page_id WHEN 2 THEN 'ft-' || page_id
          WHEN 3 THEN 'ft-' || page_id ELSE '' END AS token FROM pages""",
+    "page_token_hidden": """
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'a&b-' || page_id WHEN 1 THEN 'é<€&unknown;-' || page_id ELSE '' END AS token FROM pages""",
 }
+ORACLES["fetch_worklist_bucketed"] = ORACLES["fetch_worklist"]

@@ -4,47 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalframe.functions.numbers import one_decimal
 from fiscalframe.operators.repair import SUSPICIOUS_ABOVE, is_suspicious_quantity, total_is_off
-from fiscalframe.schema import COLUMNS, NUMBERS, PAYMENTS, money
-
-# Fixed value: estimated cost of one model call.
-COST_PER_FILE = 0.03
-
-
-def _ratio(hits: Column, of: Column) -> Column:
-    return F.try_divide(hits.cast("double"), of.cast("double"))
-
+from fiscalframe.operators.states import SUMMARY, compare_states, paid, ratio, receipt_states, summary_figures
+from fiscalframe.schema import COLUMNS, money
 
 def run_summary(items: DataFrame, files: DataFrame) -> DataFrame:
     """One row: receipts, rows, rows per receipt, filled columns, success rate, cost.
 
     A missing filename counts as one receipt. ``files`` is the list of images
     the run was asked to process. A receipt is a success if it has no row with
-    an ``error``; without that column all are.
+    an ``error``; without that column all are. One aggregation per receipt and
+    one over the receipts.
     """
-    failed = F.col("error").isNotNull() if "error" in items.columns else F.lit(False)
-    unnamed_failed = F.coalesce(F.max((F.col("filename").isNull() & failed).cast("long")), F.lit(0))
-    n_files = files.agg(F.count("*")).scalar()
-    unnamed = F.coalesce(F.max(F.col("filename").isNull().cast("long")), F.lit(0))
-    totals = items.agg(
-        (F.count_distinct("filename") + unnamed).alias("unique_receipts"),
-        F.count("*").alias("item_rows"),
-        F.count("store_name").alias("rows_with_store_name"),
-        F.count("store_address").alias("rows_with_address"),
-        F.count("item_name").alias("rows_with_item"),
-        F.count("date").alias("rows_with_date"),
-        (F.count_distinct(F.when(failed, F.col("filename"))) + unnamed_failed).alias("_failed"),
-    )
-    return totals.select(
-        *[c for c in totals.columns if c != "_failed"],
-        one_decimal(_ratio(F.col("item_rows"), F.col("unique_receipts"))).alias("rows_per_receipt"),
-        _ratio(F.col("unique_receipts") - F.col("_failed"), F.col("unique_receipts")).alias("success_rate"),
-        (n_files * F.lit(COST_PER_FILE)).alias("cost"),
-    )
+    return summary_figures(receipt_states(items, tuple(SUMMARY)), files)
 
 
 def receipt_names(items: DataFrame) -> DataFrame:
@@ -56,7 +31,7 @@ def fill_rates(items: DataFrame, by: Sequence[str] = (), columns: Sequence[str]
 
     All columns in one aggregation over the table.
     """
-    rates = items.groupBy(*by).agg(*[_ratio(F.count(c), F.count("*")).alias(c) for c in columns])
+    rates = items.groupBy(*by).agg(*[ratio(F.count(c), F.count("*")).alias(c) for c in columns])
     return rates.unpivot(list(by), list(columns), "metric", "value")
 
 
@@ -64,22 +39,18 @@ def math_accuracy(items: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Share of items whose quantity times price gives the total."""
     exact = ~total_is_off(F.col("quantity"), F.col("unit_price"), F.col("line_total"))
     known = F.col("item_name").isNotNull()
-    return items.groupBy(*by).agg(_ratio(F.count_if(known & exact), F.count_if(known)).alias("math_accuracy"))
+    return items.groupBy(*by).agg(ratio(F.count_if(known & exact), F.count_if(known)).alias("math_accuracy"))
 
 
 def suspicious_rate(items: DataFrame, above: float = SUSPICIOUS_ABOVE, by: Sequence[str] = ()) -> DataFrame:
     hits = F.count_if(is_suspicious_quantity(F.col("quantity"), above))
-    return items.groupBy(*by).agg(_ratio(hits, F.count("quantity")).alias("suspicious_rate"))
-
-
-def _paid() -> Column:
-    return F.greatest(*[F.coalesce(money(F.col(p)), F.lit(0)) for p in PAYMENTS]) > 0
+    return items.groupBy(*by).agg(ratio(hits, F.count("quantity")).alias("suspicious_rate"))
 
 
 def payment_failures(items: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Share of receipts on which no payment method has an amount above zero."""
-    receipts = items.groupBy(*by, "filename").agg(F.max(_paid()).alias("_paid"))
-    return receipts.groupBy(*by).agg(_ratio(F.count_if(~F.col("_paid")), F.count("*")).alias("payment_failure_rate"))
+    receipts = items.groupBy(*by, "filename").agg(F.max(paid()).alias("_paid"))
+    return receipts.groupBy(*by).agg(ratio(F.count_if(~F.col("_paid")), F.count("*")).alias("payment_failure_rate"))
 
 
 def compare_extractors(tables: dict[str, DataFrame], columns: Sequence[str] = COLUMNS) -> DataFrame:
@@ -90,27 +61,7 @@ def compare_extractors(tables: dict[str, DataFrame], columns: Sequence[str] = CO
     sums only, and one over the receipts.
     """
     (name_a, a), (name_b, b) = tables.items()
-    needed = list(dict.fromkeys(["filename", *columns, "item_name", *NUMBERS, *PAYMENTS]))
-    both = a.select(F.lit(name_a).alias("extractor"), *needed).unionByName(b.select(F.lit(name_b).alias("extractor"), *needed))
-    exact = ~total_is_off(F.col("quantity"), F.col("unit_price"), F.col("line_total"))
-    known = F.col("item_name").isNotNull()
-    counts = {f"_{c}": F.count(c) for c in columns}
-    counts |= {"_rows": F.count("*"), "_items": F.count("item_name"), "_exact": F.count_if(known & exact)}
-    counts |= {"_large": F.count_if(is_suspicious_quantity(F.col("quantity"))), "_quantities": F.count("quantity")}
-    per_receipt = both.groupBy("extractor", "filename").agg(*[n.alias(c) for c, n in counts.items()], F.max(_paid()).alias("_paid"))
-    total = {c: F.sum(c) for c in counts}
-    metrics = {c: _ratio(total[f"_{c}"], total["_rows"]) for c in columns}
-    metrics |= {
-        "math_accuracy": _ratio(total["_exact"], total["_items"]),
-        "suspicious_rate": _ratio(total["_large"], total["_quantities"]),
-        "payment_failure_rate": _ratio(F.count_if(~F.col("_paid")), F.count("*")),
-        "items_per_receipt": _ratio(total["_items"], F.count("*")),
-    }
-    long = per_receipt.groupBy("extractor").agg(*[m.alias(c) for c, m in metrics.items()]).unpivot(
-        "extractor", list(metrics), "metric", "value"
-    )
-    wide = long.groupBy("metric").pivot("extractor", [name_a, name_b]).agg(F.first("value"))
-    return wide.withColumn("difference", F.col(name_b) - F.col(name_a))
+    return compare_states({name_a: receipt_states(a, columns), name_b: receipt_states(b, columns)})
 
 
 def reconcile_receipts(items: DataFrame) -> DataFrame:

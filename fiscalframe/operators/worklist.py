@@ -25,7 +25,7 @@ def is_image(filename: Column) -> Column:
     return filename.rlike(rf"(?i)\.({endings})\z")
 
 
-def _present(files: DataFrame) -> DataFrame:
+def present_ids(files: DataFrame) -> DataFrame:
     """IDs that have a file, each once; copies are reduced before the shuffle."""
     named = files.filter(F.col("filename").endswith(IMAGE_ENDING))
     fiscal_id = F.substr("filename", F.lit(1), F.length("filename") - len(IMAGE_ENDING))
@@ -40,7 +40,7 @@ def fetch_worklist(ids: DataFrame, files: DataFrame, base: str = DOCUMENT_URL) -
     below the first ``distinct``; the merge hint, because it can only guess the
     size of the file list and must not broadcast it on that guess.
     """
-    there = _present(files).withColumn("_there", F.lit(True))
+    there = present_ids(files).withColumn("_there", F.lit(True))
     wanted = ids.select("fiscal_id").distinct()
     missing = wanted.join(there.hint("merge"), "fiscal_id", "left").filter(F.col("_there").isNull())
     key = F.col("fiscal_id")
@@ -69,7 +69,7 @@ def fetch_outcomes(fetch_log: DataFrame, files: DataFrame) -> DataFrame:
     adaptive execution splits a hot ID of the log only if both sides come
     straight from a shuffle, and the second shuffle moves nothing but names.
     """
-    there = _present(files).select(image_name(F.col("fiscal_id")).alias("filename"), F.lit(True).alias("_there"))
+    there = present_ids(files).select(image_name(F.col("fiscal_id")).alias("filename"), F.lit(True).alias("_there"))
     log = fetch_log.withColumn("filename", image_name(F.col("fiscal_id")))
     result = outcome(F.coalesce("_there", F.lit(False)), F.col("status_code"), F.col("error"))
     judged = log.join(there.hint("merge"), "filename", "left").withColumn("outcome", result)

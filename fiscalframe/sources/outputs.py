@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +71,54 @@ def write_by_sale_date(df: DataFrame, path: str, by_month: bool = False, mode: s
     ``rebalance`` brings the rows of a folder together and lets adaptive
     execution split a folder that is too large for one task.
     """
+    _dated(df, by_month).hint("rebalance", "sale_date").write.mode(mode).partitionBy("sale_date").parquet(path)
+
+
+def _dated(df: DataFrame, by_month: bool) -> DataFrame:
     day = F.col("sold_at").cast("date")
-    dated = typed(conform(df)).withColumn("sale_date", F.trunc(day, "month") if by_month else day)
-    dated.hint("rebalance", "sale_date").write.mode(mode).partitionBy("sale_date").parquet(path)
+    return typed(conform(df)).withColumn("sale_date", F.trunc(day, "month") if by_month else day)
+
+
+_MANIFEST = "sale_date date, n_rows long, content long, run long"
+
+
+def finished_dates(spark: SparkSession, path: str) -> DataFrame:
+    """``(sale_date, n_rows, content, run)``: what ``rewrite_changed_dates`` has finished, the last state of each date."""
+    notes = spark.read.schema(_MANIFEST).option("ignoreMissingFiles", True)
+    try:
+        every = notes.parquet(f"{path.rstrip('/')}/_finished")
+    except AnalysisException:
+        every = spark.createDataFrame([], _MANIFEST)
+    last = every.groupBy("sale_date").agg(F.max(F.struct("run", "n_rows", "content")).alias("last"))
+    return last.select("sale_date", "last.n_rows", "last.content", "last.run")
+
+
+def rewrite_changed_dates(df: DataFrame, path: str, by_month: bool = False) -> None:
+    """Typed layer by sale date, safe to run again: only dates that are new or differ are written.
+
+    A date is replaced as a whole, and noted as finished, with the number and
+    a hash of its rows, after all are written. A run that is killed leaves
+    dates without a note, which the next run writes again; a run over the same
+    rows writes nothing. Dates that a run does not hold stay as they are. The
+    rows are worked out twice, so store what is expensive first.
+    """
+    spark, rows = df.sparkSession, _dated(df, by_month)
+    # A sum of hashes does not depend on the order of rows, and counts repeated ones.
+    content = F.sum(F.xxhash64(*[c for c in rows.columns if c != "sale_date"]).cast("decimal(20,0)"))
+    low = F.pmod(content, F.lit(1 << 62).cast("decimal(20,0)")).cast("long")
+    now = rows.groupBy("sale_date").agg(F.count("*").alias("n_rows"), low.alias("content"))
+    done = finished_dates(spark, path)
+    same = [now[c].eqNullSafe(done[c]) for c in ("sale_date", "n_rows", "content")]
+    run = done.agg(F.coalesce(F.max("run"), F.lit(-1)) + 1).first()[0]
+    changed = now.join(done, same[0] & same[1] & same[2], "left_anti").withColumn("run", F.lit(run))
+    # Fixed before anything is replaced: afterwards the notes would say something else.
+    notes = scratch_path(spark, "changed-dates")
+    changed.write.parquet(notes)
+    changed = spark.read.schema(_MANIFEST).parquet(notes)
+    if not changed.limit(1).count():
+        return
+    dates = changed.select(F.col("sale_date").alias("_date"))
+    stale = rows.join(dates, rows["sale_date"].eqNullSafe(dates["_date"]), "left_semi")
+    written = stale.hint("rebalance", "sale_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    written.partitionBy("sale_date").parquet(path)
+    changed.write.mode("append").parquet(f"{path.rstrip('/')}/_finished")
