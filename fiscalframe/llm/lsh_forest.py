@@ -51,6 +51,9 @@ REGION = 96
 #: Of 128 values, cut to 4 bits: sets of similarity 0.8 agree in 104, give or take 4.4.
 AGREEING = 86
 
+#: Counters by which shingles are called rare.
+COUNTERS = 1 << 18
+
 _PATH_BYTES = 4 * DEPTH
 _ROW = "doc_id long, text_hash long, n_shingles long, class_id long, signature binary, sketch binary"
 
@@ -208,11 +211,48 @@ def _linked(documents: DataFrame, classes: DataFrame, pairs: DataFrame, words: i
     return stored(confirmed(pairs, _stored_sets(documents, classes, wanted, words), percent), "links")
 
 
-def _tokens(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in parts:
-        for class_id, root, packed_set in zip(b["class_id"], b["root"], b["shingles"], strict=True):
-            shingles = np.frombuffer(packed_set, np.int64)
-            yield pd.DataFrame({"class_id": class_id, "root": root, "size": len(shingles), "shingle": shingles})
+def _often(sets: DataFrame):
+    """About how many of the sets hold a shingle, in ``COUNTERS`` counters by its lower bits, as a broadcast of that size."""
+    size = COUNTERS
+
+    def counted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(size, np.int64)
+        for b in parts:
+            if len(b):
+                total += np.bincount(np.frombuffer(b"".join(b["shingles"]), np.int64) & (size - 1), minlength=size)
+        cell = np.nonzero(total)[0]
+        yield pd.DataFrame({"cell": cell, "n": total[cell]})
+
+    held = sets.select("shingles").mapInPandas(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    table = np.zeros(size, np.int64)
+    table[held["cell"].to_numpy()] = held["n"].to_numpy()
+    return sets.sparkSession.sparkContext.broadcast(table)
+
+
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """``class_id, root, size, shingle, place``: the first shingles of each set, so many that a similar set shares one.
+
+    Every set is put into the same order, rare shingles first as far as the
+    counters tell. Any order loses no pair; it only has to be the same for all.
+    """
+    often = _often(sets)
+
+    def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in parts:
+            kept = []
+            for packed_set in b["shingles"]:
+                shingles = np.frombuffer(packed_set, np.int64)
+                most = len(shingles) + percent * len(shingles) // -100 + 1
+                kept.append(shingles[np.lexsort((shingles, often.value[shingles & (len(often.value) - 1)]))[:most]])
+            n = [len(k) for k in kept]
+            if sum(n):
+                of = np.repeat(np.arange(len(b)), n)
+                place = np.concatenate([np.arange(1, k + 1) for k in n])
+                size = (b["shingles"].str.len() // 8).to_numpy()[of]
+                yield pd.DataFrame({"class_id": b["class_id"].to_numpy()[of], "root": b["root"].to_numpy()[of], "size": size, "shingle": np.concatenate(kept), "place": place})
+
+    columns = sets.select("class_id", "root", "shingles")
+    return stored(columns.mapInPandas(rows, "class_id long, root long, size long, shingle long, place long"), "rare")
 
 
 def exact_pairs(sets: DataFrame, percent: int) -> DataFrame:
@@ -221,13 +261,7 @@ def exact_pairs(sets: DataFrame, percent: int) -> DataFrame:
     Two similar sets share one of the rarest shingles of each; any order of the
     shingles gives all pairs, and the rarest first give the fewest.
     """
-    tokens = stored(sets.select("class_id", "root", "shingles").mapInPandas(_tokens, "class_id long, root long, size long, shingle long"), "tokens")
-    # A shingle of one set only needs no row: it just stands before the others.
-    often = tokens.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
-    own = Window.partitionBy("class_id")
-    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "shingle"))
-    ranked = tokens.join(often.hint("merge"), "shingle").withColumn("place", place)
-    rare = stored(ranked.filter(F.col("place") <= F.col("size") - F.ceil(percent * F.col("size") / 100) + 1).drop("n"), "rare")
+    rare = _rarest(sets, percent)
     # Per shingle, all but its most frequent root meet all, so joined classes do not meet each other.
     main = rare.groupBy("shingle", "root").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
     left = rare.join(main.hint("merge"), "shingle").filter("root != main")
