@@ -127,7 +127,8 @@ ranked AS (
 SELECT * FROM ranked WHERE rank <= 10""",
     "op3_source_mix": """
 WITH sized AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS hashed FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
          (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sized GROUP BY source),
@@ -147,7 +148,7 @@ targets AS (
   FROM stepped, level),
 rated AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-         CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496 AS u
+         CAST(CAST('0x' || substr(hashed, 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496 AS u
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source),
 taken AS (
   SELECT *, CAST(floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS copies FROM rated)

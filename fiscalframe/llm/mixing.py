@@ -2,8 +2,9 @@
 
 Tokens are summed per source, every source gets a target, and each document is
 taken floor(rate) times plus once more with probability rate - floor(rate),
-where rate = target / tokens of the source. The draw is a hash of seed and
-document id, so reruns agree.
+where rate = target / tokens of the source. The draw is a hash of seed,
+document id and text, so reruns agree, and documents without id or with a
+repeated one draw apart as long as their texts differ.
 
 Targets share all tokens by weight and stop at ``most`` times a source's own
 tokens; the excess goes to the others by weight until none is above. That is
@@ -11,8 +12,8 @@ target = min(most * size, weight * level) with one level for all sources,
 found by a few sums over the table of sources.
 
 Defined results: a null text has no tokens, documents without source form a
-source of their own, a source without tokens gets nothing. Documents that
-repeat an id share its draw.
+source of their own, a source without tokens gets nothing. Rows that repeat
+both id and text share their draw.
 """
 
 from __future__ import annotations
@@ -54,26 +55,27 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), most: i
     return sources.select("source", "source_size", target.alias("target"))
 
 
-def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) from 52 bits of a hash of seed and id."""
-    hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
-    return F.conv(F.substring(hashed, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+def draw(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) from 52 bits of a hash of seed, id and text; null counts as empty."""
+    own = F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text.cast("string"), F.lit(""))))
+    return F.conv(F.substring(F.md5(own), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def copies(target: Column, source_size: Column, doc_id: Column, seed: str = SEED) -> Column:
+def copies(target: Column, source_size: Column, drawn: Column) -> Column:
     rate = F.when(source_size > 0, target / source_size).otherwise(F.lit(0.0))
-    return (F.floor(rate) + (draw(doc_id, seed) < rate - F.floor(rate)).cast("int")).cast("long")
+    return (F.floor(rate) + (drawn < rate - F.floor(rate)).cast("int")).cast("long")
 
 
 def mixture(documents: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3, seed: str = SEED) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, copies, taken``."""
-    sized = documents.select("doc_id", F.col("source"), word_count(F.col("text")).alias("size"))
-    # The texts are read once; sizes and ids are all that is needed from here.
+    drawn = draw(F.col("doc_id"), F.col("text"), seed).alias("_drawn")
+    sized = documents.select("doc_id", F.col("source"), word_count(F.col("text")).alias("size"), drawn)
+    # The texts are read once; sizes, ids and draws are all that is needed from here.
     sized = stored(sized, "sized")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, most).withColumnRenamed("source", "_source")
     joined = sized.join(targets, F.col("source").eqNullSafe(F.col("_source")))
-    out = joined.withColumn("copies", copies(F.col("target"), F.col("source_size"), F.col("doc_id"), seed))
+    out = joined.withColumn("copies", copies(F.col("target"), F.col("source_size"), F.col("_drawn")))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
@@ -82,6 +84,6 @@ def mix(documents: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3,
     targets = source_targets(source_sizes(documents), weights, most).withColumnRenamed("source", "_source")
     rows = documents.select(packed(documents).alias("_row"))
     joined = rows.join(targets, F.col("_row")["source"].eqNullSafe(F.col("_source")))
-    n = copies(F.col("target"), F.col("source_size"), F.col("_row")["doc_id"], seed)
+    n = copies(F.col("target"), F.col("source_size"), draw(F.col("_row")["doc_id"], F.col("_row")["text"], seed))
     times = joined.select("_row", n.cast("int").alias("_n")).filter("_n > 0")
     return unpacked(times.select("_row", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")))

@@ -147,6 +147,16 @@ def test_mixture_of_odd_documents(spark, docs, nothing):
     assert mixed.count() == taken == mixing.mix(docs).count()
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_documents_without_an_id_of_their_own_come_near_their_target(spark, doc_id):
+    table = [(doc_id, f"word{i} " * 10, None, f"s{i % 4}", 0) for i in range(10_000)]
+    df = spark.createDataFrame(table, DOCS)
+    sources = df.select("source", mixing.word_count(F.col("text")).alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
+    wanted = {r.source: r.target for r in mixing.source_targets(sources).collect()}
+    got = {r.source: r.words for r in mixing.mix(df).groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("words")).collect()}
+    assert {s: got[s] == pytest.approx(t, rel=0.05) for s, t in wanted.items()} == {f"s{i}": True for i in range(4)}
+
+
 def test_targets_share_all_and_stop(spark):
     sizes = spark.createDataFrame([("a", 1000), ("b", 1), ("c", 1), ("ä", 0), (None, 500)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}

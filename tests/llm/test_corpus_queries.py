@@ -200,6 +200,6 @@ def mixed(documents, most=3):
     out = []
     for d, text, _, source in documents:
         rate = min(most * size[source], weight[source] * level) / size[source]
-        u = int(hashlib.md5(f"{mixing.SEED}:{d}".encode()).hexdigest()[:13], 16) / 2**52
+        u = int(hashlib.md5(f"{mixing.SEED}:{d}:{hashlib.md5(text.encode()).hexdigest()}".encode()).hexdigest()[:13], 16) / 2**52
         out += [(d, text)] * (int(rate) + (u < rate - int(rate)))
     return out
