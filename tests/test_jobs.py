@@ -72,3 +72,18 @@ def test_outcomes_job(spark, folder, capsys):
     log.write.json(f"{folder}/log")
     main(["outcomes", "--log", f"{folder}/log", "--format", "json", "--images", f"{folder}/images"])
     assert capsys.readouterr().out.split("\n")[:3] == ["total: 2", "successful: 1", "failed: 1"]
+
+
+def test_answers_arrive_and_the_rest_is_asked_again(spark, folder):
+    answer = json.dumps([{"item_name": "Su", "quantity": 1, "unit_price": 0.5, "line_total": 0.5}])
+    schema = "filename string, attempt int, response string"
+    text = ["--text", f"{folder}/text", "--format", "text", "--responses", f"{folder}/answers"]
+    spark.createDataFrame([("a.jpeg", 0, answer), ("b.jpeg", 0, "?")], schema).write.parquet(f"{folder}/answers")
+    main(["requests-again", *text, "--out", f"{folder}/again"])
+    assert [(json.loads(x)["filename"], json.loads(x)["attempt"]) for x in lines(folder / "again")] == [("b.jpeg", 1)]
+    keep = ["recover-new", *text, "--kept", f"{folder}/kept", "--checkpoint", f"{folder}/state"]
+    main([*keep, "--out", f"{folder}/one"])
+    assert sum(",Su,1.0,0.50,0.50," in x for x in lines(folder / "one")) == 1
+    spark.createDataFrame([("b.jpeg", 1, answer)], schema).write.mode("append").parquet(f"{folder}/answers")
+    main([*keep, "--out", f"{folder}/two"])
+    assert sum(",Su,1.0,0.50,0.50," in x for x in lines(folder / "two")) == 2
