@@ -31,6 +31,9 @@ URL_RULES = (
     ("net/fr/", "block"),
 )
 
+#: For these queries over invented data only; a real key is a secret.
+SURROGATE_KEY = b"key of the example tables"
+
 
 def topk_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_topk.pivot_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
@@ -38,7 +41,7 @@ def topk_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by surrogates."""
-    return surrogates.pseudonymized(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return surrogates.pseudonymized(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
 
 
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

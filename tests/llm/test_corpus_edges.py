@@ -96,10 +96,10 @@ def test_topk_with_few_or_no_candidates(spark):
 
 
 def test_surrogates_of_odd_documents(spark, docs, nothing):
-    out = surrogates.pseudonymized(docs)
+    out = surrogates.pseudonymized(docs, b"key")
     assert out.columns == [c for c in docs.columns if c != "n_entities"] + ["n_entities"]
     assert rows(out, "doc_id", "text") == rows(docs, "doc_id", "text")
-    assert surrogates.pseudonymized(nothing).count() == 0
+    assert surrogates.pseudonymized(nothing, b"key").count() == 0
 
 
 ENTITIES = """Mrs. Anna Kelly wrote to Mr. Tom Kelly: a.kelly@mail.example.com, A.KELLY@MAIL.EXAMPLE.COM.
@@ -109,7 +109,7 @@ DE89 3704 0044 0532 0130 00, token = "0123456789abcdef0123456789abcdef" and κα
 
 def test_surrogates_keep_kind_form_gender_and_script(spark):
     df = spark.createDataFrame([(1, ENTITIES), (2, ENTITIES)], "doc_id long, text string")
-    first, second = [r.text for r in surrogates.pseudonymized(df).collect()]
+    first, second = [r.text for r in surrogates.pseudonymized(df, b"key").collect()]
     assert first == second
     old, new = surrogates.detect(ENTITIES), surrogates.detect(first)
     assert [k for *_, k, _ in old] == [k for *_, k, _ in new]
@@ -124,11 +124,76 @@ def test_surrogates_keep_kind_form_gender_and_script(spark):
     assert pairs["name-family", "петрова"].endswith("рд") and pairs["name-female", "μαρία"].endswith("νη")
 
 
+def test_one_person_under_many_titles_is_one(spark):
+    texts = [
+        "Mrs Anna Stone left.", "Prof. Anna Stone came. Later Stone left with Anna Stone.", "Dr Anna's ANNA", "Mr Juan Carlos García de la López",
+        "Sr Carlos Vega", "Mr Robin Hill", "Mrs Robin Hill", "Stone and Anna and Robin", "Dr. Stone's report",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = [r.text for r in sorted(surrogates.pseudonymized(df, b"key").collect())]
+    anna, stone = out[0].split()[1:3]
+    assert anna.endswith("nia") and stone.endswith("rd")
+    assert out[0] == f"Mrs {anna} {stone} left."
+    assert out[1] == f"Prof. {anna} {stone} came. Later {stone} left with {anna} {stone}."
+    assert out[2] == f"Dr {anna}'s {anna.upper()}" and out[8] == f"Dr. {stone}'s report"
+    juan, carlos, garcia, lopez = (out[3].split()[i] for i in (1, 2, 3, 6))
+    assert out[3] == f"Mr {juan} {carlos} {garcia} de la {lopez}" and not {juan, carlos, garcia, lopez} & set(texts[3].split())
+    assert out[4].split()[1] == carlos
+    # Two genders tell none; a text without a title has no name to go by.
+    assert out[5].split()[1] == out[6].split()[1] and out[5].split()[1].endswith("l") and out[7] == texts[7]
+
+
+def test_surrogates_keep_case_script_and_check_digits(spark):
+    secrets = ["AbCdEfGh1234", "abcdefgh1234", "ABCDEFGH1234", "AB" * 16, "ab" * 16]
+    texts = [f"token      =     '{s}'" for s in secrets] + ["Max.Muster@Mail.org max.muster@mail.org", "٠٥٥-١٢٣-٤٥٦٧ 055-123-4567", "DE89 3704 0044 0532 0130 00"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = [r.text for r in sorted(surrogates.pseudonymized(df, b"key").collect())]
+    made = [t.split("'")[1] for t in out[:5]]
+    assert len(set(made)) == 5 and not set(made) & set(secrets)
+    case = lambda t: [(c.isupper(), c.islower(), c.isdigit()) for c in t]
+    assert [case(m) for m in made[:3]] == [case(s) for s in secrets[:3]]
+    assert set(made[3]) <= set("0123456789ABCDEF") and set(made[4]) <= set("0123456789abcdef")
+    mixed, plain = out[5].split()
+    assert mixed.lower() == plain and case(mixed) == case("Max.Muster@Mail.org") and mixed.endswith(".org")
+    native, ascii_ = out[6].split()
+    assert "".join(str(int(c)) if c.isdigit() else c for c in native) == ascii_ and all(c == "-" or "٠" <= c <= "٩" for c in native)
+    iban = out[7].replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1 and iban[:2] == "DE" and iban != texts[7].replace(" ", "")
+
+
+def test_planted_entities_are_all_replaced_and_nothing_else(spark):
+    """Brute force: texts put together from clear parts and known entities, taken apart again by the clear parts."""
+    entities = [
+        *[f"user{i}.x@mail{i % 7}.example.org" for i in range(60)], *[f"+49 (0{i}) 555-{1000 + i}" for i in range(10, 60)],
+        *[f"{100 + i}-22-{3000 + i}" for i in range(40)], *[f"10.{i}.3.{i}" for i in range(40)], *[f"4000 1234 5678 {9000 + i}" for i in range(40)],
+        *[f"{i:032x}" for i in range(2**80, 2**80 + 40)],
+    ]
+    clear = ["call ", " or write to ", "; then see ", " (page 12 of 2024). ", " costs 3.50 and "]
+    rows, planted = [], {}
+    for d in range(300):
+        chosen = [entities[(d * 7 + j * 31) % len(entities)] for j in range(d % 5)]
+        planted[d] = chosen
+        rows.append((d, "".join(c + e for c, e in zip(clear, chosen, strict=False)) + " end"))
+    made: dict[str, str] = {}
+    for r in surrogates.pseudonymized(spark.createDataFrame(rows, "doc_id long, text string"), b"key").collect():
+        assert r.n_entities == len(planted[r.doc_id]) and r.text.endswith(" end")
+        rest = r.text[:-4]
+        parts = []
+        for c in reversed(clear[: len(planted[r.doc_id])]):
+            rest, found, last = rest.rpartition(c)
+            assert found
+            parts.append(last)
+        assert rest == ""
+        for e, new in zip(planted[r.doc_id], reversed(parts), strict=True):
+            assert made.setdefault(e, new) == new and len(new) == len(e) or "." in e
+    assert len(set(made.values())) == len(made) and not set(made.values()) & set(entities)
+
+
 def test_surrogates_that_collide_draw_again(spark):
     # 90 of the 100 two-character locals there are: many draws meet, and meet real ones.
     values = [f"{c}{d}@x.org" for c in "abcdefghi" for d in range(10)]
     df = spark.createDataFrame([("email", v) for v in values], "kind string, value string")
-    made = {r.value: r.surrogate for r in surrogates.entity_map(df).collect()}
+    made = {r.value: r.surrogate for r in surrogates.entity_map(df, b"key").collect()}
     assert set(made) == set(values) and len(set(made.values())) == len(values)
     assert not set(made.values()) & set(values)
 

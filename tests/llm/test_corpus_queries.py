@@ -156,7 +156,8 @@ def test_surrogates_leave_no_entity_behind(spark, documents):
             assert r.text == texts[r.doc_id]
         for (*_, k, v), (*_, k2, v2) in zip(old, new, strict=True):
             assert k == k2 and (k2, v2) not in values
-            assert seen.setdefault((k, v), v2) == v2
+            # A name is one entity under all its titles.
+            assert seen.setdefault((k.partition("-")[0], v), v2) == v2
     assert len(set(seen.values())) == len(seen)
 
 

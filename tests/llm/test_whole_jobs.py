@@ -31,7 +31,7 @@ def test_the_filter_passes_all_that_is_detected(spark):
 def test_numbers_in_native_digits_are_replaced_alike(spark):
     number = WRITTEN[0]
     df = spark.createDataFrame([(1, f"اتصل {number}"), (2, f"اتصل {number} 7")], "doc_id long, text string")
-    one, two = sorted(surrogates.pseudonymized(df).collect())
+    one, two = sorted(surrogates.pseudonymized(df, b"key").collect())
     assert one.n_entities == two.n_entities == 1 and number not in one.text + two.text
     assert f"{one.text} 7" == two.text
 
@@ -39,7 +39,7 @@ def test_numbers_in_native_digits_are_replaced_alike(spark):
 def test_long_entities_are_found_whole():
     for n in (8, 512, 513, 5000, 1_000_000):
         value = "aB3-" * (n // 4) + "x" * (n % 4)
-        assert surrogates.detect(f'token = "{value}" end') == [(9, 9 + n, "secret", value.lower())]
+        assert surrogates.detect(f'token = "{value}" end') == [(9, 9 + n, "secret", value)]
     for n in (32, 128, 129, 4096, 1_000_000):
         assert surrogates.detect(f"id {'c' * n} end") == [(3, 3 + n, "secret", "c" * n)]
     for n in (1, 64, 65, 3000):
