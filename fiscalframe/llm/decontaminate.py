@@ -1,26 +1,36 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
 Text and items are compared in lower case with white space runs as one blank.
-An item of m characters allows e = 8 % of m edits. A region of a text that is
-within e edits shares at least (grams looked up) - q * e of the item's q-grams
-with it, all on diagonals at most e apart. So the shared q-grams are counted
-in bands of diagonals that overlap by half, bands that reach the bound are
-regions to look at, and a banded alignment counts their edits.
+Items are looked for in pieces of 128 characters that begin every 64 (a shorter
+item is one piece). A piece of m characters allows e = 8 % of m edits. A place
+in a text that is within e edits shares at least (grams looked up) - q * e of
+the piece's q-grams with it, all on diagonals at most e apart. So the shared
+q-grams are counted in bands of diagonals that overlap by half, bands that
+reach the bound are places to look at, and a banded alignment counts their
+edits.
+
+Pieces of one item that are found in its order, and as far apart as they are in
+the item, are one region; ``share`` tells how much of the item its pieces are.
+So 191 characters in a row of an item are found wherever they stand, and a
+shorter item if all of it is there.
 
 The lemma holds for any subset of an item's grams. The most frequent ones are
 left out, as far as the bound allows, so common phrases cost little.
 
 The benchmark is taken in blocks of bounded size; each is broadcast and read
-against all texts in whole. Items of more than 384 characters are looked for
-piece by piece, and pieces found next to each other are one region.
+against all texts in whole.
 
 Defined results: null texts and items match nothing, nor do items of fewer
-than q characters. Several items may claim one region. Repeated rows of
-documents are found each. Offsets count characters of the text as given.
+than q characters. Several items may claim one region. Copies behind each other are
+a region each; places of one piece that overlap are one, that with the fewest
+edits. ``edits`` counts those between a region and all of the item from its
+first piece to its last. Repeated rows of documents are found each. Offsets
+count characters of the text as given.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +43,9 @@ from fiscalframe.llm.shared import packed, unpacked
 
 Q = 8
 EDIT_RATE = 0.08
-PIECE = 384
+#: Characters of a piece, and from one piece to the next.
+PIECE = 128
+STRIDE = 64
 #: Characters of a block; more than the edits that a piece allows.
 STEP = 32
 #: Diagonals of a band, which is three cells of blocks.
@@ -45,7 +57,7 @@ SLAB = 1 << 20
 #: Shared grams that are counted at a time.
 ENTRIES = 1 << 22
 
-_REGION = "array<struct<item_id:long,start:long,end:long,edits:int>>"
+_REGION = "array<struct<item_id:long,start:long,end:long,edits:int,share:double>>"
 _SPACES = np.array([9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
 _FACTOR = 0x9E3779B97F4A7C15
 
@@ -92,6 +104,9 @@ class Index:
     """Pieces of benchmark items; the blocks of them in which each q-gram stands, in the order of its hash."""
 
     item: list
+    #: The whole item of each piece, and where it begins there.
+    whole: list[np.ndarray]
+    offset: list[int]
     pieces: list[np.ndarray]
     edits: np.ndarray
     #: How many grams a band must share with the piece.
@@ -105,14 +120,15 @@ class Index:
 
 
 def build_index(items: list[tuple[int | None, str]], edit_rate: float = EDIT_RATE) -> Index:
-    item, pieces = [], []
+    item, whole, offset, pieces = [], [], [], []
     for name, text in items:
         chars = folded(text.strip())[0]
-        n = max(1, -(-len(chars) // PIECE))
-        for part in np.array_split(chars, n):
-            if len(part) >= Q:
-                item.append(name)
-                pieces.append(part)
+        last = max(0, len(chars) - PIECE)
+        for begin in [*range(0, last, STRIDE), last] if len(chars) >= Q else ():
+            item.append(name)
+            whole.append(chars)
+            offset.append(begin)
+            pieces.append(chars[begin : begin + PIECE])
     hashes = [gram_hashes(p) for p in pieces]
     size = np.array([len(h) for h in hashes], np.int64)
     # With so many edits at least one gram is left to be shared.
@@ -133,7 +149,7 @@ def build_index(items: list[tuple[int | None, str]], edit_rate: float = EDIT_RAT
     bits = max(20, int(16 * len(grams)).bit_length())
     seen = np.zeros(1 << bits, bool)
     seen[grams >> np.uint64(64 - bits)] = True
-    return Index(item, pieces, edits, wanted - Q * edits, grams, np.append(begin, listed.shape[1]), listed[1], listed[2], seen, bits)
+    return Index(item, whole, offset, pieces, edits, wanted - Q * edits, grams, np.append(begin, listed.shape[1]), listed[1], listed[2], seen, bits)
 
 
 def candidate_bands(index: Index, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -226,8 +242,12 @@ def align(patterns: list[np.ndarray], texts: list[np.ndarray], edits: np.ndarray
     return best, end
 
 
+#: A place of a piece: first and last character in the folded text, edits, piece.
+Hit = tuple[int, int, int, int]
+
+
 def find_regions(index: Index, texts: list[str | None]) -> list[list[dict]]:
-    """For each text the regions that are benchmark items, with offsets in that text."""
+    """For each text the regions that benchmark items stand in, with offsets in that text."""
     out: list[list[dict]] = [[] for _ in texts]
     part: list[int] = []
     size = 0
@@ -236,68 +256,118 @@ def find_regions(index: Index, texts: list[str | None]) -> list[list[dict]]:
             part.append(i)
             size += len(text)
         if part and (size >= SLAB or i == len(texts) - 1):
-            _search(index, texts, part, out)
+            fold = [folded(texts[k]) for k in part]
+            for k, (chars, at), hits in zip(part, fold, _search(index, [f[0] for f in fold]), strict=True):
+                out[k] = _regions(index, hits, chars, at)
             part, size = [], 0
-    return [[{k: r[k] for k in ("item_id", "start", "end", "edits")} for r in found] for found in out]
+    return out
 
 
-def _search(index: Index, texts: list[str | None], part: list[int], out: list[list[dict]]) -> None:
-    fold = [folded(texts[i]) for i in part]
+def _search(index: Index, folds: list[np.ndarray]) -> list[list[Hit]]:
+    """For each text all places of pieces; overlapping bands find a place twice."""
+    hits: list[list[Hit]] = [[] for _ in folds]
     # A character that no item holds keeps grams from reaching over two texts.
     gap = np.full(1, 0x10FFFF, np.uint32)
-    chars = np.concatenate([x for f in fold for x in (f[0], gap)])
-    begins = np.cumsum([0, *[len(f[0]) + 1 for f in fold]])
+    chars = np.concatenate([x for f in folds for x in (f, gap)])
+    begins = np.cumsum([0, *[len(f) + 1 for f in folds]])
     if len(chars) < Q:
-        return
+        return hits
     todo = []
     for piece, diagonal in zip(*candidate_bands(index, chars), strict=True):
         pattern, slack = index.pieces[piece], index.edits[piece]
         first, last = diagonal - slack, diagonal + BAND + slack + len(pattern)
-        for k in range(max(0, np.searchsorted(begins, first, side="right") - 1), len(part)):
+        for k in range(max(0, np.searchsorted(begins, first, side="right") - 1), len(folds)):
             if begins[k] >= last:
                 break
             a, b = max(first, begins[k]), min(last, begins[k + 1] - 1)
-            if b - a >= len(pattern) - slack:
-                todo.append((piece, k, a - begins[k], fold[k][0][a - begins[k] : b - begins[k]]))
-    open_ = []
-    for piece, k, offset, region in todo:
-        pattern = index.pieces[piece]
-        # An exact copy needs no matrix.
-        at = region.tobytes().find(pattern.tobytes())
-        while at > 0 and at % 4:
-            at = region.tobytes().find(pattern.tobytes(), at + 1)
-        if at >= 0:
-            _add(index, out[part[k]], fold[k][1], piece, offset + at // 4, len(pattern), 0)
-        else:
-            open_.append((piece, k, offset, region))
-    for begin in range(0, len(open_), 64):
-        group = open_[begin : begin + 64]
-        patterns, slack = [index.pieces[g[0]] for g in group], index.edits[[g[0] for g in group]]
-        cost, end = align(patterns, [g[3] for g in group], slack)
-        held = np.nonzero(cost <= slack)[0]
-        if not len(held):
+            todo += _inexact(index, folds[k], (piece, k, a - begins[k], b - begins[k]), hits[k])
+    while todo:
+        # Next to a place that was found there may be another.
+        later = []
+        for begin in range(0, len(todo), 64):
+            group = todo[begin : begin + 64]
+            patterns, slack = [index.pieces[g[0]] for g in group], index.edits[[g[0] for g in group]]
+            stretches = [folds[k][a:b] for _, k, a, b in group]
+            cost, end = align(patterns, stretches, slack)
+            held = np.nonzero(cost <= slack)[0]
+            if not len(held):
+                continue
+            # Backwards from where it ends, the same alignment tells where it begins.
+            _, back = align([patterns[i][::-1] for i in held], [stretches[i][: end[i]][::-1][: len(patterns[i]) + slack[i]] for i in held], slack[held])
+            for i, length in zip(held, back, strict=True):
+                piece, k, a, b = group[i]
+                hits[k].append((int(a + end[i] - length), int(a + end[i]), int(cost[i]), piece))
+                later += [s for s in ((piece, k, a, a + end[i] - length), (piece, k, a + end[i], b)) if _fits(index, s)]
+        todo = later
+    return hits
+
+
+def _fits(index: Index, stretch: tuple) -> bool:
+    piece, _, a, b = stretch
+    return b - a >= max(1, len(index.pieces[piece]) - index.edits[piece])
+
+
+def _inexact(index: Index, chars: np.ndarray, stretch: tuple, hits: list[Hit]) -> list[tuple]:
+    """Notes the exact copies of a piece, which need no matrix, and returns the stretches between them."""
+    if not _fits(index, stretch):
+        return []
+    piece, k, a, b = stretch
+    pattern, region = index.pieces[piece].tobytes(), chars[a:b].tobytes()
+    left, at = [], region.find(pattern)
+    done = 0
+    while at >= 0:
+        if at % 4:
+            at = region.find(pattern, at + 1)
             continue
-        # Backwards from where it ends, the same alignment tells where it begins.
-        _, back = align([patterns[i][::-1] for i in held], [group[i][3][: end[i]][::-1][: len(patterns[i]) + slack[i]] for i in held], slack[held])
-        for i, length in zip(held, back, strict=True):
-            piece, k, offset, _ = group[i]
-            _add(index, out[part[k]], fold[k][1], piece, offset + end[i] - length, length, cost[i])
-
-
-def _add(index: Index, found: list[dict], at: np.ndarray, piece: int, start: int, length: int, edits: int) -> None:
-    region = {"item_id": index.item[piece], "start": int(at[start]), "end": int(at[start + length - 1]) + 1, "edits": int(edits), "first": piece, "last": piece}
-    # Overlapping bands find a place twice.
-    if any(r["item_id"] == region["item_id"] and r["start"] < region["end"] and region["start"] < r["end"] for r in found):
-        return
-    for r in found:
-        # Pieces of one item have numbers in a row.
-        behind = piece == r["last"] + 1 and 0 <= region["start"] - r["end"] <= STEP
-        before = piece == r["first"] - 1 and 0 <= r["start"] - region["end"] <= STEP
-        if region["item_id"] == r["item_id"] and (behind or before):
-            ends = {"start": min(r["start"], region["start"]), "end": max(r["end"], region["end"])}
-            r.update(ends, edits=r["edits"] + region["edits"], first=min(r["first"], piece), last=max(r["last"], piece))
-            return
-    found.append(region)
+        hits.append((int(a + at // 4), int(a + (at + len(pattern)) // 4), 0, piece))
+        left.append((piece, k, a + done, a + at // 4))
+        done = (at + len(pattern)) // 4
+        at = region.find(pattern, 4 * done)
+    return [s for s in (*left, (piece, k, a + done, b)) if _fits(index, s)]
+
+
+def _regions(index: Index, hits: list[Hit], chars: np.ndarray, at: np.ndarray) -> list[dict]:
+    """Places put together: one of those that overlap for each piece, then chains of pieces."""
+    taken: dict[int, list[tuple[int, int]]] = {}
+    places = []
+    for start, end, edits, piece in sorted(set(hits), key=lambda h: (h[2], h[0], -h[1], h[3])):
+        held = taken.setdefault(piece, [])
+        i = bisect_left(held, (start, end))
+        if (i == 0 or held[i - 1][1] <= start) and (i == len(held) or held[i][0] >= end):
+            held.insert(i, (start, end))
+            places.append((index.item[piece], start, index.offset[piece], end, edits, piece))
+    found: list[dict] = []
+    chains: dict[int | None, list[dict]] = {}
+    for item, start, offset, end, edits, piece in sorted(places, key=lambda p: (p[0] is None, p[0] or 0, *p[1:])):
+        open_ = chains[item] = [c for c in chains.get(item, ()) if start - c["end"] <= PIECE]
+        width = len(index.pieces[piece])
+        for c in open_:
+            if offset > c["offset"] and abs((start - c["last"]) - (offset - c["offset"])) <= STEP:
+                c["covered"] += min(width, offset + width - c["upto"])
+                c["drift"] = max(c["drift"], abs((start - c["start"]) - (offset - c["first"])))
+                c.update(end=max(c["end"], end), last=start, offset=offset, upto=offset + width, edits=None)
+                break
+        else:
+            c = {"item": item, "start": start, "end": end, "last": start, "first": offset, "offset": offset, "upto": offset + width, "covered": width, "edits": edits, "drift": 0, "whole": index.whole[piece]}
+            open_.append(c)
+            found.append(c)
+    for c in found:
+        if c["edits"] is None:
+            c["start"], c["end"], c["edits"] = _aligned(c["whole"][c["first"] : c["upto"]], chars, c["start"], c["end"], c["drift"])
+    return [
+        {"item_id": c["item"], "start": int(at[c["start"]]), "end": int(at[c["end"] - 1]) + 1, "edits": c["edits"], "share": c["covered"] / len(c["whole"])}
+        for c in found
+    ]
+
+
+def _aligned(pattern: np.ndarray, chars: np.ndarray, start: int, end: int, drift: int) -> tuple[int, int, int]:
+    """Where a chain of pieces begins and ends, and its edits, in a band that holds the diagonals of all of them."""
+    if np.array_equal(pattern, chars[start:end]):
+        return start, end, 0
+    slack = np.array([drift + 2 * STEP])
+    cost, stop = align([pattern], [chars[start:end]], slack)
+    _, length = align([pattern[::-1]], [chars[start : start + stop[0]][::-1]], slack)
+    return int(start + stop[0] - length[0]), int(start + stop[0]), int(cost[0])
 
 
 def benchmark_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[Index]:
@@ -321,12 +391,12 @@ def _finder(documents: DataFrame, index: Index):
 
 
 def leaked_regions(documents: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id, item_id, start, end, edits``: every region of a document that is a benchmark item."""
+    """``doc_id, item_id, start, end, edits, share``: every region of a document that a benchmark item stands in."""
     rows = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     out = None
     for index in benchmark_blocks(benchmark):
         found = rows.select("doc_id", F.explode(_finder(rows, index)("text")).alias("r"))
-        found = found.select("doc_id", "r.item_id", "r.start", "r.end", "r.edits")
+        found = found.select("doc_id", "r.item_id", "r.start", "r.end", "r.edits", "r.share")
         out = found if out is None else out.unionByName(found)
     return out
 

@@ -84,6 +84,21 @@ def test_topk_of_odd_vectors(spark):
     assert sorted(tuple(r) for r in got.collect()) == brute_topk(vectors)
 
 
+def test_topk_of_large_components_is_exact(spark):
+    rng = random.Random(11)
+    # Sums beyond 2**53 that differ by less than a float can tell, next to one component of 1e9.
+    vectors = [(i, [2.0**10, 2.0**10 - rng.randint(0, 3), rng.randint(-500, 500) / 1024]) for i in range(300)]
+    vectors += [(300, [1e9, 0.0, 1 / 1024]), (301, [0.0, 3e6]), (302, [-1.0, 1.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = pivot_topk.pivot_topk(df, F.col("vec_id") % 100 == 0)
+    whole = {i: [int(1024 * x // 1) for x in v] for i, v in vectors}
+    expected = []
+    for q in (0, 100, 200, 300):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=False)), i) for i, v in whole.items() if i != q)
+        expected += [(q, r, i, -s) for r, (s, i) in enumerate(scores[:10], 1)]
+    assert sorted(tuple(r) for r in got.collect()) == expected
+
+
 def test_topk_with_few_or_no_candidates(spark):
     few = [(0, [1.0]), (1, [2.0]), (2, [3.0])]
     df = spark.createDataFrame([(i, v, 0, "", "", "") for i, v in few], VECTORS)
@@ -309,6 +324,54 @@ def test_leaks_in_odd_documents(spark, docs, nothing):
     assert decontaminate.leaked_regions(docs, items.limit(0)).count() == 0 and decontaminate.decontaminated(docs, items.limit(0)).count() == len(ODD)
 
 
+def semi_global(pattern, text):
+    """Least edits of the pattern anywhere in the text, by the plain matrix."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(pattern, 1):
+        above, row = row, [i]
+        for j, y in enumerate(text, 1):
+            row.append(min(above[j - 1] + (x != y), above[j] + 1, row[-1] + 1))
+    return min(row)
+
+
+def test_leaks_of_short_items_equal_brute_force_over_edits():
+    rng = random.Random(61)
+    items = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(40, 120))).strip() for _ in range(12)]
+    items = [" ".join(t.split()) for t in items]
+    index = decontaminate.build_index(list(enumerate(items)))
+    texts = []
+    for item in items * 3:
+        edited = list(item)
+        for _ in range(rng.randint(0, 14)):
+            at = rng.randrange(len(edited))
+            edited[at : at + 1] = rng.choice(([], ["#"], [edited[at], "#"]))
+        texts.append("zzz " + "".join(edited) + " yyy")
+    caught = 0
+    for text, found in zip(texts, decontaminate.find_regions(index, texts), strict=True):
+        expected = {i for i, item in enumerate(items) if semi_global(item, text) <= index.edits[index.item.index(i)]}
+        assert {r["item_id"] for r in found} == expected
+        for r in found:
+            assert r["share"] == 1 and semi_global(items[r["item_id"]], text) == r["edits"]
+        caught += bool(expected)
+    assert 0 < caught < len(texts)
+
+
+def test_leaked_parts_and_repeated_copies_are_regions():
+    rng = random.Random(62)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+    long_, middle, short = words(165), words(50) + ".", "twenty-two characters."
+    index = decontaminate.build_index([(1, long_), (2, middle), (3, short)])
+    edited = long_[:570] + "#" + long_[571:580] + "#" + long_[581:]
+    texts = ["before " + edited + " behind", " x ".join([short] * 4), words(20) + " " + middle[40:320] + " " + words(20), middle + middle, words(300)]
+    one, four, part, twice, none = decontaminate.find_regions(index, texts)
+    assert [(r["start"], r["end"], r["edits"], r["share"]) for r in one] == [(7, 7 + len(long_), 2, 1)]
+    assert [(r["start"], r["end"]) for r in four] == [(25 * i, 25 * i + 22) for i in range(4)]
+    assert len(part) == 1 and part[0]["item_id"] == 2 and 0.5 < part[0]["share"] < 0.9
+    assert [(r["start"], r["end"], r["share"]) for r in twice] == [(0, 350, 1), (350, 700, 1)] and none == []
+    # Any 191 characters hold a piece, wherever they begin.
+    assert all(decontaminate.find_regions(index, [long_[i : i + 191] for i in range(0, len(long_) - 191, 31)]))
+
+
 def test_leaks_with_edits_and_in_blocks(spark, monkeypatch):
     rng = random.Random(6)
     letters = "abcdefghijklmnopqrstuvwxyz     "
