@@ -273,6 +273,8 @@ def _search(index: Index, folds: list[np.ndarray]) -> list[list[Hit]]:
     if len(chars) < Q:
         return hits
     todo = []
+    # Bands of a piece come in order; nothing that overlaps an exact copy of it is kept beside that.
+    copied: dict[tuple[int, int], int] = {}
     for piece, diagonal in zip(*candidate_bands(index, chars), strict=True):
         pattern, slack = index.pieces[piece], index.edits[piece]
         first, last = diagonal - slack, diagonal + BAND + slack + len(pattern)
@@ -280,7 +282,12 @@ def _search(index: Index, folds: list[np.ndarray]) -> list[list[Hit]]:
             if begins[k] >= last:
                 break
             a, b = max(first, begins[k]), min(last, begins[k + 1] - 1)
-            todo += _inexact(index, folds[k], (piece, k, a - begins[k], b - begins[k]), hits[k])
+            stretch = (piece, k, max(a - begins[k], copied.get((piece, k), 0)), b - begins[k])
+            if _fits(index, stretch):
+                known = len(hits[k])
+                todo += _inexact(index, folds[k], stretch, hits[k])
+                if len(hits[k]) > known:
+                    copied[piece, k] = hits[k][-1][1]
     while todo:
         # Next to a place that was found there may be another.
         later = []
@@ -309,8 +316,6 @@ def _fits(index: Index, stretch: tuple) -> bool:
 
 def _inexact(index: Index, chars: np.ndarray, stretch: tuple, hits: list[Hit]) -> list[tuple]:
     """Notes the exact copies of a piece, which need no matrix, and returns the stretches between them."""
-    if not _fits(index, stretch):
-        return []
     piece, k, a, b = stretch
     pattern, region = index.pieces[piece].tobytes(), chars[a:b].tobytes()
     left, at = [], region.find(pattern)
@@ -331,10 +336,7 @@ def _regions(index: Index, hits: list[Hit], chars: np.ndarray, at: np.ndarray) -
     taken: dict[int, list[tuple[int, int]]] = {}
     places = []
     for start, end, edits, piece in sorted(set(hits), key=lambda h: (h[2], h[0], -h[1], h[3])):
-        held = taken.setdefault(piece, [])
-        i = bisect_left(held, (start, end))
-        if (i == 0 or held[i - 1][1] <= start) and (i == len(held) or held[i][0] >= end):
-            held.insert(i, (start, end))
+        if _free(taken.setdefault(piece, []), start, end):
             places.append((index.item[piece], start, index.offset[piece], end, edits, piece))
     found: list[dict] = []
     chains: dict[int | None, list[dict]] = {}
@@ -351,15 +353,29 @@ def _regions(index: Index, hits: list[Hit], chars: np.ndarray, at: np.ndarray) -
             c = {"item": item, "start": start, "end": end, "last": start, "first": offset, "offset": offset, "upto": offset + width, "covered": width, "edits": edits, "drift": 0, "whole": index.whole[piece]}
             open_.append(c)
             found.append(c)
+    # Chains of one item whose middles overlap are one, that with the most pieces: a periodic text has many.
+    middles: dict[int | None, list[tuple[int, int]]] = {}
+    quarter = lambda c: (c["end"] - c["start"]) // 4
+    found.sort(key=lambda c: (-c["covered"], c["start"]))
+    found = [c for c in found if _free(middles.setdefault(c["item"], []), c["start"] + quarter(c), c["end"] - quarter(c))]
     for c in found:
         if c["edits"] is None:
             c["start"], c["end"], c["edits"] = _aligned(c["whole"][c["first"] : c["upto"]], chars, c["start"], c["end"], c["drift"])
     return [
         {"item_id": c["item"], "start": int(at[c["start"]]), "end": int(at[c["end"] - 1]) + 1, "edits": c["edits"], "share": c["covered"] / len(c["whole"])}
-        for c in found
+        for c in sorted(found, key=lambda c: (c["start"], c["end"]))
     ]
 
 
+def _free(held: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether nothing held overlaps; if so it is held, too."""
+    i = bisect_left(held, (start, end))
+    free = (i == 0 or held[i - 1][1] <= start) and (i == len(held) or held[i][0] >= end)
+    if free:
+        held.insert(i, (start, end))
+    return free
+
+
 def _aligned(pattern: np.ndarray, chars: np.ndarray, start: int, end: int, drift: int) -> tuple[int, int, int]:
     """Where a chain of pieces begins and ends, and its edits, in a band that holds the diagonals of all of them."""
     if np.array_equal(pattern, chars[start:end]):
