@@ -287,6 +287,8 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     ``component_id`` is the smallest id reachable over links of at least
     ``percent``; ``root`` names the component even where ids are missing.
     """
+    if percent < 80:
+        raise ValueError(f"the forest and the sketch are laid out for 80 percent or more, not {percent}")
     rows = stored(shingled(documents, words), "shingled")
     # The first document by id stands for a class; the ones without id come last.
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash"))

@@ -4,6 +4,7 @@ import random
 import sys
 import time
 
+import pytest
 import regex
 from pyspark.sql import functions as F
 
@@ -100,3 +101,12 @@ def test_versions_of_a_template_whose_hub_is_far(spark):
     for partitions in (1, 7):
         got = lsh_forest.near_duplicates(df.repartition(partitions), words=4).collect()
         assert {r.doc_id: r.component_id for r in got} == expected
+
+
+def test_lower_similarities_are_refused(spark):
+    """Below 80 percent the sketch would lose links without a word."""
+    df = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="80 percent"):
+        lsh_forest.near_duplicates(df, percent=79)
+    with pytest.raises(ValueError, match="80 percent"):
+        lsh_forest.drop_near_copies(df, percent=60)
