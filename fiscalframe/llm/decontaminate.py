@@ -55,7 +55,7 @@ BLOCK_CHARS = 2 << 20
 #: Characters of texts that are worked on at a time; a longer text is a batch of its own.
 SLAB = 1 << 20
 #: Shared grams that are counted at a time.
-ENTRIES = 1 << 22
+ENTRIES = 1 << 20
 
 _REGION = "array<struct<item_id:long,start:long,end:long,edits:int,share:double>>"
 _SPACES = np.array([9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
