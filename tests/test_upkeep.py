@@ -7,6 +7,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from fiscalframe.catalog import receipts as receipt_queries
 from fiscalframe.functions.html import decode_entities, form_token, html_attr
 from fiscalframe.operators.worklist import fetch_worklist
 from fiscalframe.schema import conform
@@ -128,6 +129,22 @@ def test_a_run_that_is_killed_is_made_good(spark, tmp_path, monkeypatch):
     assert finished_dates(spark, path).agg(F.sum("n_rows")).first()[0] == 60
 
 
+def test_receipts_written_three_times_are_parsed_once(spark, tmp_path, monkeypatch):
+    orders = "1L o_orderkey, 1L o_custkey, 'P' o_orderstatus, 2.5D o_totalprice, timestamp_ntz'2024-02-01' o_orderdate, '1-URGENT' o_orderpriority"
+    for i in range(1, 5):
+        spark.sql(f"SELECT {orders}").withColumn("o_orderkey", F.lit(i).cast("long")).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    plans = []
+
+    def rewritten(df, path, by_month=False):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        rewrite_changed_dates(df, path, by_month)
+
+    monkeypatch.setattr(receipt_queries, "rewrite_changed_dates", rewritten)
+    days = receipt_queries.sale_dates_rerun(spark, str(tmp_path)).collect()
+    assert len(plans) == 3 and not any("regexp" in p for p in plans)
+    assert [(r["n_rows"], r["run"]) for r in days] == [(10, 1)]
+
+
 HIDDEN = [
     ('<!-- <meta charset="a"> --><meta charset="b">', "b"),
     ('<!--><meta charset="a">', "a"),
