@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fiscalframe.fixtures.slips import order_key
@@ -66,16 +66,23 @@ def image_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.filter(is_image(F.col("filename")))
 
 
-#: Customers that share a listed file.
-_PER_FILE = 20
+#: Customers that share a listed file, and files that a task writes in a row.
+_PER_FILE, _RUN = 20, 10
 
 
 def listed_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of a bounded number of customers with three endings, a folder per nation, and what a listing of them finds."""
     path = scratch_path(spark, "images")
-    names = table(spark, sf_dir, "customer").select("c_nationkey", "c_name").repartition("c_nationkey")
+    number = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_name")) - 1
+    runs = table(spark, sf_dir, "customer").select("c_nationkey", "c_name", F.floor(number / (_PER_FILE * _RUN)).alias("run"))
+    # All runs but a nation's last fill their files, so it has as many files however they are dealt out.
+    # The number keeps adaptive execution from giving them to few tasks: the rows are small, the files many.
+    tasks = max(8, 4 * spark.sparkContext.defaultParallelism)
+    names = runs.repartition(tasks, "c_nationkey", "run").drop("run")
     for ending in ("jpg", "png", "gif"):
         small = names.write.mode("append").partitionBy("c_nationkey").option("maxRecordsPerFile", _PER_FILE)
+        # Tasks put their files in place themselves, not the driver one by one.
+        small = small.option("mapreduce.fileoutputcommitter.algorithm.version", 2)
         small.option("extension", ending).csv(path)
     found = list_folders(spark, folders(spark, path))
     key = F.regexp_extract("path", r"c_nationkey=(\d+)/", 1).cast("int").alias("nation")

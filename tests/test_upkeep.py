@@ -1,12 +1,16 @@
 """Tables that are kept up to date: present files, listings, dates written again; and pages cut into tokens."""
 
+import glob
+import os
 import random
+import re
 import time
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from fiscalframe.catalog import collecting
 from fiscalframe.catalog import receipts as receipt_queries
 from fiscalframe.functions.html import decode_entities, form_token, html_attr
 from fiscalframe.operators.worklist import fetch_worklist
@@ -145,6 +149,18 @@ def test_receipts_written_three_times_are_parsed_once(spark, tmp_path, monkeypat
     assert [(r["n_rows"], r["run"]) for r in days] == [(10, 1)]
 
 
+def test_listed_files_are_written_by_many_tasks(spark, tmp_path):
+    customers = spark.range(1_010).select(F.lit(3).alias("c_nationkey"), F.col("id").cast("string").alias("c_name"))
+    customers.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    before = len(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/images-*"))
+    found = collecting.listed_images(spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in found) == [(3, ending, 51) for ending in ("jpg", "png")]
+    written = glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/images-*")
+    newest = max(written, key=os.path.getmtime)
+    tasks = {re.search(r"part-(\d+)-", f).group(1) for f in glob.glob(f"{newest}/c_nationkey=3/*jpg")}
+    assert len(written) == before + 1 and len(tasks) > 1
+
+
 HIDDEN = [
     ('<!-- <meta charset="a"> --><meta charset="b">', "b"),
     ('<!--><meta charset="a">', "a"),
