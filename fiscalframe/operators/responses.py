@@ -191,14 +191,14 @@ def _read_leniently(array: Column) -> Column:
     If for more than that, every brace-free object that names an item and
     parses on its own.
     """
-    salvaged = F.regexp_extract_all(array, F.lit(ITEM_OBJECT), F.lit(0))
-    both = F.transform(F.array(array_elements(array), salvaged), lambda texts: F.transform(texts, _lenient_value))
+    # Looked for only where the elements do not do, as most of the work lies in reading them.
+    salvaged = F.transform(F.regexp_extract_all(array, F.lit(ITEM_OBJECT), F.lit(0)), _lenient_value)
 
     def choose(read: Column) -> Column:
-        whole = read[0].isNotNull() & ~F.exists(read[0], lambda v: v.isNull())
-        return F.when(whole, _found(F.lit(True), read[0])).otherwise(_found(F.lit(False), F.filter(read[1], lambda v: v.isNotNull())))
+        whole = read.isNotNull() & ~F.exists(read, lambda v: v.isNull())
+        return F.when(whole, _found(F.lit(True), read)).otherwise(_found(F.lit(False), F.filter(salvaged, lambda v: v.isNotNull())))
 
-    return let(both, choose)
+    return let(F.transform(array_elements(array), _lenient_value), choose)
 
 
 def _objects(response: Column, body: Callable[[Column, Column], Column]) -> Column:
@@ -219,6 +219,11 @@ def _objects(response: Column, body: Callable[[Column, Column], Column]) -> Colu
     return let(array_text(response), lambda array: F.when(array.isNotNull(), recover(array)))
 
 
+def _valid_items(whole: Column, objects: Column, raw: bool) -> Column:
+    once = validate_items(F.transform(objects, _read_item(raw)), raw)
+    return let(once, lambda o: F.when(whole, o).otherwise(validate_items(o, raw)))
+
+
 def items_from_response(response: Column, columns: Sequence[str] = COLUMNS) -> Column:
     """ARRAY of validated items of one response; NULL if it holds no array.
 
@@ -226,12 +231,7 @@ def items_from_response(response: Column, columns: Sequence[str] = COLUMNS) -> C
     Items carry what ``item_value`` needs for the given columns, no more.
     """
     raw = bool(set(columns) - {"item_name", *NUMBERS})
-
-    def items(whole: Column, objects: Column) -> Column:
-        once = validate_items(F.transform(objects, _read_item(raw)), raw)
-        return let(once, lambda o: F.when(whole, o).otherwise(validate_items(o, raw)))
-
-    return _objects(response, items)
+    return _objects(response, lambda whole, objects: _valid_items(whole, objects, raw))
 
 
 def _reason(item: Column) -> Column:
@@ -254,9 +254,14 @@ def attempt_outcomes(responses: DataFrame) -> DataFrame:
     ``ok`` and ``salvaged`` gave items; ``no_array``, ``broken`` (not valid
     JSON, and nothing could be salvaged) and ``no_valid_item`` did not.
     """
-    kinds = _objects(F.col("response"), lambda whole, objects: F.when(whole, "whole").otherwise("broken"))
-    n = F.coalesce(F.size(items_from_response(F.col("response"), NUMBERS)), F.lit(0))
-    judged = responses.select("filename", "attempt", kinds.alias("_kind"), F.greatest(n, F.lit(0)).alias("n_items"))
+    def judge(whole: Column, objects: Column) -> Column:
+        n = F.coalesce(F.size(_valid_items(whole, objects, raw=False)), F.lit(0))
+        return F.struct(F.when(whole, "whole").otherwise("broken").alias("kind"), F.greatest(n, F.lit(0)).alias("n"))
+
+    # One reading of the answer for both; NULL if it holds no array.
+    read = responses.select("filename", "attempt", _objects(F.col("response"), judge).alias("_read"))
+    n_items = F.coalesce(F.col("_read.n"), F.lit(0)).alias("n_items")
+    judged = read.select("filename", "attempt", F.col("_read.kind").alias("_kind"), n_items)
     outcome = (
         F.when(F.col("_kind").isNull(), "no_array")
         .when(F.col("n_items") > 0, F.when(F.col("_kind") == "whole", "ok").otherwise("salvaged"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fiscalframe.operators.repair import repair
 from fiscalframe.operators.requests import build_requests, next_requests
 from fiscalframe.operators.responses import (
+    _END,
     _is_whole,
     _parsed,
     _read_leniently,
@@ -218,6 +219,19 @@ def test_outcomes_and_rejected_items(spark):
     assert reasons == [(1, "item_name missing"), (2, "not an object"), (3, "quantity unreadable"), (4, "unit_price missing")]
 
 
+def test_outcomes_read_each_answer_once(spark):
+    answers = spark.createDataFrame([("a", 0, "[]")], "filename string, attempt int, response string")
+    marks = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count(_END)
+    assert marks(attempt_outcomes(answers)) == marks(answers.select(items_from_response(F.col("response"), SHOWN).alias("items"))) > 0
+
+
+def test_salvage_is_left_out_where_elements_do(spark):
+    answers = spark.createDataFrame([("[]",)], "array string")
+    plan = answers.select(_read_leniently(F.col("array")).alias("read"))._jdf.queryExecution().optimizedPlan().toString()
+    # Not a part of what is worked out for every answer, but behind the test of its elements.
+    assert plan.index("CASE WHEN (isnotnull(lambda") < plan.index('[^{}]*"item_name"')
+
+
 def test_other_fields(spark):
     given = {
         "subtotal": "N/A",
