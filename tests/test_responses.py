@@ -433,3 +433,28 @@ def test_long_broken_answers_stay_linear(column):
     assert column(array_text(braces)) is None
     torn = F.concat(F.lit("["), F.repeat(F.lit('{"item_name": "x", '), 50000))
     assert column(F.size(items_from_response(torn))) == 0
+
+
+def test_only_chosen_answers_are_validated(spark):
+    """The choice carries objects as they came; rows equal what ``items_from_response`` gives for the chosen answer."""
+    from fiscalframe.operators.responses import first_good_answer
+    from fiscalframe.schema import NUMBERS
+
+    good = '[{"item_name": "null", "quantity": 1, "unit_price": 1, "line_total": 1}, {"item_name": "\\"Su\\"", "quantity": "2000", "unit_price": true, "line_total": " 2.0 ", "store_name": true, "subtotal": 0}, 7, null]'
+    torn = '[{"item_name": "ƏDV: 1 Çay", "quantity": 1500000, "unit_price": 1, "line_total": 1500}, {"item_name": "k'
+    texts = {"whole": good, "torn": torn, "bare": '{"item_name": "Su"}', "empty": "[]", "none": None, "unusable": '[{"item_name": 5, "quantity": 1, "unit_price": 1, "line_total": 1}]'}
+    later = [(name, 1, torn) for name in ("bare", "unusable")]
+    answers = spark.createDataFrame([(name, 0, t) for name, t in texts.items()] + later, "filename string, attempt int, response string")
+    receipts = spark.createDataFrame([(name,) for name in (*texts, "not asked")], "filename string")
+    out = recover_receipts(receipts, answers)
+    assert first_good_answer(answers).schema["objects"].dataType.simpleString() == "array<variant>"
+    chosen = {"whole": good, "torn": torn, "bare": torn, "unusable": torn}
+    given = spark.createDataFrame(list(chosen.items()), "f string, response string")
+    columns = ("item_name", *NUMBERS, "store_name", "subtotal", "date")
+    items = given.select("f", F.posexplode(items_from_response(F.col("response"))).alias("n", "i"))
+    expected = items.select("f", "n", *[item_value(F.col("i"), c).alias(c) for c in columns], "i.repair", "i.suspicious_quantity", "i.high_price")
+    shown = ("source_filename", "line_no", *columns, "repair", "suspicious_quantity", "high_price")
+    got = [tuple(r) for r in out.filter("error is null").select(*shown).collect()]
+    assert sorted(got, key=repr) == sorted([tuple(r) for r in expected.collect()], key=repr) and len(got) == 4
+    failed = {tuple(r) for r in out.filter("error is not null").select("source_filename", "filename", "cash_payment", "repair").collect()}
+    assert failed == {(n, n, "0.00", None) for n in ("empty", "none", "not asked")}
