@@ -311,6 +311,24 @@ def test_many_versions_of_a_line(spark):
     assert {r.doc_id: r.kept for r in line_dedup.kept_lines(df).collect()} == expected
 
 
+def test_pairs_of_a_family_that_is_not_near(spark, monkeypatch):
+    """Versions that share two thirds of their words are told apart before their words are compared."""
+    rng, kept = random.Random(7), {}
+    base = [f"w{i}" for i in range(100)]
+    lines = []
+    for i in range(150):
+        at = set(rng.sample(range(100), 10))
+        lines.append(" ".join(f"v{i}.{j}" if j in at else w for j, w in enumerate(base)))
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    plain = line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda out, label: kept.setdefault(label, plain(out, label)))
+    got = {r.doc_id: r.n_kept for r in line_dedup.kept_lines(df).collect()}
+    sets = [set(line.split()) for line in lines]
+    near = [[i for i in range(j) if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j]))] for j in range(150)]
+    assert got == {j: int(not before) for j, before in enumerate(near)}
+    assert kept["pairs"].count() <= 150 * 149 // 2 // 5
+
+
 # --- 6 -----------------------------------------------------------------------
 
 
