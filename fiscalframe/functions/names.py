@@ -22,6 +22,8 @@ QUOTES = "[\"']"
 # Taking the prefixes away one after another is the same as matching them as a
 # chain of optional parts, in one pass.
 NAME_START = "".join(f"(?:{prefix})?" for prefix in ITEM_PREFIXES)
+# What a prefix or a quote starts with; other names are no match at their start, which is cheaper than an empty one.
+NAME_MARK = "(?=[vƏT\"'])"
 
 
 def clean_item_name(name: Column, quote_runs: bool = False) -> Column:

@@ -12,11 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscalframe.functions.names import NAME_START, QUOTES, is_item_line
-from fiscalframe.functions.text import INLINE_SPACE, capture, let, strip
+from fiscalframe.functions.names import NAME_MARK, NAME_START, QUOTES, TAX_NOTE
+from fiscalframe.functions.text import INLINE_SPACE, capture, let, runs
 
 # The block's first line and the lines that end it.
-ITEM_BLOCK = r"Məhsulun adı\s+Say\s+Qiymət\s+Cəmi\s*\n(.*?)(?=\n-+\s*\nCəmi|\nCəmi\s+\d+\.\d{2})"
+ITEM_BLOCK = r"Məhsulun adı\s+Say\s+Qiymət\s+Cəmi\s*\n(.*?)\n(?:-+\s*\nCəmi|Cəmi\s+\d+\.\d{2})"
 
 NO_ITEMS = "Item parsing failed"
 NO_TEXT = "Text missing"
@@ -25,20 +25,21 @@ NO_TEXT = "Text missing"
 # two lines were joined.
 _BAR, _JOINT = "\ufdd0", "\ufdd1"
 
-_H = INLINE_SPACE
+# The walk reads blocks whose inline white space is collapsed to single blanks:
+# a character is quicker to test than a class, and fewer ways have to be tried.
 _N = r"([\d.]+)"
 _STEPS = (
     # name (unit) quantity price total; the unit holds no closing bracket, so it
     # opens behind the last but one, if there is one
-    rf"((?:[^\n]*\)|[^\n])[^()\n]*?){_H}*\([^)\n]+\){_H}+{_N}{_H}+{_N}{_H}+{_N}$",
+    rf"(?=[^\n(]*+\()((?:[^\n]*\)|[^\n])[^()\n]*?) ?\([^)\n]+\) {_N} {_N} {_N}$",
     # name quantity price total
-    rf"([^\n]+?){_H}+{_N}{_H}+{_N}{_H}+{_N}$",
+    rf"([^\n]+?) {_N} {_N} {_N}$",
     # The same over two lines: torn inside or behind the name, ...
-    rf"([^\n]+)\n(?:([^\n]+?){_H}+)?{_N}{_H}+{_N}{_H}+{_N}$",
+    rf"([^\n]+)\n(?:([^\n]+?) )?{_N} {_N} {_N}$",
     # ... before the price, ...
-    rf"([^\n]+?){_H}+{_N}\n{_N}{_H}+{_N}$",
+    rf"([^\n]+?) {_N}\n{_N} {_N}$",
     # ... or before the total.
-    rf"([^\n]+?){_H}+{_N}{_H}+{_N}\n{_N}$",
+    rf"([^\n]+?) {_N} {_N}\n{_N}$",
     # Anything else.
     r"[^\n]+$",
 )
@@ -46,38 +47,43 @@ _STEPS = (
 _AS_PARTS = _BAR.join((f"$1$5$9$14$18{_JOINT}$10", "$2$6$11$15$19", "$3$7$12$16$20", "$4$8$13$17$21"))
 
 
-def item_lines(text: Column) -> Column:
-    """Stripped lines of the item block without blank lines and tax notes."""
-    block = capture(text, ITEM_BLOCK, flags="msdU")
+def _collapsed(block: Column) -> Column:
     for mark in (_BAR, _JOINT):
         block = F.replace(block, F.lit(mark), F.lit(""))
-    return F.filter(F.transform(F.split(block, "\n"), strip), is_item_line)
+    return F.regexp_replace(block, f"(?dU){runs(INLINE_SPACE)}", " ")
 
 
-def _steps(lines: Column) -> Column:
-    """One line per step, with item names cleaned except for white space at their ends."""
-    walked = F.regexp_replace(F.array_join(lines, "\n"), f"(?mdU)^(?:{'|'.join(_STEPS)})", _AS_PARTS)
+def item_block(text: Column) -> Column:
+    """The stripped lines of the item block without tax notes, white space collapsed; a blank line can only stand at either end."""
+    block = F.concat(F.lit("\n"), _collapsed(capture(text, ITEM_BLOCK, flags="msdU")), F.lit("\n"))
+    for around in (" \n", "\n "):
+        block = F.replace(block, F.lit(around), F.lit("\n"))
+    return F.regexp_replace(F.regexp_replace(block, rf"(?d)\n\Q{TAX_NOTE}\E[^\n]*+", ""), r"\n\n+", "\n")
+
+
+def _steps(block: Column) -> Column:
+    """One line per step, with item names cleaned except for blanks at their ends."""
+    walked = F.regexp_replace(block, f"(?mdU)^(?:{'|'.join(_STEPS)})", _AS_PARTS)
     # A joint at the end of a name joins nothing.
     joined = F.replace(F.replace(walked, F.lit(_JOINT + _BAR), F.lit(_BAR)), F.lit(_JOINT), F.lit(" "))
-    unprefixed = F.regexp_replace(joined, rf"(?mdU)^{NAME_START}{QUOTES}?|{QUOTES}(?={_BAR})", "")
-    return F.regexp_replace(unprefixed, rf"(?dU){_H}+", " ")
+    return F.regexp_replace(joined, rf"(?mdU)^{NAME_MARK}{NAME_START}{QUOTES}?|{QUOTES}(?={_BAR})", "")
 
 
 def _unreadable(item: Column) -> Column:
     return item["quantity"].isNull() | item["unit_price"].isNull() | item["line_total"].isNull()
 
 
-def items_from_lines(lines: Column) -> Column:
-    """ARRAY of (item_name, quantity, unit_price, line_total) in line order.
+def items_from_block(block: Column) -> Column:
+    """ARRAY of (item_name, quantity, unit_price, line_total) in line order, from collapsed lines.
 
     The first number that cannot be read (``1.2.3``) ends the receipt's list;
     items before it stay. Items whose cleaned name is empty are left out.
     """
-    parts = F.transform(F.split(_steps(lines), "\n"), lambda step: F.split(step, _BAR))
+    parts = F.transform(F.split(_steps(block), "\n"), lambda step: F.split(step, _BAR))
 
     def read(p: Column) -> Column:
         numbers = [p[i + 1].try_cast("double").alias(n) for i, n in enumerate(("quantity", "unit_price", "line_total"))]
-        return F.struct(strip(p[0]).alias("item_name"), *numbers)
+        return F.struct(F.trim(p[0]).alias("item_name"), *numbers)
 
     def up_to_first_bad(items: Column) -> Column:
         first_bad = F.array_position(F.transform(items, _unreadable), F.lit(True))
@@ -87,8 +93,13 @@ def items_from_lines(lines: Column) -> Column:
     return let(F.transform(F.filter(parts, lambda p: F.get(p, F.lit(1)) != ""), read), up_to_first_bad)
 
 
+def items_from_lines(lines: Column) -> Column:
+    """The same from an array of stripped lines."""
+    return items_from_block(_collapsed(F.array_join(lines, "\n")))
+
+
 def items_from_text(text: Column) -> Column:
-    return items_from_lines(item_lines(text))
+    return items_from_block(item_block(text))
 
 
 def explode_items(df: DataFrame, text: str = "text") -> DataFrame:
