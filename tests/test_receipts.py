@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fiscalframe.functions.text import collapse, strip
 from fiscalframe.operators.fields import HEADER_RULES, FieldRule, extract_fields, extract_header
-from fiscalframe.operators.items import items_from_lines, items_from_text
+from fiscalframe.operators.items import item_block, items_from_lines, items_from_text
 from fiscalframe.plans.receipts import parse_receipts
 from fiscalframe.schema import COLUMNS, PAYMENTS, conform, local_timestamp, typed, unite
 
@@ -58,6 +58,14 @@ def test_item_lines(spark):
         assert [tuple(i) for i in row["items"]] == expected, lines
 
 
+def test_walk_reads_collapsed_lines(column):
+    """White space of any kind is gone before the walk: runs, edges of lines, blank lines and tax notes."""
+    lines = ["\u3000\t", " Su  (kq)\u00a0\x1c1 1\t1 ", "*ƏDV 18%", " \r", "\u2003*ƏDV", "uzun \u2028 ", "\tad 1  1 1\r"]
+    text = block(*lines)
+    assert column(item_block(F.lit(text))).strip("\n").split("\n") == ["Su (kq) 1 1 1", "uzun", "ad 1 1 1"]
+    assert items(column, text) == [("Su", 1.0, 1.0, 1.0), ("uzun ad", 1.0, 1.0, 1.0)]
+
+
 def test_block_ends(column):
     assert items(column, HEAD + "Su 1 1 1\n-----\nCəmi\nUn 1 1 1\nCəmi 2.00") == [("Su", 1.0, 1.0, 1.0)]
     assert items(column, HEAD + "Su 1 1 1\nCəmi 5\nUn 1 1 1\nCəmi 2.00")[-1] == ("Cəmi 5 Un", 1.0, 1.0, 1.0)
