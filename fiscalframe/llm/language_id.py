@@ -33,8 +33,8 @@ SMOOTHING = 0.5
 SAMPLE = 4000
 MAX_MATRIX_BYTES = 256 << 20
 UNDETERMINED = "und"
-#: Characters that are worked on at a time.
-_SLAB = 1 << 20
+#: Characters that are worked on at a time; the arrays of a slab are some 80 times as large.
+_SLAB = 1 << 17
 
 
 @dataclass(frozen=True)

@@ -199,8 +199,9 @@ def _forest(classes: DataFrame, *columns: str) -> DataFrame:
     return classes.select("class_id", *columns, "signature", tree).select("class_id", *columns, "tree", path.alias("path"))
 
 
-def _stored_sets(documents: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    reps = stored(classes.select("class_id", "rep").join(wanted, "class_id"), "reps")
+def _stored_sets(documents: DataFrame, classes: DataFrame, wanted: DataFrame, most: int, words: int) -> DataFrame:
+    """``(class_id, shingles)`` of the classes wanted, of which there are ``most`` at most."""
+    reps = stored(classes.select("class_id", "rep").join(wanted, "class_id"), "reps", most)
     return stored(_class_sets(documents, reps, words), "sets")
 
 
@@ -208,7 +209,7 @@ def _linked(documents: DataFrame, classes: DataFrame, pairs: DataFrame, words: i
     """The pairs that are confirmed on the sets of their texts."""
     pairs = stored(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
-    return stored(confirmed(pairs, _stored_sets(documents, classes, wanted, words), percent), "links")
+    return stored(confirmed(pairs, _stored_sets(documents, classes, wanted, 2 * pairs.count(), words), percent), "links")
 
 
 def _often(sets: DataFrame):
@@ -319,9 +320,9 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     links = hubs.unionByName(_linked(documents, classes, near, words, percent))
     final = components(links)
 
-    crowd = stored(_crowd(members, final.select(F.col("id").alias("class_id"), "root")), "crowd")
-    if crowd.limit(1).count():
-        sets = _stored_sets(documents, classes, crowd.select("class_id"), words)
+    crowd = stored(_crowd(members, final.select(F.col("id").alias("class_id"), "root")), "crowd", members.count())
+    if several := crowd.count():
+        sets = _stored_sets(documents, classes, crowd.select("class_id"), several, words)
         pairs = stored(exact_pairs(sets.join(crowd, "class_id"), percent), "pairs")
         final = components(links.unionByName(stored(confirmed(pairs, sets, percent), "links")))
 
@@ -352,7 +353,7 @@ def drop_near_copies(documents: DataFrame, words: int = 5, percent: int = 80) ->
     judged = found.join(first.hint("merge"), "root")
     stays = F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("text_hash") == F.col("rep.text_hash"))
     # Rows to look at: those that go, and the ones that stay but are repeated.
-    touched = stored(judged.select(*keys, stays.alias("stays"), "n").filter("not stays or n > 1"), "touched")
+    touched = stored(judged.select(*keys, stays.alias("stays"), "n").filter("not stays or n > 1"), "touched", found.count())
     touched = touched.select(_key(F.col("doc_id"), F.col("text_hash")).alias("_key"), "stays")
     row = documents.select(packed(documents).alias("_row"), _key(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("_key"))
     maybe = key_filter(touched, "_key")(F.col("_key"))

@@ -1,0 +1,56 @@
+"""What intermediate tables cost: files, processes and memory."""
+
+import itertools
+import tracemalloc
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from fiscalframe.llm import language_id, shared
+from fiscalframe.llm.components import components
+from fiscalframe.llm.shared import stored
+
+
+def test_rounds_of_components_make_few_files(spark, tmp_path, monkeypatch):
+    """Each file that a task writes to a local folder forks the executor's JVM; small rounds over many partitions made hundreds."""
+    number = itertools.count()
+    monkeypatch.setattr(shared, "scratch_path", lambda _, label: f"{tmp_path}/{label}-{next(number)}")
+    settings = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        chains = spark.range(900).select(F.col("id").alias("a"), (F.col("id") + 300).alias("b"))
+        links = stored(chains.repartition(24), "chains")
+        got = {r.id: r.root for r in components(links).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == {i: i % 300 for i in range(1200)}
+    rounds = [*tmp_path.glob("roots-*"), *tmp_path.glob("links-*")]
+    assert len(rounds) >= 3
+    assert all(len([*r.glob("part-*")]) == 1 for r in rounds)
+
+
+def test_a_bound_on_rows_drops_none(spark, monkeypatch):
+    monkeypatch.setattr(shared, "ROWS_A_FILE", 100)
+    rows = spark.range(0, 1000, 1, 40)
+    few = stored(rows, "bounded", 1000)
+    assert len(few.inputFiles()) == 10
+    assert few.count() == 1000
+    assert stored(rows, "bounded", 5).count() == 1000
+    assert stored(rows.filter("id < 0"), "bounded", 0).count() == 0
+
+
+def test_language_scores_take_little_memory():
+    texts = pd.Series(["some words of a text and more of them " * 20] * 4000)
+    model = language_id.Model(list("abcd"), np.zeros(4), np.zeros((len(language_id.GRAMS) << language_id.BITS, 4), np.float32))
+    tracemalloc.start()
+    try:
+        for part in language_id._slabs(texts):
+            language_id.score(model, list(texts.iloc[part]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 24 << 20
