@@ -2,9 +2,12 @@
 
 import itertools
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from fiscalframe.llm import language_id, shared
@@ -54,3 +57,19 @@ def test_language_scores_take_little_memory():
     finally:
         tracemalloc.stop()
     assert peak < 24 << 20
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for d in disk.localDirsString() for f in Path(d).rglob("shuffle_*.data")}
+    known = shuffled()
+    rows = spark.range(0, 5000, 1, 4).groupBy((F.col("id") % 700).alias("k")).agg(F.count("*").alias("n"))
+    assert stored(rows, "counted").agg(F.sum("n")).first()[0] == 5000
+    # Files of the sum, which is no stored table, hold one row each.
+    left = [f for f in shuffled() - known if f.stat().st_size > 500]
+    assert not left
+    with pytest.raises(AnalysisException):
+        stored(rows.select("n", "n"), "failing")
+    assert spark.conf.get(setting, None) == before
