@@ -46,6 +46,12 @@ def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_answers(table(spark, sf_dir, "orders"))
 
 
+def _dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders in as many tasks as a shuffle has: one task reads a whole row group, and files may have few."""
+    orders = table(spark, sf_dir, "orders")
+    return orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *orders.columns)
+
+
 def _receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(order_filename().alias("filename"))
 
@@ -56,17 +62,17 @@ def _attempt_items(first: DataFrame) -> DataFrame:
     return items.select("filename", "line_no", *[item_value(F.col("item"), c).alias(c) for c in shown])
 
 
-def _strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _strict(answers: DataFrame) -> DataFrame:
     """The one strict answer every order has among its later attempts."""
     later = F.col("attempt") == F.when(F.col("response").startswith("["), F.col("attempt"))
-    return _answers(spark, sf_dir).filter((F.col("attempt") > 0) & later)
+    return answers.filter((F.col("attempt") > 0) & later)
 
 
 def _styled(shape):
     """Items of one answer per order, all written in the same style."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _attempt_items(_strict(spark, sf_dir).withColumn("response", shape(F.col("response"))))
+        return _attempt_items(_strict(_answers(spark, sf_dir)).withColumn("response", shape(F.col("response"))))
 
     return query
 
@@ -74,7 +80,7 @@ def _styled(shape):
 def response_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order's array without its closing bracket and with a torn object behind."""
     torn = F.concat(F.substr("response", F.lit(1), F.length("response") - 1), F.lit(', {"item_name": "kəs'))
-    return _attempt_items(_strict(spark, sf_dir).withColumn("response", torn))
+    return _attempt_items(_strict(_answers(spark, sf_dir)).withColumn("response", torn))
 
 
 def response_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +168,7 @@ def response_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strict answers in which objects repeat keys and hold ``NaN``, in strings too."""
     doubled = F.replace("response", F.lit('"quantity":'), F.lit('"quantity":"N/A", "quantity" : '))
     doubled = F.replace(doubled, F.lit('"store_name":'), F.lit('"note":"NaN, \\"x\\": -Infinity", "store_name":NaN, "other":[NaN, {"a":-Infinity}],\n"store_name":'))
-    return _attempt_items(_strict(spark, sf_dir).withColumn("response", doubled))
+    return _attempt_items(_strict(order_answers(_dealt(spark, sf_dir))).withColumn("response", doubled))
 
 
 def response_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ from fiscalframe.functions.text import let
 
 #: Brackets within brackets that are looked through; deeper values are not understood.
 DEPTH = 8
+#: The same within an object that ``objects_with_last_values`` reads; the others are read another way.
+SHALLOW = 3
 
 _BLANK = r"[ \t\n\r]*+"
 _STRING = r'"(?:[^"\\\x00-\x1f]++|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+"'
@@ -32,6 +34,21 @@ def _inside(depth: int) -> str:
 _VALUE = rf'(?:{_STRING}|[\[{{]{_inside(DEPTH)}[\]}}]|[^ \t\n\r,:\[\]{{}}"]++)'
 _ELEMENT = rf"(?s)\G{_BLANK}({_VALUE}){_BLANK}(?:,|\z)"
 _PAIR = rf"(?s)\G{_BLANK}({_STRING}){_BLANK}:{_BLANK}({_VALUE}){_BLANK}(?:,|\z)"
+# An array of objects whose text shows that nothing inside them can repeat a key: objects there have one pair or none.
+_PLAIN = r'[^ \t\n\r,:\[\]{}"]++'
+
+
+def _single(depth: int) -> str:
+    value = rf"(?:{_STRING}|{_PLAIN}{_nested(depth - 1)})"
+    return rf"(?:{_BLANK}{_STRING}{_BLANK}:{_BLANK}{value})?+{_BLANK}"
+
+
+def _nested(depth: int) -> str:
+    return rf"|\[(?:[^\[\]{{}}\x22]++|{_STRING}{_nested(depth - 1)})*+\]|\{{{_single(depth)}\}}" if depth else ""
+
+
+_OBJECT = rf'\{{(?:[^\[\]{{}}"]++|{_STRING}{_nested(SHALLOW)})*+\}}'
+_OBJECTS = rf"\A{_BLANK}\[(?:{_BLANK}{_OBJECT}{_BLANK},?+)*+{_BLANK}\]{_BLANK}\z"
 _UP_TO_LITERAL = rf'(?s)\G((?:[^"NI-]++|{_STRING}|N(?!aN)|-(?!Infinity)|I(?!nfinity))*+){_LITERALS}'
 
 
@@ -62,6 +79,24 @@ def array_elements(text: Column) -> Column:
     return let(_body(text, "[", "]"), elements)
 
 
+def objects_with_last_values(text: Column, fields: Sequence[str]) -> Column:
+    """ARRAY of VARIANT objects with the given fields, each with the last value it has there, in one reading of a JSON array.
+
+    NULL if the text is no array of objects, or not plain enough for that: an
+    object further inside has more than one pair or lies deep, or letters of
+    a key may be escaped. ``without_literals`` comes first.
+    """
+    schema = f"a array<struct<{','.join(f'{f}:variant' for f in fields)}>>, bad string"
+    # All a lenient reader of Spark's takes and JSON does not have is off; ``bad`` tells what it passes over.
+    strict = {"columnNameOfCorruptRecord": "bad", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "mode": "PERMISSIVE"}
+    plain = ~(F.contains(text, F.lit("\\u")) & text.rlike(r"\\u00[3-7]")) & text.rlike(_OBJECTS)
+
+    def objects(read: Column) -> Column:
+        return F.when(read["bad"].isNull(), F.transform(read["a"], F.to_variant_object))
+
+    return F.when(plain, let(F.from_json(F.concat(F.lit('{"a":'), text, F.lit("}")), schema, strict), objects))
+
+
 def last_values(text: Column, fields: Sequence[str]) -> Column:
     """A JSON object again with the given fields only, each with the last value it has there.
 

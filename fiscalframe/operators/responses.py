@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscalframe.functions.json_text import array_elements, last_values, without_literals
+from fiscalframe.functions.json_text import array_elements, last_values, objects_with_last_values, without_literals
 from fiscalframe.functions.names import clean_item_name
 from fiscalframe.functions.numbers import read_double
 from fiscalframe.functions.text import let, strip
@@ -196,11 +196,11 @@ def _found(whole: Column, objects: Column) -> Column:
     return F.struct(whole.alias("whole"), objects.alias("objects"))
 
 
-def _read_leniently(array: Column) -> Column:
+def _read_leniently(array: Column, columns: Sequence[str] = COLUMNS) -> Column:
     """What an array holds that strict parsing refuses, and whether only for repeated keys or ``NaN``.
 
     If for more than that, every brace-free object that names an item and
-    parses on its own.
+    parses on its own. Objects with repeated keys hold the given columns only.
     """
     # Looked for only where the elements do not do, as most of the work lies in reading them.
     salvaged = F.transform(F.regexp_extract_all(array, F.lit(ITEM_OBJECT), F.lit(0)), _lenient_value)
@@ -209,10 +209,14 @@ def _read_leniently(array: Column) -> Column:
         whole = read.isNotNull() & ~F.exists(read, lambda v: v.isNull())
         return F.when(whole, _found(F.lit(True), read)).otherwise(_found(F.lit(False), F.filter(salvaged, lambda v: v.isNotNull())))
 
-    return let(F.transform(array_elements(array), _lenient_value), choose)
+    def in_one(objects: Column) -> Column:
+        # Most answers are read at once; the others value by value.
+        return F.when(objects.isNotNull(), _found(F.lit(True), objects)).otherwise(let(F.transform(array_elements(array), _lenient_value), choose))
 
+    return let(objects_with_last_values(without_literals(array), columns), in_one)
 
-def _objects(response: Column, body: Callable[[Column, Column], Column]) -> Column:
+
+def _objects(response: Column, body: Callable[[Column, Column], Column], columns: Sequence[str] = COLUMNS) -> Column:
     """``body(whole, objects)`` on the array of a response: is it valid JSON, and its objects.
 
     Repeated keys and ``NaN`` are valid, as most JSON readers have it. A
@@ -223,7 +227,7 @@ def _objects(response: Column, body: Callable[[Column, Column], Column]) -> Colu
     def recover(array: Column) -> Column:
         def split(parsed: Column) -> Column:
             strict = _found(F.lit(True), F.try_variant_get(parsed, "$[0]", "array<variant>"))
-            return F.when(_is_whole(parsed), strict).otherwise(_read_leniently(array))
+            return F.when(_is_whole(parsed), strict).otherwise(_read_leniently(array, columns))
 
         return let(let(_parsed(array), split), lambda p: body(p["whole"], p["objects"]))
 
@@ -242,7 +246,8 @@ def items_from_response(response: Column, columns: Sequence[str] = COLUMNS) -> C
     Items carry what ``item_value`` needs for the given columns, no more.
     """
     raw = bool(set(columns) - {"item_name", *NUMBERS})
-    return _objects(response, lambda whole, objects: _valid_items(whole, objects, raw))
+    read = dict.fromkeys(("item_name", *NUMBERS, *columns))
+    return _objects(response, lambda whole, objects: _valid_items(whole, objects, raw), tuple(read))
 
 
 def _reason(item: Column) -> Column:

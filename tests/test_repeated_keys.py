@@ -1,0 +1,73 @@
+"""Answers with repeated keys: read in one pass where that is safe, and by as many tasks as there are."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from fiscalframe.catalog.answers import QUERIES
+from fiscalframe.functions.json_text import array_elements, objects_with_last_values, without_literals
+from fiscalframe.operators.responses import _lenient_value, _read_leniently
+
+FIELDS = ("item_name", "quantity", "store_name")
+AT_ONCE = [
+    '[{"item_name": "a", "item_name": "b,]}", "quantity": 1.50, "quantity": NaN}]',
+    ' [{"quantity":"N/A", "quantity" : "3","other":[NaN, {"a":-Infinity}],\n"item_name": "\\u0259 \\"NaN"}, {}] ',
+    '[{"item_name": "a", "item_name": null, "store_name": [1, {"a": []}], "quantity": true}]',
+]
+# Whole as well, but read value by value: larger or deeper objects in objects, stray values, letters that may be a key's.
+BY_VALUE = [
+    '[{"item_name": "a", "item_name": "b", "x": {"a": 1, "b": 2}}]',
+    '[{"item_name": "a", "item_name": "b", "store_name": [1, {"a": [{}]}]}]',
+    '[{"item_name": "a", "item_name": "b"}, 5, null]',
+    '[{"item_name": "a", "item_name": "b", "item\\u005fname": "c"}]',
+]
+NOT_WHOLE = [
+    '[{"item_name": "a", "item_name": "b", "x": {"a": 1, "a": 2}}]',
+    '[{"item_name": "a", "item_name": "b", "x": [1 2]}]',
+    '[{"item_name": "a", "item_name": [1x], "quantity": 1}]',
+    '[{"item_name": "a", "item_name": \'b\'}]',
+    '[{"item_name": "a", "item_name": "b"},]',
+    '[{"item_name": "a", "item_name": "b"}], []',
+    '[{"item_name": "a", "item_name": "b"}, {"x',
+]
+
+
+def read(spark, texts):
+    """Per text: the objects read at once, the objects of all readings, and the objects of the reading by value, as far as FIELDS go."""
+    shown = lambda objects: F.transform(objects, lambda v: F.to_json(F.struct(*[F.try_variant_get(v, f"$.{f}", "variant").alias(f) for f in FIELDS])))
+    t = F.col("t")
+    by_value = F.transform(array_elements(t), _lenient_value)
+    got = _read_leniently(t)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select(
+        "i",
+        shown(objects_with_last_values(without_literals(t), FIELDS)).alias("once"),
+        F.when(got["whole"], shown(got["objects"])).alias("all"),
+        F.when(~F.exists(by_value, lambda v: v.isNull()), shown(by_value)).alias("value"),
+    )
+    plain = lambda v: v and [{k: x for k, x in json.loads(o).items() if x is not None} for o in v]
+    return [[plain(r[c]) for c in ("once", "all", "value")] for r in sorted(df.collect())]
+
+
+def test_arrays_of_plain_objects_are_read_at_once(spark):
+    for setting in ("false", "true"):
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", setting)
+        try:
+            for text, (once, every, value) in zip(AT_ONCE, read(spark, AT_ONCE), strict=True):
+                assert once and once == every == value, text
+        finally:
+            spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+
+
+def test_other_arrays_are_read_as_before(spark):
+    for text, (once, every, value) in zip(BY_VALUE, read(spark, BY_VALUE), strict=True):
+        assert once is None and every and every == value, text
+    for text, (once, every, _) in zip(NOT_WHOLE, read(spark, NOT_WHOLE), strict=True):
+        assert once is None and every is None, text
+
+
+def test_orders_in_one_row_group_are_read_by_many_tasks(spark, tmp_path):
+    order = "id o_orderkey, id o_custkey, 'P' o_orderstatus, 2.5D o_totalprice, timestamp_ntz'2024-02-01' o_orderdate, '1-URGENT' o_orderpriority"
+    spark.range(1, 200, 1, 1).selectExpr(*order.split(", ")).write.parquet(f"{tmp_path}/orders.parquet")
+    rows = QUERIES["response_repeated_keys"](spark, str(tmp_path))
+    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    assert rows.count() == sum(k % 5 for k in range(1, 200))
